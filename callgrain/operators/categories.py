@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations, product
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,13 +51,13 @@ def group_with_totals(df: DataFrame, keys: list[str], level: str, *aggregates: C
     return grouped.withColumns(labels).drop(*[f"_all_{name}" for name in names])
 
 
-def in_week(weekday: str) -> Column:
-    return F.lit(True) if weekday == ALL_WEEK else F.col("weekday") == weekday
+def in_week(weekday: str) -> str:
+    return "true" if weekday == ALL_WEEK else f"weekday = '{weekday}'"
 
 
-def in_cell(weekday: str, daytime: str) -> Column:
-    """Whether a row with fine labels belongs to a cell, which may be a total."""
-    return in_week(weekday) & (F.lit(True) if daytime == ALL_DAY else F.col("daytime") == daytime)
+def in_cell(weekday: str, daytime: str) -> str:
+    """SQL condition: a row with fine labels belongs to a cell, which may be a total."""
+    return in_week(weekday) + ("" if daytime == ALL_DAY else f" AND daytime = '{daytime}'")
 
 
 def members(weekday: str, daytime: str) -> list[tuple[str, str]]:
@@ -67,10 +65,10 @@ def members(weekday: str, daytime: str) -> list[tuple[str, str]]:
     return [(w, d) for w, d in FINE_CELLS if weekday in (w, ALL_WEEK) and daytime in (d, ALL_DAY)]
 
 
-def cell_sums(**measures: Column) -> list[Column]:
-    """Sums of each measure in the four fine cells, as columns of one group."""
+def cell_sums(**measures: str) -> list[Column]:
+    """Sums of each measure (an SQL expression) in the four fine cells, as columns of one group."""
     return [
-        F.sum(F.when(in_cell(w, d), measure)).alias(f"{name}_{w}_{d}")
+        F.expr(f"coalesce(sum({measure}) FILTER (WHERE {in_cell(w, d)}), 0) AS {name}_{w}_{d}")
         for name, measure in measures.items() for w, d in FINE_CELLS
     ]
 
@@ -81,17 +79,17 @@ def explode_cells(df: DataFrame, keys: list[str], names: list[str], present: lis
     The totals are additions inside the row, so they need no second shuffle. Cells where none of
     the measures in `present` is positive do not occur and are left out.
     """
-    def value(name: str, weekday: str, daytime: str) -> Column:
-        parts = [F.coalesce(F.col(f"{name}_{w}_{d}"), F.lit(0)) for w, d in members(weekday, daytime)]
-        kind = df.schema[f"{name}_{WEEKDAYS[0]}_{DAYTIMES[0]}"].dataType
-        return reduce(add, parts).cast(kind).alias(name)
+    def total(name: str, weekday: str, daytime: str) -> str:
+        kind = df.schema[f"{name}_{WEEKDAYS[0]}_{DAYTIMES[0]}"].dataType.simpleString()
+        parts = " + ".join(f"{name}_{w}_{d}" for w, d in members(weekday, daytime))
+        return f"CAST({parts} AS {kind}) AS {name}"
 
     cells = [
-        F.struct(F.lit(w).alias("weekday"), F.lit(d).alias("daytime"), *[value(n, w, d) for n in names])
+        f"struct('{w}' AS weekday, '{d}' AS daytime, {', '.join(total(name, w, d) for name in names)})"
         for w, d in CELLS
     ]
-    occurs = reduce(or_, [F.col(name) > 0 for name in present])
-    return df.select(*keys, F.inline(F.array(*cells))).where(occurs)
+    occurs = " OR ".join(f"{name} > 0" for name in present)
+    return df.selectExpr(*keys, f"inline(array({', '.join(cells)}))").where(occurs)
 
 
 def widen(long: DataFrame, feature: str, categories: list[str], values: list[str],
@@ -103,15 +101,13 @@ def widen(long: DataFrame, feature: str, categories: list[str], values: list[str
     vocabularies = [txn_types if c == "txn_type" else VOCABULARY[c] for c in categories]
     cell = F.lit(0)
     for category, vocabulary in zip(categories, vocabularies):
-        position = F.array_position(F.array(*map(F.lit, vocabulary)), F.col(category)) - 1
-        cell = cell * len(vocabulary) + position
+        # Null, hence in no cell, for a label outside the vocabulary.
+        known = ", ".join(f"'{label}'" for label in vocabulary)
+        position = F.expr(f"nullif(array_position(array({known}), {category}), 0)")
+        cell = cell * len(vocabulary) + position - 1
     columns = []
     for number, labels in enumerate(product(*vocabularies)):
         for value in values:
-            suffix = [value] if len(values) > 1 else []
-            name = "_".join([feature, *labels, *suffix])
-            columns.append(F.max(F.when(F.col("_cell") == number, F.col(value))).alias(name))
-    return (
-        long.withColumn("_cell", F.when(F.col("txn_type").isin(*txn_types), cell) if "txn_type" in categories else cell)
-        .groupBy("caller_id").agg(*columns)
-    )
+            name = "_".join([feature, *labels, *([value] if len(values) > 1 else [])])
+            columns.append(F.expr(f"max({value}) FILTER (WHERE _cell = {number}) AS `{name}`"))
+    return long.withColumn("_cell", cell).groupBy("caller_id").agg(*columns)

@@ -112,19 +112,15 @@ def conversation_openings(tagged_pairs: DataFrame, calendar: Calendar) -> DataFr
         .withColumn("start", F.timestamp_seconds("conversation"))
     )
 
-    def seen_by(me: str, other: str) -> Column:
-        wrote = F.when(F.col(f"{me}_wrote"), F.col(f"{other}_opened")).otherwise(F.lit(0).cast("bigint"))
-        return F.struct(
-            F.col(me).alias("caller_id"), F.col(f"{me}_opened").alias("sent"),
-            F.col(f"{other}_opened").alias("received"), wrote.alias("answered"),
-        )
+    def seen_by(me: str, other: str) -> str:
+        return (f"struct({me} AS caller_id, {me}_opened AS sent, {other}_opened AS received, "
+                f"if({me}_wrote, {other}_opened, 0L) AS answered)")
 
-    to_self = F.col("lo") == F.col("hi")
-    views = F.when(to_self, F.array(seen_by("lo", "hi"))).otherwise(F.array(seen_by("lo", "hi"), seen_by("hi", "lo")))
+    lo_view, hi_view = seen_by("lo", "hi"), seen_by("hi", "lo")
     sides = talks.select(
         weekday_label("start", calendar).alias("weekday"), daytime_label("start", calendar).alias("daytime"),
-        F.inline(views),
+        F.expr(f"inline(if(lo = hi, array({lo_view}), array({lo_view}, {hi_view})))"),
     )
     names = ["sent", "received", "answered"]
-    sums = sides.groupBy("caller_id").agg(*cell_sums(**{name: F.col(name) for name in names}))
+    sums = sides.groupBy("caller_id").agg(*cell_sums(**{name: name for name in names}))
     return explode_cells(sums, ["caller_id"], names, present=["sent", "received"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.operators.categories import FINE_CELLS, in_cell, members
 from callgrain.operators.splitting import cut_large_groups
@@ -23,7 +23,7 @@ def gaps_between_interactions(directed: DataFrame, split: GroupSplit) -> DataFra
     )
     cut = cut_large_groups(rows, KEYS, "second", "event_id", split)
     latest = {(w, d): f"latest_{w}_{d}" for w, d in FINE_CELLS}
-    seen = {name: F.max(F.when(in_cell(*cell), F.col("second"))) for cell, name in latest.items()}
+    seen = {name: F.max(F.when(F.expr(in_cell(*cell)), F.col("second"))) for cell, name in latest.items()}
     earlier = Window.partitionBy(*cut.group).orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
     placed = cut.rows.withColumns({name: value.over(earlier) for name, value in seen.items()})
     if cut.is_cut:
@@ -35,22 +35,20 @@ def gaps_between_interactions(directed: DataFrame, split: GroupSplit) -> DataFra
         placed = cut.carry(placed, carried)
         placed = placed.withColumns({name: F.greatest(name, f"carried_{name}") for name in latest.values()})
 
-    def wait(weekday: str | None, daytime: str | None) -> Column:
-        """Seconds since the latest interaction with the row's own labels, or any where a total is given."""
-        by_cell = None
+    def previous(weekday: str | None, daytime: str | None) -> str:
+        """Time of the latest interaction with the row's own labels, or any where a total is given."""
+        branches = []
         for w, d in FINE_CELLS:
-            columns = [F.col(latest[m]) for m in members(weekday or w, daytime or d)]
-            value = F.greatest(*columns) if len(columns) > 1 else columns[0]
-            is_own = in_cell(w, d)
-            by_cell = F.when(is_own, value) if by_cell is None else by_cell.when(is_own, value)
-        return F.col("second") - by_cell
+            times = [latest[cell] for cell in members(weekday or w, daytime or d)]
+            value = f"greatest({', '.join(times)})" if len(times) > 1 else times[0]
+            branches.append(f"WHEN {in_cell(w, d)} THEN {value}")
+        return f"CASE {' '.join(branches)} END"
+
+    def quoted(total: str | None, column: str) -> str:
+        return f"'{total}' AS {column}" if total else f"{column} AS {column}"
 
     cells = [
-        F.struct(
-            (F.lit(week) if week else F.col("weekday")).alias("weekday"),
-            (F.lit(day) if day else F.col("daytime")).alias("daytime"),
-            wait(week, day).alias("wait"),
-        )
+        f"struct({quoted(week, 'weekday')}, {quoted(day, 'daytime')}, second - {previous(week, day)} AS wait)"
         for week in (None, ALL_WEEK) for day in (None, ALL_DAY)
     ]
-    return placed.select(*KEYS, F.inline(F.array(*cells)))
+    return placed.selectExpr(*KEYS, f"inline(array({', '.join(cells)}))")

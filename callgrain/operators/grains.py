@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from callgrain.functions.stats import EXACT
 from callgrain.operators.categories import CELLS, cell_sums, explode_cells, in_week
@@ -15,22 +15,20 @@ def active_day_cells(directed: DataFrame) -> DataFrame:
         *[F.bool_or(F.col("daytime") == d).alias(f"in_{d}") for d in DAYTIMES]
     )
 
-    def active(weekday: str, daytime: str) -> Column:
-        return in_week(weekday) & (F.lit(True) if daytime == ALL_DAY else F.col(f"in_{daytime}"))
+    def active(weekday: str, daytime: str) -> str:
+        return in_week(weekday) + ("" if daytime == ALL_DAY else f" AND in_{daytime}")
 
-    counts = days.groupBy("caller_id").agg(*[F.count_if(active(w, d)).alias(f"days_{w}_{d}") for w, d in CELLS])
-    cells = [
-        F.struct(F.lit(w).alias("weekday"), F.lit(d).alias("daytime"), F.col(f"days_{w}_{d}").alias("days"))
-        for w, d in CELLS
-    ]
-    return counts.select("caller_id", F.inline(F.array(*cells))).where(F.col("days") > 0)
+    counts = days.groupBy("caller_id").agg(
+        *[F.expr(f"count_if({active(w, d)}) AS days_{w}_{d}") for w, d in CELLS]
+    )
+    cells = ", ".join(f"struct('{w}' AS weekday, '{d}' AS daytime, days_{w}_{d} AS days)" for w, d in CELLS)
+    return counts.selectExpr("caller_id", f"inline(array({cells}))").where("days > 0")
 
 
 def activity_cells(directed: DataFrame) -> DataFrame:
     """Per caller, type and cell: interactions `n_out` and `n_in`."""
-    out = F.col("direction") == "out"
     sums = directed.groupBy("caller_id", "txn_type").agg(
-        *cell_sums(n_out=out.cast("bigint"), n_in=(~out).cast("bigint"))
+        *cell_sums(n_out="if(direction = 'out', 1L, 0L)", n_in="if(direction = 'in', 1L, 0L)")
     )
     return explode_cells(sums, ["caller_id", "txn_type"], ["n_out", "n_in"], present=["n_out", "n_in"])
 
@@ -40,37 +38,32 @@ def contact_cells(cdr: DataFrame, calendar: Calendar) -> DataFrame:
 
     Grouped once per unordered pair, before the rows are seen from both sides.
     """
-    lo_sent = F.col("caller_id") <= F.col("recipient_id")
     pairs = with_labels(cdr, calendar).groupBy(
         F.least("caller_id", "recipient_id").alias("lo"), F.greatest("caller_id", "recipient_id").alias("hi"),
         "txn_type",
     )
     sums = pairs.agg(*cell_sums(
-        by_lo=lo_sent.cast("bigint"), by_hi=(~lo_sent).cast("bigint"), seconds=F.col("duration").cast(EXACT),
+        by_lo="if(caller_id <= recipient_id, 1L, 0L)", by_hi="if(caller_id > recipient_id, 1L, 0L)",
+        seconds=f"CAST(duration AS {EXACT})",
     ))
     cells = explode_cells(sums, ["lo", "hi", "txn_type"], ["by_lo", "by_hi", "seconds"], present=["by_lo", "by_hi"])
 
-    def seen_by(me: str, other: str, n_out: str | Column, n_in: str | Column, seconds: Column) -> Column:
-        return F.struct(
-            F.col(me).alias("caller_id"), F.col(other).alias("recipient_id"),
-            F.col(n_out).alias("n_out"), F.col(n_in).alias("n_in"),
-            (F.col(n_out) + F.col(n_in)).alias("n"), seconds.cast("decimal(32,6)").alias("seconds"),
-        )
+    def seen_by(me: str, other: str, n_out: str, n_in: str, seconds: str = "seconds") -> str:
+        return (f"struct({me} AS caller_id, {other} AS recipient_id, {n_out} AS n_out, {n_in} AS n_in, "
+                f"{n_out} + {n_in} AS n, CAST({seconds} AS decimal(32,6)) AS seconds)")
 
     # A call to oneself counts once in each direction.
-    to_self = F.array(seen_by("lo", "hi", "by_lo", "by_lo", F.col("seconds") * 2))
-    views = F.array(
-        seen_by("lo", "hi", "by_lo", "by_hi", F.col("seconds")), seen_by("hi", "lo", "by_hi", "by_lo", F.col("seconds"))
-    )
-    return cells.select(
-        "txn_type", "weekday", "daytime", F.inline(F.when(F.col("lo") == F.col("hi"), to_self).otherwise(views))
+    to_self = seen_by("lo", "hi", "by_lo", "by_lo", "seconds * 2")
+    views = f"{seen_by('lo', 'hi', 'by_lo', 'by_hi')}, {seen_by('hi', 'lo', 'by_hi', 'by_lo')}"
+    return cells.selectExpr(
+        "txn_type", "weekday", "daytime", f"inline(if(lo = hi, array({to_self}), array({views})))"
     )
 
 
 def antenna_sums(cdr: DataFrame, calendar: Calendar) -> DataFrame:
     """Per caller and antenna: interactions in the four fine cells. No antenna is a group of its own."""
     directed = directed_interactions(cdr, calendar)
-    return directed.groupBy("caller_id", "caller_antenna").agg(*cell_sums(n=F.lit(1).cast("bigint")))
+    return directed.groupBy("caller_id", "caller_antenna").agg(*cell_sums(n="1L"))
 
 
 def antenna_cells(sums: DataFrame) -> DataFrame:

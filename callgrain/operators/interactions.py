@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from callgrain.functions.calendar import daytime_label, weekday_label
 from callgrain.params import Calendar
 
+# Columns of the one party, and those of the other that take their place seen from the other side.
+PARTIES = {
+    "caller_id": "recipient_id", "recipient_id": "caller_id",
+    "caller_antenna": "recipient_antenna", "recipient_antenna": "caller_antenna",
+}
+
 
 def with_labels(cdr: DataFrame, calendar: Calendar) -> DataFrame:
     """Records that have both ids, with their kind of day and time of day."""
@@ -16,21 +22,14 @@ def with_labels(cdr: DataFrame, calendar: Calendar) -> DataFrame:
     })
 
 
-def _side(df: DataFrame, swapped: dict[str, str | Column]) -> Column:
-    columns = {name: F.col(name) for name in df.columns}
-    columns.update({k: F.col(v) if isinstance(v, str) else v for k, v in swapped.items()})
-    return F.struct(*[value.alias(name) for name, value in columns.items()])
-
-
 def directed_interactions(cdr: DataFrame, calendar: Calendar) -> DataFrame:
     """Each record twice: as it is (`out`) and with the two parties exchanged (`in`)."""
-    df = with_labels(cdr, calendar).withColumn("direction", F.lit("out"))
-    incoming = _side(df, {
-        "caller_id": "recipient_id", "recipient_id": "caller_id",
-        "caller_antenna": "recipient_antenna", "recipient_antenna": "caller_antenna",
-        "direction": F.lit("in"),
-    })
-    return df.select(F.inline(F.array(_side(df, {}), incoming)))
+    df = with_labels(cdr, calendar)
+    kept = [c for c in df.columns if c not in PARTIES]
+    outgoing = ", ".join(f"{name} AS {name}" for name in PARTIES)
+    incoming = ", ".join(f"{other} AS {name}" for name, other in PARTIES.items())
+    views = f"struct('out' AS direction, {outgoing}), struct('in' AS direction, {incoming})"
+    return df.selectExpr(*kept, f"inline(array({views}))")
 
 
 def pair_interactions(cdr: DataFrame, calendar: Calendar) -> DataFrame:
@@ -53,20 +52,13 @@ def pair_interactions(cdr: DataFrame, calendar: Calendar) -> DataFrame:
 
 def both_sides(pairs: DataFrame) -> DataFrame:
     """Turn pair rows into directed interactions, keeping all further columns."""
-    kept = pairs.drop("lo", "hi", "lo_sent", "caller_id", "recipient_id", "caller_antenna", "recipient_antenna")
-
-    def seen_by(me: str, other: str, sent: Column) -> Column:
-        def mine(name: str, theirs: str) -> Column:
-            return F.when(sent, F.col(name)).otherwise(F.col(theirs))
+    kept = [c for c in pairs.columns if c not in ("lo", "hi", "lo_sent", *PARTIES)]
 
-        return F.struct(
-            F.col(me).alias("caller_id"), F.col(other).alias("recipient_id"),
-            F.when(sent, F.lit("out")).otherwise(F.lit("in")).alias("direction"),
-            mine("caller_antenna", "recipient_antenna").alias("caller_antenna"),
-            mine("recipient_antenna", "caller_antenna").alias("recipient_antenna"),
+    def seen_by(me: str, other: str, sent: str) -> str:
+        antennas = ", ".join(
+            f"if({sent}, {name}, {PARTIES[name]}) AS {name}" for name in ("caller_antenna", "recipient_antenna")
         )
+        return (f"struct({me} AS caller_id, {other} AS recipient_id, if({sent}, 'out', 'in') AS direction, {antennas})")
 
-    lo_view = seen_by("lo", "hi", F.col("lo_sent"))
-    hi_view = seen_by("hi", "lo", ~F.col("lo_sent"))
-    views = F.when(F.col("lo") == F.col("hi"), F.array(lo_view)).otherwise(F.array(lo_view, hi_view))
-    return pairs.select(*kept.columns, F.inline(views))
+    lo_view, hi_view = seen_by("lo", "hi", "lo_sent"), seen_by("hi", "lo", "NOT lo_sent")
+    return pairs.selectExpr(*kept, f"inline(if(lo = hi, array({lo_view}), array({lo_view}, {hi_view})))")

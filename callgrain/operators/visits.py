@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.functions.calendar import bucket
 from callgrain.operators.splitting import cut_large_groups
@@ -29,15 +29,11 @@ def visits(cdr: DataFrame, min_id_length: int = 20) -> DataFrame:
 
 
 def _visits(cdr: DataFrame, sides: list[tuple[str, str]]) -> DataFrame:
-    places: list[Column] = [
-        F.struct(F.col(who).alias("msisdn"), F.col(where).alias("location_id")) for who, where in sides
-    ]
+    places = ", ".join(f"struct({who} AS msisdn, {where} AS location_id)" for who, where in sides)
     return (
-        cdr.select("event_id", F.col("timestamp").alias("call_datetime"), F.inline(F.array(*places)))
-        .dropna(subset=["location_id"])
-        .select(
-            "msisdn", "call_datetime", "location_id", F.col("call_datetime").cast("date").alias("call_date"), "event_id",
-        )
+        cdr.selectExpr("event_id", "timestamp AS call_datetime", f"inline(array({places}))")
+        .where("location_id IS NOT NULL")
+        .selectExpr("msisdn", "call_datetime", "location_id", "CAST(call_datetime AS date) AS call_date", "event_id")
     )
 
 

@@ -149,13 +149,11 @@ def percent_pareto_durations(inputs: FeatureInputs) -> DataFrame:
 
 
 def number_of_interactions(inputs: FeatureInputs) -> DataFrame:
-    directions = [
-        F.struct(F.lit(name).alias("direction"), count.alias("value"))
-        for name, count in (
-            ("in", F.col("n_in")), ("out", F.col("n_out")), ("alldir", F.col("n_in") + F.col("n_out")),
-        )
-    ]
-    return inputs.activity.select(*TYPED_CELL, F.inline(F.array(*directions))).where(F.col("value") > 0)
+    directions = ", ".join(
+        f"struct('{name}' AS direction, {count} AS value)"
+        for name, count in (("in", "n_in"), ("out", "n_out"), ("alldir", "n_in + n_out"))
+    )
+    return inputs.activity.selectExpr(*TYPED_CELL, f"inline(array({directions}))").where("value > 0")
 
 
 def number_of_antennas(inputs: FeatureInputs) -> DataFrame:
@@ -169,7 +167,7 @@ def entropy_of_antennas(inputs: FeatureInputs) -> DataFrame:
 def percent_at_home(inputs: FeatureInputs) -> DataFrame:
     """Home is the antenna with the most night interactions, the smallest id among equals."""
     known = inputs.antenna_use.dropna(subset=["caller_antenna"]).withColumn(
-        "nights", F.coalesce("n_weekday_night", F.lit(0)) + F.coalesce("n_weekend_night", F.lit(0))
+        "nights", F.col("n_weekday_night") + F.col("n_weekend_night")
     )
     # A caller has at most one row per antenna here, so the window holds no more than the antennas.
     rank = F.when(F.col("nights") > 0, F.struct((-F.col("nights")).alias("order"), "caller_antenna"))
@@ -177,7 +175,7 @@ def percent_at_home(inputs: FeatureInputs) -> DataFrame:
     placed = known.withColumn("home", homes).where(F.col("home").isNotNull())
     sums = [F.sum(f"n_{w}_{d}").alias(f"n_{w}_{d}") for w, d in FINE_CELLS]
     at_home = [
-        F.sum(F.when(F.col("caller_antenna") == F.col("home"), F.col(f"n_{w}_{d}"))).alias(f"home_{w}_{d}")
+        F.sum(F.when(F.col("caller_antenna") == F.col("home"), F.col(f"n_{w}_{d}")).otherwise(0)).alias(f"home_{w}_{d}")
         for w, d in FINE_CELLS
     ]
     cells = explode_cells(placed.groupBy("caller_id").agg(*sums, *at_home), ["caller_id"], ["n", "home"], present=["n"])

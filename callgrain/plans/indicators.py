@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.functions.calendar import bucket
-from callgrain.operators.visits import VISIT_ORDER, with_buckets, with_neighbours
-from callgrain.params import MORE_THAN_15, GroupSplit, Period, Privacy
-from callgrain.plans.regions import _published
+from callgrain.operators.visits import with_buckets, with_neighbours
+from callgrain.params import AT_LEAST_15, MORE_THAN_15, UNMAPPED_REGION, GroupSplit, Period, Privacy
+from callgrain.plans.regions import _published, directed_region_pairs_per_day
 
 
 def _bucketed(visits: DataFrame, period: Period, frequency: str) -> DataFrame:
@@ -38,38 +38,43 @@ def unique_subscribers_country(visits: DataFrame, period: Period, frequency: str
     return _published(grouped.agg(F.countDistinct("msisdn").alias("count")), "count", privacy)
 
 
-def moves_between_days(visits: DataFrame, period: Period, cutoff_days: int = 7) -> DataFrame:
+def moves_between_days(presence: DataFrame, period: Period, cutoff_days: int = 7) -> DataFrame:
     """Changes of region from one active day of a subscriber to the next, at most `cutoff_days` apart:
-    `msisdn`, `day` of arrival, `region_from`, `region_to`.
+    `msisdn`, `connection_date` (of arrival), `region_from`, `region_to`.
 
-    Successive visits on different days are the last of one active day and the first of the next,
-    so the window runs over one row per subscriber and day.
+    Successive visits on different days are the last of one active day and the first of the next, so
+    `presence` (of regional visits) holds all that is needed: the window runs over one row per day.
+    Visits of one second are taken in the order of their regions.
     """
-    visit = F.struct(*VISIT_ORDER)
-    days = visits.where(period.covers("call_datetime")).groupBy("msisdn", "call_date").agg(
-        F.min(visit).alias("first"), F.max(visit).alias("last")
+    mine = presence.where(period.covers("call_date")).repartition("msisdn")
+    days = mine.groupBy("msisdn", "call_date").agg(
+        F.min(F.struct("earliest", "region")).alias("first"), F.max(F.struct("latest", "region")).alias("last")
     )
     by_day = Window.partitionBy("msisdn").orderBy("call_date")
     moves = days.withColumn("before", F.lag("last").over(by_day))
-    seconds = F.unix_seconds(F.col("first")["call_datetime"]) - F.unix_seconds(F.col("before")["call_datetime"])
+    seconds = F.unix_seconds(F.col("first")["earliest"]) - F.unix_seconds(F.col("before")["latest"])
     return moves.where(
         (F.col("before")["region"] != F.col("first")["region"]) & (seconds <= cutoff_days * 24 * 60 * 60)
     ).select(
-        "msisdn", F.col("call_date").alias("day"),
+        "msisdn", F.col("call_date").alias("connection_date"),
         F.col("before")["region"].alias("region_from"), F.col("first")["region"].alias("region_to"),
     )
 
 
-def origin_destination(visits: DataFrame, directed_pairs: DataFrame, period: Period, frequency: str = "day",
-                       privacy: Privacy | None = MORE_THAN_15, cutoff_days: int = 7,
-                       by_subscriber: bool = False) -> DataFrame:
-    """Connections within days (`directed_region_pairs_per_day`) and between days, side by side and summed."""
+def origin_destination(presence: DataFrame, period: Period, frequency: str = "day", as_of: Period | None = None,
+                       within: Privacy | None = AT_LEAST_15, between: Privacy | None = MORE_THAN_15,
+                       cutoff_days: int = 7, by_subscriber: bool = False) -> DataFrame:
+    """Connections within days and between days, side by side and summed, from the `presence` of regional
+    visits. Within days there are no connections with unmapped cells; `as_of` is their period."""
     if frequency != "day":
         raise ValueError("the origin-destination matrix is defined per day only")
     keys = ["connection_date", *(["msisdn"] if by_subscriber else []), "region_from", "region_to"]
-    moves = moves_between_days(visits, period, cutoff_days).withColumnRenamed("day", "connection_date")
-    between = _published(moves.groupBy(*keys).agg(F.count("msisdn").alias("od_count")), "od_count", privacy)
-    both = directed_pairs.join(between, keys, "full").fillna(0, subset=["subscriber_count", "od_count"])
+    pairs = directed_region_pairs_per_day(
+        presence.where(F.col("region") != UNMAPPED_REGION), as_of or period, within, by_subscriber
+    )
+    moves = moves_between_days(presence, period, cutoff_days)
+    moved = _published(moves.groupBy(*keys).agg(F.count("msisdn").alias("od_count")), "od_count", between)
+    both = pairs.join(moved, keys, "full").fillna(0, subset=["subscriber_count", "od_count"])
     return both.select(
         *keys, "subscriber_count", "od_count", (F.col("subscriber_count") + F.col("od_count")).alias("total_count")
     )
@@ -85,12 +90,12 @@ def home_regions(visits: DataFrame, period: Period, frequency: str) -> DataFrame
     seconds = seconds.withColumn(frequency, bucket("call_datetime", frequency))
     # At most 24 hours times the number of regions remain per subscriber and day.
     latest = seconds.groupBy(*keys, frequency, "region").agg(
-        F.max(F.struct("call_datetime", "n")).alias("last")
-    ).select(*keys, frequency, "region", "last.*").repartition("msisdn")
-    day_end = F.max("call_datetime").over(Window.partitionBy(*keys))
-    ends = latest.withColumn("ends", F.when(F.col("call_datetime") == day_end, F.col("n")).otherwise(0))
+        F.max("call_datetime").alias("latest"), F.max_by("n", "call_datetime").alias("n")
+    ).repartition("msisdn")
+    day_end = F.max("latest").over(Window.partitionBy(*keys))
+    ends = latest.withColumn("ends", F.when(F.col("latest") == day_end, F.col("n")).otherwise(0))
     counts = ends.groupBy("msisdn", frequency, "region").agg(
-        F.sum("ends").alias("ends"), F.max("call_datetime").alias("latest")
+        F.sum("ends").alias("ends"), F.max("latest").alias("latest")
     )
     rank = F.struct((-F.col("ends")).alias("order"), (-F.unix_micros("latest")).alias("recency"), "region")
     return counts.groupBy("msisdn", frequency).agg(F.min(rank)["region"].alias("home_region"))

@@ -6,13 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from callgrain.operators.visits import mapped_visits, presence, regional_visits, visits
+from callgrain.operators.visits import presence, regional_visits, visits
 from callgrain.params import AT_LEAST_15, MORE_THAN_15, FeatureParams, Period
 from callgrain.plans.features import FEATURES, FeatureInputs
 from callgrain.plans.indicators import (
     home_region_counts, home_regions, origin_destination, transactions, unique_subscribers, unique_subscribers_country,
 )
-from callgrain.plans.regions import directed_region_pairs_per_day
 from callgrain.sources.cdr import join_on
 from callgrain.sources.sinks import save_all, stage
 
@@ -42,16 +41,12 @@ def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period
     `as_of` is the period of the connections within days; by default the same.
     """
     located = stage(regional_visits(visits(cdr), cells), "visits")
-    present = presence(mapped_visits(visits(cdr), cells))
-    publish = None if by_subscriber else MORE_THAN_15
-    pairs = directed_region_pairs_per_day(
-        present, as_of or period, None if by_subscriber else AT_LEAST_15, by_subscriber
-    )
+    publish, within = (None, None) if by_subscriber else (MORE_THAN_15, AT_LEAST_15)
     tables = {
         "transactions_per_hour": transactions(located, period, "hour", publish, by_subscriber),
         "unique_subscribers_country_per_day": unique_subscribers_country(located, period, "day", publish),
         "origin_destination_per_day": origin_destination(
-            located, pairs, period, "day", publish, by_subscriber=by_subscriber
+            stage(presence(located), "presence"), period, "day", as_of, within, publish, by_subscriber=by_subscriber
         ),
         "home_regions_per_month": home_region_counts(located, period, "month"),
         "unique_subscribers_per_hour": unique_subscribers(located, period, "hour", publish),

@@ -96,24 +96,22 @@ def visitors_per_region_per_week(presence: DataFrame, homes: DataFrame, period:
     )
 
 
-def _side(presence: DataFrame, suffix: str) -> DataFrame:
-    return presence.select(
-        "msisdn", "call_date", *[F.col(c).alias(f"{c}{suffix}") for c in ("region", "earliest", "latest")]
+def _pairs(presence: DataFrame, condition: str) -> DataFrame:
+    """Region pairs `a`, `b` of each subscriber-day. A subscriber-day has one row per region, so what is
+    gathered and paired are regions, of which there are few, never single visits."""
+    days = presence.where("region IS NOT NULL").groupBy("msisdn", "call_date").agg(
+        F.collect_list(F.struct("region", "earliest", "latest")).alias("seen")
     )
-
-
-def _together(presence: DataFrame) -> DataFrame:
-    """Region pairs of each subscriber-day. A subscriber-day has one row per region, so it pairs
-    regions, of which there are few, and never single visits."""
-    return _side(presence, "_1").join(_side(presence, "_2"), ["msisdn", "call_date"])
+    first = days.where(F.size("seen") > 1).select("msisdn", "call_date", "seen", F.explode("seen").alias("a"))
+    return first.select("msisdn", "call_date", "a", F.explode("seen").alias("b")).where(condition)
 
 
 def region_pairs_per_day(presence: DataFrame, period: Period | None = None,
                          privacy: Privacy | None = AT_LEAST_15) -> DataFrame:
     """Subscribers seen in both regions of an unordered pair on a day."""
-    pairs = _together(_in(presence, period)).where(F.col("region_1") < F.col("region_2"))
+    pairs = _pairs(_in(presence, period), "a.region < b.region")
     counts = pairs.groupBy(
-        F.col("call_date").alias("connection_date"), F.col("region_1").alias("region1"), F.col("region_2").alias("region2")
+        F.col("call_date").alias("connection_date"), F.col("a.region").alias("region1"), F.col("b.region").alias("region2")
     ).agg(F.count(F.lit(1)).alias("subscriber_count"))
     return _published(counts, "subscriber_count", privacy)
 
@@ -121,12 +119,10 @@ def region_pairs_per_day(presence: DataFrame, period: Period | None = None,
 def directed_region_pairs_per_day(presence: DataFrame, period: Period | None = None,
                                   privacy: Privacy | None = AT_LEAST_15, by_subscriber: bool = False) -> DataFrame:
     """Subscribers first seen in one region before they were last seen in the other, on a day."""
-    pairs = _together(_in(presence, period)).where(
-        (F.col("region_1") != F.col("region_2")) & (F.col("earliest_1") < F.col("latest_2"))
-    )
+    pairs = _pairs(_in(presence, period), "a.region <> b.region AND a.earliest < b.latest")
     counts = pairs.groupBy(
         F.col("call_date").alias("connection_date"), *(["msisdn"] if by_subscriber else []),
-        F.col("region_1").alias("region_from"), F.col("region_2").alias("region_to"),
+        F.col("a.region").alias("region_from"), F.col("b.region").alias("region_to"),
     ).agg(F.count(F.lit(1)).alias("subscriber_count"))
     return _published(counts, "subscriber_count", privacy)
 

@@ -13,7 +13,7 @@ from callgrain.operators import visits as v
 from callgrain.operators.categories import add_all_categories
 from callgrain.operators.conversations import tag_conversations
 from callgrain.operators.interactions import directed_interactions
-from callgrain.params import AT_LEAST_15, MORE_THAN_15, FREQUENCIES, Calendar, FeatureParams, GroupSplit, Privacy
+from callgrain.params import FREQUENCIES, Calendar, FeatureParams, GroupSplit, Privacy
 from callgrain.plans import indicators, jobs, regions
 from callgrain.plans.features import FEATURES
 from callgrain.sources import cdr as source
@@ -93,6 +93,10 @@ def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.regional_visits(_visits(spark, sf_dir), cells(spark, sf_dir))
 
 
+def _regional_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return v.presence(_regional(spark, sf_dir))
+
+
 def _homes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.home_locations(_presence(spark, sf_dir), PERIOD)
 
@@ -105,17 +109,14 @@ def _on_homes(result: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, sf_dir: portable(result(_presence(spark, sf_dir), _homes(spark, sf_dir), *args, **kwargs))
 
 
-def _matrix(by_subscriber: bool) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pairs = regions.directed_region_pairs_per_day(
-            _presence(spark, sf_dir), AS_OF, None if by_subscriber else AT_LEAST_15, by_subscriber
-        )
-        return portable(indicators.origin_destination(
-            _regional(spark, sf_dir), pairs, PERIOD, "day", None if by_subscriber else MORE_THAN_15,
-            by_subscriber=by_subscriber,
-        ))
+def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return portable(indicators.origin_destination(_regional_presence(spark, sf_dir), PERIOD, "day", AS_OF))
 
-    return query
+
+def _matrix_by_subscriber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return portable(indicators.origin_destination(
+        _regional_presence(spark, sf_dir), PERIOD, "day", AS_OF, None, None, by_subscriber=True
+    ))
 
 
 def _enriched(split: GroupSplit) -> Query:
@@ -256,8 +257,8 @@ def queries() -> dict[str, Query]:
     for frequency in ("day", "week", "month"):
         found[f"home_region_counts_per_{frequency}"] = _on(_regional, indicators.home_region_counts, PERIOD, frequency)
     found.update({
-        "origin_destination_per_day": _matrix(by_subscriber=False),
-        "origin_destination_per_day_by_subscriber": _matrix(by_subscriber=True),
+        "origin_destination_per_day": _matrix,
+        "origin_destination_per_day_by_subscriber": _matrix_by_subscriber,
         "transactions_per_hour_by_subscriber":
             _on(_regional, indicators.transactions, PERIOD, "hour", None, by_subscriber=True),
         "transactions_per_hour_more_than_5":

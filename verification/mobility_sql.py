@@ -82,7 +82,7 @@ MOVES = f"""
 steps AS (
   SELECT *, lag(region) OVER w AS region_lag, lag(call_datetime) OVER w AS datetime_lag, lag(call_date) OVER w AS date_lag
   FROM regional WHERE {IN_PERIOD}
-  WINDOW w AS (PARTITION BY msisdn ORDER BY call_datetime, event_id, location_id, region)),
+  WINDOW w AS (PARTITION BY msisdn ORDER BY call_datetime, region)),
 moves AS (
   SELECT msisdn, call_date AS connection_date, region_lag AS region_from, region AS region_to FROM steps
   WHERE region_lag <> region AND call_date > date_lag

@@ -18,45 +18,37 @@ PERIOD = Period(date(2024, 1, 1), date(2024, 1, 30))
 AS_OF = Period(date(2024, 1, 1), date(2024, 1, 31))
 
 
+IS_TEXT = "event_type IN ('click', 'view', 'signup')"
+
+
+def _subscriber(number: str) -> str:
+    return (f"if({number} % 40 = 39, 'short-' || CAST({number} AS string), "
+            f"'sub-' || lpad(CAST({number} AS string), 18, '0'))")
+
+
 def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    caller = F.col("user_id")
-    recipient = F.col("user_id").bitwiseXOR(1 + F.col("event_id") % 3)
-
-    def subscriber(number):
-        short = F.concat(F.lit("short-"), number.cast("string"))
-        return F.when(number % 40 == 39, short).otherwise(F.concat(F.lit("sub-"), F.lpad(number.cast("string"), 18, "0")))
-
-    def antenna(every: int, times: int, plus: int):
-        number = (F.col("event_id") * times + plus) % 27
-        return F.when(F.col("event_id") % every != 0, number.cast("string"))
-
-    is_text = F.col("event_type").isin("click", "view", "signup")
-    return events.select(
-        "event_id", subscriber(caller).alias("caller_id"), subscriber(recipient).alias("recipient_id"),
-        F.date_trunc("second", "ts").alias("timestamp"), F.date_trunc("day", "ts").alias("day"),
-        F.when(is_text, "text").otherwise("call").alias("txn_type"),
-        F.when(~is_text, F.col("value")).alias("duration"),
-        antenna(29, 7, 0).alias("caller_antenna"), antenna(31, 11, 3).alias("recipient_antenna"),
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id", f"{_subscriber('user_id')} AS caller_id",
+        f"{_subscriber('(user_id ^ (1 + event_id % 3))')} AS recipient_id",
+        "date_trunc('second', ts) AS timestamp", "date_trunc('day', ts) AS day",
+        f"if({IS_TEXT}, 'text', 'call') AS txn_type", f"if({IS_TEXT}, NULL, value) AS duration",
+        "if(event_id % 29 = 0, NULL, CAST((event_id * 7) % 27 AS string)) AS caller_antenna",
+        "if(event_id % 31 = 0, NULL, CAST((event_id * 11 + 3) % 27 AS string)) AS recipient_antenna",
     )
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("string").alias("cell_id"), F.col("r_name").alias("region")
-    )
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.selectExpr("CAST(n_nationkey AS string) AS cell_id", "r_name AS region")
 
 
 def antennas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    key = F.col("n_nationkey")
-    return nation.select(
-        key.cast("string").alias("antenna_id"),
-        (12.0 + key * 0.15).cast("double").alias("latitude"),
-        (-16.0 + (key * 7 % 25) * 0.2).cast("double").alias("longitude"),
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr(
+        "CAST(n_nationkey AS string) AS antenna_id", "CAST(12.0 + n_nationkey * 0.15 AS double) AS latitude",
+        "CAST(-16.0 + (n_nationkey * 7 % 25) * 0.2 AS double) AS longitude",
     )
 
 

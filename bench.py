@@ -39,6 +39,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        # The tables are a few megabytes: keep enough partitions to occupy the cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -22,12 +22,13 @@ def _opens(txn_type: Column, second: Column, previous: Column, max_wait: int) ->
     )
 
 
-def tag_pairs(pairs: DataFrame, max_wait: int, split: GroupSplit) -> DataFrame:
+def tag_pairs(pairs: DataFrame, max_wait: int, split: GroupSplit, total: int | None = None) -> DataFrame:
     """Add to pair rows: `wait` (seconds since the pair's previous record), `conversation` (epoch second
     of its opening text, for texts) and `answers` (the previous text of the conversation is the other
     party's).
     """
-    cut = cut_large_groups(pairs.withColumn("second", F.unix_seconds("timestamp")), PAIR, "second", "event_id", split)
+    timed = pairs.withColumn("second", F.unix_seconds("timestamp"))
+    cut = cut_large_groups(timed, PAIR, "second", "event_id", split, total)
     order = Window.partitionBy(*cut.group).orderBy(*ORDER)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     is_text = F.col("txn_type") == TEXT

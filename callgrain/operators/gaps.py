@@ -11,7 +11,7 @@ from callgrain.params import ALL_DAY, ALL_WEEK, GroupSplit
 KEYS = ["caller_id", "txn_type"]
 
 
-def gaps_between_interactions(directed: DataFrame, split: GroupSplit) -> DataFrame:
+def gaps_between_interactions(directed: DataFrame, split: GroupSplit, total: int | None = None) -> DataFrame:
     """Rows (caller, type, weekday, daytime, `wait`): each interaction under its four cells, with the
     seconds since the cell's previous one.
 
@@ -21,7 +21,7 @@ def gaps_between_interactions(directed: DataFrame, split: GroupSplit) -> DataFra
     rows = directed.select(
         *KEYS, "event_id", "weekday", "daytime", F.unix_seconds("timestamp").alias("second"),
     )
-    cut = cut_large_groups(rows, KEYS, "second", "event_id", split)
+    cut = cut_large_groups(rows, KEYS, "second", "event_id", split, total)
     latest = {(w, d): f"latest_{w}_{d}" for w, d in FINE_CELLS}
     seen = {name: F.max(F.when(F.expr(in_cell(*cell)), F.col("second"))) for cell, name in latest.items()}
     earlier = Window.partitionBy(*cut.group).orderBy("second").rowsBetween(Window.unboundedPreceding, -1)

@@ -51,14 +51,13 @@ def pair_interactions(cdr: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def both_sides(pairs: DataFrame) -> DataFrame:
-    """Turn pair rows into directed interactions, keeping all further columns."""
+    """Turn pair rows into directed interactions, keeping all further columns (antennas if there are any)."""
     kept = [c for c in pairs.columns if c not in ("lo", "hi", "lo_sent", *PARTIES)]
+    antennas = [c for c in ("caller_antenna", "recipient_antenna") if c in pairs.columns]
 
     def seen_by(me: str, other: str, sent: str) -> str:
-        antennas = ", ".join(
-            f"if({sent}, {name}, {PARTIES[name]}) AS {name}" for name in ("caller_antenna", "recipient_antenna")
-        )
-        return (f"struct({me} AS caller_id, {other} AS recipient_id, if({sent}, 'out', 'in') AS direction, {antennas})")
+        places = "".join(f", if({sent}, {name}, {PARTIES[name]}) AS {name}" for name in antennas)
+        return f"struct({me} AS caller_id, {other} AS recipient_id, if({sent}, 'out', 'in') AS direction{places})"
 
     lo_view, hi_view = seen_by("lo", "hi", "lo_sent"), seen_by("hi", "lo", "NOT lo_sent")
     return pairs.selectExpr(*kept, f"inline(if(lo = hi, array({lo_view}), array({lo_view}, {hi_view})))")

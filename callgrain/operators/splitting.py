@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from callgrain.params import GroupSplit
 from callgrain.sources.sinks import stage
 
+# Rows of a group at the size limit that its size is estimated from.
+ROWS_TO_SEE = 10_000
+
 
 @dataclass(frozen=True)
 class Runs:
@@ -42,38 +45,49 @@ class Runs:
         and runs are of limited size, so this join cannot be skewed."""
         return rows.join(summary, self.group, "left")
 
+    def lay_out(self, table: DataFrame, summary: DataFrame) -> DataFrame:
+        """Repeat a table with one row per group for each run of the cut groups, so that it joins the rows
+        where they already are. `summary` has a row per such run."""
+        by_run = table.join(summary.select(*self.group), self.keys, "left")
+        return by_run.fillna(0, subset=self.runs)
+
     def finish(self, rows: DataFrame) -> DataFrame:
         return rows.drop(*self.runs, "_cut")
 
 
-def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, split: GroupSplit) -> Runs:
+def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, split: GroupSplit,
+                     total: int | None = None) -> Runs:
     """Cut the groups of `keys` above the size limit into runs along (`time`, `tie`).
 
-    `time` and `tie` are whole numbers. Each round cuts the parts that are still too large: by time
-    while a part spans more than one value of it, else by `tie`. The parts over the limit number at
-    most `1 / split.max_share`, hence their table is broadcast.
+    `time` and `tie` are whole numbers; `total` is the number of rows, or an upper bound, if known.
+    Each round cuts the parts that are still too large: by time while a part spans more than one value
+    of it, else by `tie`. Any cut gives the same results, so sizes are estimated on a share of the rows
+    (all of them where the limit is small); every row is kept. The parts over the limit number at most
+    `1 / split.max_share`, hence their table is broadcast.
     """
-    total = rows.count()
+    total = rows.count() if total is None else total
     if total <= split.rows_per_group:
         return Runs(rows, keys)
     limit = max(split.rows_per_group, int(total * split.max_share))
+    share = min(1.0, ROWS_TO_SEE / limit)
     runs: list[str] = []
     candidates = rows
     while True:
+        seen = candidates.sample(share, seed=1) if share < 1 else candidates
         spans = (
-            candidates.groupBy(*keys, *runs)
+            seen.groupBy(*keys, *runs)
             .agg(
                 F.count(F.lit(1)).alias("n"),
                 F.min(time).alias("time_0"), F.max(time).alias("time_1"),
                 F.min(tie).alias("tie_0"), F.max(tie).alias("tie_1"),
             )
-            .where(F.col("n") > limit)
+            .where(F.col("n") > limit * share)
             .withColumn("_by_time", F.col("time_1") > F.col("time_0"))
             .where(F.col("_by_time") | (F.col("tie_1") > F.col("tie_0")))
         )
         start, end = [F.when(F.col("_by_time"), F.col(f"time_{i}")).otherwise(F.col(f"tie_{i}")) for i in (0, 1)]
         spread = end - start + 1
-        step = F.least(F.ceil(spread * (F.lit(limit) / F.col("n"))), F.ceil(spread / 2))
+        step = F.least(F.ceil(spread * (F.lit(limit * share) / F.col("n"))), F.ceil(spread / 2))
         large = stage(
             spans.select(*keys, *runs, "_by_time", start.alias("_start"), step.cast("bigint").alias("_step")),
             "large-groups",

@@ -74,12 +74,14 @@ def presence(visits_with_region: DataFrame, period: Period | None = None) -> Dat
     )
 
 
-def with_neighbours(visits_with_region: DataFrame, split: GroupSplit) -> DataFrame:
-    """Add region and time of the subscriber's previous (`_lag`) and next (`_lead`) visit.
+def with_neighbours(visits_with_region: DataFrame, homes: DataFrame, split: GroupSplit) -> DataFrame:
+    """Add region and time of the subscriber's previous (`_lag`) and next (`_lead`) visit, and the
+    subscriber's `home_region`. Visits of one second follow the id of their record.
 
-    Visits of one second follow the id of their record.
+    Homes come to where the window left the visits, which are shuffled once.
     """
     rows = visits_with_region.withColumn("_second", F.unix_seconds("call_datetime"))
+    homes = homes.withColumnRenamed("region", "home_region")
     cut = cut_large_groups(rows, ["msisdn"], "_second", "event_id", split)
     visit = F.struct(*VISIT_ORDER)
     by_time = Window.partitionBy(*cut.group).orderBy(*VISIT_ORDER)
@@ -93,8 +95,10 @@ def with_neighbours(visits_with_region: DataFrame, split: GroupSplit) -> DataFra
         placed = cut.carry(placed, carried).withColumns({
             "_lag": F.coalesce("_lag", "_carried_lag"), "_lead": F.coalesce("_lead", "_carried_lead"),
         }).drop("_carried_lag", "_carried_lead")
+        homes = cut.lay_out(homes, ends)
     columns = {
         f"{name}{suffix}": F.col(suffix)[name]
         for suffix in ("_lag", "_lead") for name in ("region", "call_datetime")
     }
-    return cut.finish(placed.withColumns(columns)).drop("_second", "_lag", "_lead")
+    placed = placed.withColumns(columns).join(homes, cut.group, "left")
+    return cut.finish(placed).drop("_second", "_lag", "_lead")

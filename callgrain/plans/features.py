@@ -57,17 +57,26 @@ class FeatureInputs:
     @cached_property
     def tagged(self) -> DataFrame:
         pairs = pair_interactions(self.cdr, self.params.calendar)
-        return tag_pairs(pairs, self.params.max_wait, self.params.split)
+        return tag_pairs(pairs, self.params.max_wait, self.params.split, total=2 * self.records)
+
+    @cached_property
+    def records(self) -> int:
+        return self.cdr.count()
 
     def stage_shared(self) -> FeatureInputs:
         """The same inputs with the shared tables written once, for a job that computes many features."""
         staged = FeatureInputs(self.cdr, self.antennas, self.params)
-        needed = ("lo", "hi", "lo_sent", "timestamp", "txn_type", "weekday", "daytime", "caller_id", "recipient_id",
-                  "caller_antenna", "recipient_antenna", "wait", "conversation", "answers")
-        staged.activity = stage(self.activity, "activity")
+        staged.records = self.records
         staged.contacts = stage(self.contacts, "contacts")
+        # Callers' totals are sums over their contacts, which are fewer than the records.
+        staged.activity = staged.contacts.groupBy(*TYPED_CELL).agg(
+            F.sum("n_out").alias("n_out"), F.sum("n_in").alias("n_in")
+        )
         staged.antenna_use = stage(self.antenna_use, "antenna-use")
-        staged.tagged = stage(self.tagged.where(F.col("txn_type") == TEXT).select(*needed), "texts")
+        texts = self.tagged.where(F.col("txn_type") == TEXT).select(
+            "lo", "hi", "lo_sent", "timestamp", "txn_type", "weekday", "daytime", "wait", "conversation", "answers"
+        )
+        staged.tagged = stage(texts, "texts")
         return staged
 
     def stats(self, value: str, mean: Column | None = None) -> list[Column]:
@@ -133,7 +142,7 @@ def interactions_per_contact(inputs: FeatureInputs) -> DataFrame:
 
 
 def interevent_time(inputs: FeatureInputs) -> DataFrame:
-    gaps = gaps_between_interactions(inputs.directed, inputs.params.split)
+    gaps = gaps_between_interactions(inputs.directed, inputs.params.split, total=2 * inputs.records)
     return gaps.groupBy(*TYPED_CELL).agg(*inputs.stats("wait"))
 
 

@@ -111,5 +111,4 @@ def home_region_counts(visits: DataFrame, period: Period, frequency: str,
 def enriched_visits(visits: DataFrame, homes: DataFrame, split: GroupSplit) -> DataFrame:
     """Visits with home region, previous and next visit, and time buckets. A subscriber's first visit has
     no previous one: its lag columns are null, unlike those of a visit after an unmapped cell."""
-    homes = homes.withColumnRenamed("region", "home_region")
-    return with_buckets(with_neighbours(visits, split).join(homes, "msisdn", "left"))
+    return with_buckets(with_neighbours(visits, homes, split))

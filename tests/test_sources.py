@@ -1,0 +1,102 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from callgrain.sources import cdr as source
+from callgrain.sources.sinks import land_cdr, save_all, stage
+
+HEADER = "caller_id,recipient_id,timestamp,txn_type,duration,caller_antenna,recipient_antenna\n"
+
+
+@pytest.fixture
+def csv(tmp_path):
+    (tmp_path / "a.csv").write_text(
+        HEADER + "A,B,2024-01-01 10:00:00,call,12.5,1,\nB,,2024-01-01 11:00:00,text,,2,1\nC,D,not a time,call,3,1,1\n"
+    )
+    # Other column order, in a file of its own folder.
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "b.csv").write_text(
+        "timestamp,caller_id,recipient_id,txn_type,duration,caller_antenna,recipient_antenna,extra\n"
+        "2024-01-02 00:00:00,A,C,call,long,1,2,x\n"
+    )
+    return tmp_path
+
+
+def test_read_and_clean(spark, csv):
+    raw = source.read_cdr(spark, f"{csv}/*.csv")
+    assert {f.dataType.simpleString() for f in raw.schema} == {"string"}
+    clean = source.clean_cdr(raw)
+    rows = clean.orderBy("caller_id").collect()
+    assert [(r.caller_id, r.recipient_id, r.duration, r.recipient_antenna) for r in rows] == [
+        ("A", "B", 12.5, None), ("B", None, None, "1"),
+    ]
+    assert rows[0].day.isoformat() == "2024-01-01T00:00:00"
+    assert clean.schema["duration"].dataType.simpleString() == "double"
+    assert len({r.event_id for r in rows}) == 2
+
+
+def test_columns_are_found_by_name(spark, csv):
+    row = source.clean_cdr(source.read_cdr(spark, f"{csv}/more/*.csv")).first()
+    assert (row.caller_id, row.recipient_id, row.duration) == ("A", "C", None)
+
+
+def test_rejects_are_counted(spark, csv):
+    counts = source.rejects(source.read_cdr(spark, [f"{csv}/a.csv"])).first()
+    assert tuple(counts) == (3, 1, 1, 0)
+    counts = source.rejects(source.read_cdr(spark, [f"{csv}/more/b.csv"])).first()
+    assert tuple(counts) == (1, 0, 0, 1)
+
+
+def test_missing_columns(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("caller_id,timestamp\nA,2024-01-01 00:00:00\n")
+    with pytest.raises(ValueError, match="recipient_id"):
+        source.read_cdr(spark, str(tmp_path))
+
+
+def test_cells_and_antennas(spark, tmp_path):
+    (tmp_path / "cells.csv").write_text("Cell_ID_LAC,UA,other\n1,North,x\n,South,y\n2,,z\n")
+    cells = source.read_cells(spark, str(tmp_path / "cells.csv"))
+    assert sorted(map(tuple, cells.collect())) == [("1", "North"), ("2", None)]
+    (tmp_path / "antennas.csv").write_text("antenna_id,latitude,longitude\n1,14.5,-17\n2,bad,3\n")
+    antennas = source.read_antennas(spark, str(tmp_path / "antennas.csv"))
+    assert sorted(map(tuple, antennas.collect())) == [("1", 14.5, -17.0), ("2", None, 3.0)]
+
+
+def test_filter_dates(records):
+    df = records(*[{"at": 86400 * n - 36000} for n in range(4)])
+    assert df.count() == 4
+    assert source.filter_dates(df, date(2024, 1, 2), date(2024, 1, 3)).count() == 2
+    with pytest.raises(ValueError):
+        source.filter_dates(df, date(2024, 1, 2), date(2024, 1, 3), column="when")
+
+
+def test_land_prunes_days(spark, records, tmp_path):
+    df = records(*[{"at": 86400 * n, "duration": float(n)} for n in range(3)])
+    land_cdr(df, str(tmp_path / "cdr"))
+    landed = spark.read.parquet(str(tmp_path / "cdr"))
+    assert landed.count() == 3
+    one = landed.where(F.col("day") == F.lit(date(2024, 1, 2)))
+    assert one.first().duration == 1.0
+    assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_save_replaces(spark, tmp_path):
+    for n in (5, 2):
+        paths = save_all({"numbers": spark.range(n)}, str(tmp_path))
+    assert spark.read.parquet(paths["numbers"]).count() == 2
+
+
+def test_stage_keeps_schema(spark):
+    df = spark.range(3).select("id", F.lit("x").alias("x"))
+    staged = stage(df, "t")
+    assert staged.columns == df.columns and staged.count() == 3
+
+
+def test_join_on(spark):
+    a = spark.createDataFrame([("A", 1)], "caller_id string, x int")
+    b = spark.createDataFrame([("B", 2)], "caller_id string, y int")
+    c = spark.createDataFrame([("A", 3)], "caller_id string, z int")
+    rows = {tuple(r) for r in source.join_on([a, b, c], "caller_id", "full").collect()}
+    assert rows == {("A", 1, None, 3), ("B", None, 2, None)}
+    assert source.join_on([a, b], "caller_id", "inner").count() == 0

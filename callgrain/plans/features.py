@@ -175,7 +175,7 @@ def entropy_of_antennas(inputs: FeatureInputs) -> DataFrame:
 
 def percent_at_home(inputs: FeatureInputs) -> DataFrame:
     """Home is the antenna with the most night interactions, the smallest id among equals."""
-    known = inputs.antenna_use.dropna(subset=["caller_antenna"]).withColumn(
+    known = inputs.antenna_use.where("caller_antenna IS NOT NULL").withColumn(
         "nights", F.col("n_weekday_night") + F.col("n_weekend_night")
     )
     # A caller has at most one row per antenna here, so the window holds no more than the antennas.
@@ -193,7 +193,7 @@ def percent_at_home(inputs: FeatureInputs) -> DataFrame:
 
 def radius_of_gyration(inputs: FeatureInputs) -> DataFrame:
     """Root mean square distance of interactions from their mean coordinates, in km."""
-    located = inputs.antennas.dropna(subset=["antenna_id", "latitude", "longitude"])
+    located = inputs.antennas.where("antenna_id IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL")
     used = inputs.antenna_use.join(located, F.col("caller_antenna") == F.col("antenna_id"))
     sums = [f"n_{w}_{d}" for w, d in FINE_CELLS]
     cells = explode_cells(

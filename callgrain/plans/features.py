@@ -153,7 +153,9 @@ def percent_pareto_interactions(inputs: FeatureInputs) -> DataFrame:
 
 def percent_pareto_durations(inputs: FeatureInputs) -> DataFrame:
     calls = inputs.contacts.where(F.col("txn_type") == CALL)
-    heads = pareto_head(calls, CALLER_CELL, "seconds", inputs.params.pareto_share)
+    # Each cell has at most one contact per record and side.
+    most = 18 * inputs.records
+    heads = pareto_head(calls, CALLER_CELL, "seconds", inputs.params.pareto_share, inputs.params.split, most)
     return heads.select(*CALLER_CELL, (F.col("head") / F.col("items")).alias("value"))
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from callgrain.operators.conversations import tag_pairs
 from callgrain.operators.gaps import gaps_between_interactions
 from callgrain.operators.interactions import directed_interactions, pair_interactions
+from callgrain.operators.pareto import pareto_head
 from callgrain.operators.splitting import cut_large_groups
 from callgrain.operators.visits import regional_visits, visits, with_neighbours
 from callgrain.params import Calendar, GroupSplit
+from conftest import as_set
 
 WHOLE = GroupSplit()
 
@@ -85,6 +87,16 @@ def test_neighbours(spark, records, hot_rows, size):
     assert whole == cut and len(whole) == located.count()
 
 
+@pytest.mark.parametrize("share", [0.3, 0.8, 1.0])
+@pytest.mark.parametrize("size", [2, 10, 60])
+def test_pareto(spark, size, share):
+    random.seed(size)
+    rows = [(min(n % 7, 2), round(random.expovariate(0.01), 2)) for n in range(400)] + [(3, 0.0)] * 5 + [(4, 2.5)] * 9
+    items = spark.createDataFrame(rows, "g int, v double").selectExpr("g", "CAST(v AS decimal(32,6)) AS v")
+    whole, cut = [as_set(pareto_head(items, ["g"], "v", share, split)) for split in (None, GroupSplit(rows_per_group=size))]
+    assert whole == cut and len(whole) == 5
+
+
 def test_sizes_estimated_on_a_share(spark, monkeypatch):
     """With a share of the rows seen, the cut may lie elsewhere, but rows stay whole and in order."""
     import callgrain.operators.splitting as splitting

@@ -5,7 +5,7 @@ All start from `presence`: one row per subscriber, date and region.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from callgrain.params import AT_LEAST_15, Period, Privacy
 
@@ -27,12 +27,15 @@ def subscribers_per_region_per_day(presence: DataFrame, period: Period | None =
     return _published(counts, "subscriber_count", privacy)
 
 
+def _week_keys(iso_year: bool) -> dict[str, Column]:
+    year = {"visit_year": F.expr("extract(YEAROFWEEK FROM call_date)")} if iso_year else {}
+    return {**year, "visit_week": F.weekofyear("call_date")}
+
+
 def subscribers_per_region_per_week(presence: DataFrame, period: Period | None = None,
                                     privacy: Privacy | None = AT_LEAST_15, iso_year: bool = False) -> DataFrame:
     """By ISO week number. Weeks of different years share a number unless `iso_year` is added to the key."""
-    keys = {"visit_week": F.weekofyear("call_date")}
-    if iso_year:
-        keys = {"visit_year": F.expr("extract(YEAROFWEEK FROM call_date)"), **keys}
+    keys = _week_keys(iso_year)
     weekly = _in(presence, period).select(*[k.alias(n) for n, k in keys.items()], "region", "msisdn")
     counts = weekly.groupBy(*keys, "region").agg(F.countDistinct("msisdn").alias("subscriber_count"))
     return _published(counts, "subscriber_count", privacy)
@@ -67,33 +70,37 @@ def residents_per_region_per_week(presence: DataFrame, homes: DataFrame, period:
     return subscribers_per_region_per_week(at_home(presence, homes), period, privacy, iso_year)
 
 
-def visitors(everyone: DataFrame, residents: DataFrame, privacy: Privacy | None = AT_LEAST_15) -> DataFrame:
-    """Subscribers less residents, from two counts of the same keys. Where residents are withheld they
-    count as 0; pass counts without a threshold for exact differences."""
-    keys = [c for c in everyone.columns if c != "subscriber_count"]
-    both = everyone.join(residents.withColumnRenamed("subscriber_count", "resident_count"), keys, "left")
-    count = F.col("subscriber_count") - F.coalesce("resident_count", F.lit(0))
-    return _published(both.select(*keys, count.alias("subscriber_count")), "subscriber_count", privacy)
+def _with_home_mark(presence: DataFrame, homes: DataFrame) -> DataFrame:
+    return presence.join(homes.withColumn("at_home", F.lit(True)), ["msisdn", "region"], "left")
+
+
+def _visitors(marked: DataFrame, keys: list, privacy: Privacy | None, inner: Privacy | None) -> DataFrame:
+    """Subscribers less residents, both counted in one grouping. Each subscriber is there once per group."""
+    counts = marked.groupBy(*keys).agg(
+        F.count("msisdn").alias("everyone"), F.count_if(F.col("at_home")).alias("residents")
+    )
+    if inner is not None:
+        # Withheld totals give no row, withheld residents count as none.
+        counts = counts.where(inner.allows("everyone"))
+        counts = counts.withColumn("residents", F.when(inner.allows("residents"), F.col("residents")).otherwise(0))
+    counts = counts.withColumn("subscriber_count", F.col("everyone") - F.col("residents"))
+    return _published(counts.drop("everyone", "residents"), "subscriber_count", privacy)
 
 
 def visitors_per_region_per_day(presence: DataFrame, homes: DataFrame, period: Period | None = None,
                                 privacy: Privacy | None = AT_LEAST_15, threshold_inputs: bool = True) -> DataFrame:
-    inner = privacy if threshold_inputs else None
-    # Residents are counted on all dates; dates outside the period find no partner.
-    return visitors(
-        subscribers_per_region_per_day(presence, period, inner),
-        residents_per_region_per_day(presence, homes, None, inner), privacy,
-    )
+    marked = _with_home_mark(_in(presence, period), homes)
+    keys = [F.col("call_date").alias("visit_date"), "region"]
+    return _visitors(marked, keys, privacy, privacy if threshold_inputs else None)
 
 
 def visitors_per_region_per_week(presence: DataFrame, homes: DataFrame, period: Period | None = None,
                                  privacy: Privacy | None = AT_LEAST_15, threshold_inputs: bool = True,
                                  iso_year: bool = False) -> DataFrame:
-    inner = privacy if threshold_inputs else None
-    return visitors(
-        subscribers_per_region_per_week(presence, period, inner, iso_year),
-        residents_per_region_per_week(presence, homes, period, inner, iso_year), privacy,
-    )
+    keys = _week_keys(iso_year)
+    weekly = _in(presence, period).select(*[k.alias(n) for n, k in keys.items()], "region", "msisdn").distinct()
+    marked = _with_home_mark(weekly, homes)
+    return _visitors(marked, [*keys, "region"], privacy, privacy if threshold_inputs else None)
 
 
 def _pairs(presence: DataFrame, condition: str) -> DataFrame:

@@ -71,9 +71,10 @@ def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, spli
     limit = max(split.rows_per_group, int(total * split.max_share))
     share = min(1.0, ROWS_TO_SEE / limit)
     runs: list[str] = []
-    candidates = rows
+    # Written once, so that the rounds below do not go through the records again.
+    seen = rows.select(*dict.fromkeys([*keys, time, tie]))
+    seen = stage(seen.sample(share, seed=1) if share < 1 else seen, "group-sizes")
     while True:
-        seen = candidates.sample(share, seed=1) if share < 1 else candidates
         spans = (
             seen.groupBy(*keys, *runs)
             .agg(
@@ -94,9 +95,10 @@ def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, spli
         )
         if large.isEmpty():
             break
-        rows = _number_runs(rows, large, keys + runs, time, tie, f"_run_{len(runs)}")
-        runs = [*runs, f"_run_{len(runs)}"]
-        candidates = rows.where("_cut")
+        name = f"_run_{len(runs)}"
+        rows = _number_runs(rows, large, keys + runs, time, tie, name)
+        seen = _number_runs(seen, large, keys + runs, time, tie, name).where("_cut")
+        runs = [*runs, name]
     return Runs(rows, keys, runs)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callgrain.llm import queries as q, toxicity
+from callgrain.llm import decontam, near_text, queries as q, toxicity
 from callgrain.sources.sinks import stage
 
 
@@ -17,8 +17,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, q.fitted_toxicity(spark, docs, sf_dir))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_text.first_of_groups(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return decontam.without_leaks(docs, q.table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("minhash near dedup", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
 ]
 
 #: Fitted models and tokenizers have no SQL; the stages are tested against brute force.

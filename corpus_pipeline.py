@@ -6,9 +6,9 @@ folder and reads it again, so a lost executor costs one stage at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callgrain.llm import decontam, near_text, queries as q, toxicity
+from callgrain.llm import bpe, decontam, near_text, queries as q, secret_scan, toxicity
 from callgrain.sources.sinks import stage
 
 
@@ -27,10 +27,25 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontam.without_leaks(docs, q.table(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets that the forest keeps are replaced in the texts; n_chars of the changed texts follows."""
+    clean = secret_scan.redacted(docs.withColumn("_before", F.col("text")), q.fitted_forest(docs))
+    changed = ~F.col("text").eqNullSafe(F.col("_before"))
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids, and the text that these decode to."""
+    return bpe.with_tokens(docs, q.vocabulary("word_bpe_49k.json"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("minhash near dedup", drop_near_copies),
     ("benchmark decontamination", drop_leaks),
+    ("secret scan", redact_secrets),
+    ("bpe", tokenize),
 ]
 
 #: Fitted models and tokenizers have no SQL; the stages are tested against brute force.

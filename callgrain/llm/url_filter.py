@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from callgrain.llm.words import mix, runs, text_bytes
 
 ORDER = 4
-CELLS = 1 << 16
+CELLS = 1 << 18
 #: Share of a shorter context's distribution, in characters seen.
 PRIOR = 4.0
 _U = np.uint64
@@ -92,7 +92,7 @@ def _cells(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
             char = np.where(place >= order, raw[np.maximum(back, 0)].astype(np.uint64) + _U(2), _U(1))
             context = mix(context * _U(0x100000001B3) + char)
         salted = mix(context + _U(order + 1))
-        yield (salted >> _U(48)).astype(np.int64), (mix(salted + raw.astype(np.uint64) + _U(1)) >> _U(48)).astype(np.int64), text
+        yield (salted >> _U(64 - 18)).astype(np.int64), (mix(salted + raw.astype(np.uint64) + _U(1)) >> _U(64 - 18)).astype(np.int64), text
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def fit(examples: DataFrame, url_col: str = "url", label_col: str = "accepted")
     calibrates = F.crc32(F.col("url").cast("binary")) % 5 == 0
     # At most 4 x (ORDER + 1) x CELLS rows.
     cells = rows.where(~calibrates).mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros((2, 2, ORDER + 1, CELLS))
+    total = np.zeros((2, 2, ORDER + 1, CELLS), np.float32)
     total.ravel()[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
     model = Ratio(total[0], total[1])
     if not model.fitted:

@@ -1,0 +1,149 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from callgrain.llm import bpe, token_counts
+from callgrain.llm.queries import vocabulary
+
+tokenizers = pytest.importorskip("tokenizers")
+ALPHABET = "abcdefghijklmnopqrstuvwxyz" * 2 + "ABCÉéèßñΣσς'’ \n\t.,!?019\x1c\x85\xa0　日本😀̈́́İﬁ<|>"
+TEXTS = st.lists(st.text(alphabet=ALPHABET, max_size=60), max_size=6)
+HARD = [
+    "", " ", "aaaaaaaaaaaaaaaaaaa" * 40, "hahahaha" * 50, "it's WE'LL i'm'ded", "a<|endoftext|>b <|startoftext|>", "ΟΔΟΣ ΑΣ.",
+    "é ́a", "x\x1cy \x1d z", "1234567890" * 30, "-" * 500, "th" * 999, "  a　b",
+]
+
+
+@pytest.fixture(scope="module")
+def word():
+    return tokenizers.Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+
+
+@pytest.fixture(scope="module")
+def byte():
+    return tokenizers.Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+
+
+def ids(codec, texts):
+    return [np.frombuffer(r, np.int32).tolist() for r in codec.encode(texts)]
+
+
+@settings(deadline=None, max_examples=200)
+@given(TEXTS)
+def test_ids_and_texts_are_the_library_s(word, texts):
+    codec = bpe.codec(vocabulary("word_bpe_49k.json"))
+    expected = [e.ids for e in word.encode_batch(texts, add_special_tokens=False)]
+    assert ids(codec, texts) == expected
+    assert [codec.decode(e) for e in expected] == [word.decode(e, skip_special_tokens=False) for e in expected]
+
+
+def test_hard_texts_and_small_caches(word, monkeypatch):
+    expected = [e.ids for e in word.encode_batch(HARD, add_special_tokens=False)]
+    codec = bpe.codec(vocabulary("word_bpe_49k.json"))
+    assert ids(codec, HARD) == expected
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    assert [ids(codec, [t])[0] for t in HARD] == expected
+
+
+def test_random_merges_against_merging_step_by_step():
+    """Vocabularies of random merges over two letters, where ties and long runs are common."""
+    pick = random.Random(1)
+    for _ in range(60):
+        codec, ranks = bpe.Codec.__new__(bpe.Codec), {}
+        names = ["a", "b"]
+        for _ in range(12):
+            pair = (pick.choice(names), pick.choice(names))
+            if "".join(pair) not in names:
+                ranks[pair] = len(ranks)
+                names.append("".join(pair))
+        import ahocorasick
+
+        number = {s: k for k, s in enumerate(names)}
+        codec.ranks = {(number[a], number[b]): r for (a, b), r in ranks.items()}
+        codec.halves = {number[a + b]: (r, number[a], number[b]) for (a, b), r in ranks.items()}
+        codec.end, codec.fits_known, codec.matcher = "", {}, ahocorasick.Automaton()
+        made = codec._made()
+        for s, k in number.items():
+            if k not in codec.halves or k in made:
+                codec.matcher.add_word(s, (k, len(s)))
+        codec.matcher.make_automaton()
+        for _ in range(40):
+            text = [pick.choice("ab") for _ in range(pick.randrange(1, 16))]
+            got = [names[k] for k in np.frombuffer(codec.encode_part("".join(text)), np.int32)]
+            while True:
+                known = [(ranks[p], k) for k, p in enumerate(zip(text, text[1:])) if p in ranks]
+                if not known:
+                    break
+                _, k = min(known)
+                text[k:k + 2] = [text[k] + text[k + 1]]
+            assert got == text
+
+
+def test_encoded_table(spark, strange, word):
+    path = vocabulary("word_bpe_49k.json")
+    rows = bpe.encoded(strange, path).collect()
+    assert len(rows) == strange.count()
+    texts = {r.doc_id: r.text for r in strange.collect() if r.doc_id not in (4, 5)}
+    for r in rows:
+        if r.doc_id in texts:
+            expected = word.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+            assert r.ids == expected and r.decoded == word.decode(expected, skip_special_tokens=False)
+    added = bpe.with_tokens(strange, path)
+    assert sorted(added.columns) == sorted(strange.columns)  # token_ids and decoded were there
+    assert added.count() == strange.count() and bpe.encoded(strange.limit(0), path).count() == 0
+    assert strange.schema.fieldNames()[-1] == "key"
+
+
+@settings(deadline=None, max_examples=150)
+@given(TEXTS, st.integers(1, 12))
+def test_counts_are_the_library_s(byte, texts, piece):
+    old, token_counts.PIECE = token_counts.PIECE, piece
+    try:
+        cut = [token_counts.pieces(t, piece) for t in texts]
+        found = token_counts.counts(texts, vocabulary("byte_bpe_50k.json"))
+    finally:
+        token_counts.PIECE = old
+    assert ["".join(c) for c in cut] == texts
+    expected = [len(e.ids) for e in byte.encode_batch(texts, add_special_tokens=False)]
+    assert found.tolist() == expected
+    split = [sum(len(e.ids) for e in byte.encode_batch(c, add_special_tokens=False)) for c in cut]
+    assert split == expected
+
+
+def test_counts_table(spark, strange, byte):
+    rows = token_counts.token_counts(strange, vocabulary("byte_bpe_50k.json")).collect()
+    assert len(rows) == strange.count()
+    by = {r.doc_id: r for r in rows}
+    assert [(by[k].n_bytes, by[k].n_tokens) for k in (1, 2)] == [(0, 0), (0, 0)]
+    texts = {r.doc_id: r.text for r in strange.collect()}
+    for k in (3, 4, 6, 8):
+        assert by[k].n_bytes == len(texts[k].encode()) and by[k].n_tokens == len(byte.encode(texts[k]).ids)
+    assert token_counts.token_counts(strange.limit(0), vocabulary("byte_bpe_50k.json")).count() == 0
+
+
+def test_sentence_pieces():
+    texts = [None, "", "Hello there, world", "é" * 50]
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    found = token_counts.counts(texts, vocabulary("piece_bpe_32k.model"))
+    assert found.tolist() == [len(library.encode(t or "")) for t in texts]
+
+
+def test_query_digests(spark):
+    from callgrain.llm.queries import op3_bpe
+
+    sf = "/root/testdata/sf0.001"
+    library = tokenizers.Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    rows = {r.doc_id: r for r in op3_bpe(spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").limit(50).collect():
+        expected = library.encode(r.text, add_special_tokens=False).ids
+        text = library.decode(expected, skip_special_tokens=False)
+        assert rows[r.doc_id].n_tokens == len(expected)
+        assert rows[r.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, expected)).encode()).hexdigest()
+        assert rows[r.doc_id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()

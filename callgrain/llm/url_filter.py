@@ -29,6 +29,7 @@ from callgrain.llm.words import mix, runs, text_bytes
 
 ORDER = 4
 CELLS = 1 << 18
+_SHIFT = np.uint64(64 - 18)
 #: Share of a shorter context's distribution, in characters seen.
 PRIOR = 4.0
 _U = np.uint64
@@ -92,7 +93,8 @@ def _cells(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
             char = np.where(place >= order, raw[np.maximum(back, 0)].astype(np.uint64) + _U(2), _U(1))
             context = mix(context * _U(0x100000001B3) + char)
         salted = mix(context + _U(order + 1))
-        yield (salted >> _U(64 - 18)).astype(np.int64), (mix(salted + raw.astype(np.uint64) + _U(1)) >> _U(64 - 18)).astype(np.int64), text
+        following = mix(salted + raw.astype(np.uint64) + _U(1))
+        yield (salted >> _SHIFT).astype(np.int64), (following >> _SHIFT).astype(np.int64), text
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -95,7 +95,8 @@ def _resume(rows: DataFrame, cut: Runs, max_wait: int) -> DataFrame:
 def tag_conversations(cdr: DataFrame, params: FeatureParams) -> DataFrame:
     """Directed interactions with `wait`, `conversation` and `answers`."""
     pairs = pair_interactions(cdr, params.calendar)
-    return both_sides(tag_pairs(pairs, params.max_wait, params.split))
+    # Each record is there at most twice; counting the records reads no column of them.
+    return both_sides(tag_pairs(pairs, params.max_wait, params.split, total=2 * cdr.count()))
 
 
 def conversation_openings(tagged_pairs: DataFrame, calendar: Calendar) -> DataFrame:

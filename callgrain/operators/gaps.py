@@ -9,6 +9,8 @@ from callgrain.operators.splitting import cut_large_groups
 from callgrain.params import ALL_DAY, ALL_WEEK, GroupSplit
 
 KEYS = ["caller_id", "txn_type"]
+# Stands for a null type while groups are cut, as keys that are null would not join.
+NO_TYPE = "\0"
 
 
 def gaps_between_interactions(directed: DataFrame, split: GroupSplit, total: int | None = None) -> DataFrame:
@@ -19,7 +21,8 @@ def gaps_between_interactions(directed: DataFrame, split: GroupSplit, total: int
     is the latest of its members. So rows are repeated per cell only after the sort.
     """
     rows = directed.select(
-        *KEYS, "event_id", "weekday", "daytime", F.unix_seconds("timestamp").alias("second"),
+        "caller_id", F.coalesce("txn_type", F.lit(NO_TYPE)).alias("txn_type"), "event_id", "weekday", "daytime",
+        F.unix_seconds("timestamp").alias("second"),
     )
     cut = cut_large_groups(rows, KEYS, "second", "event_id", split, total)
     latest = {(w, d): f"latest_{w}_{d}" for w, d in FINE_CELLS}
@@ -51,4 +54,5 @@ def gaps_between_interactions(directed: DataFrame, split: GroupSplit, total: int
         f"struct({quoted(week, 'weekday')}, {quoted(day, 'daytime')}, second - {previous(week, day)} AS wait)"
         for week in (None, ALL_WEEK) for day in (None, ALL_DAY)
     ]
+    placed = placed.withColumn("txn_type", F.nullif("txn_type", F.lit(NO_TYPE)))
     return placed.selectExpr(*KEYS, f"inline(array({', '.join(cells)}))")

@@ -15,10 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from callgrain.params import GroupSplit
 from callgrain.sources.sinks import stage
 
-# Rows of a group at the size limit that its size is estimated from.
-ROWS_TO_SEE = 10_000
-
-
 @dataclass(frozen=True)
 class Runs:
     """Rows of ordered groups; `runs` is empty if no group had to be cut."""
@@ -59,17 +55,17 @@ def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, spli
                      total: int | None = None) -> Runs:
     """Cut the groups of `keys` above the size limit into runs along (`time`, `tie`).
 
-    `time` and `tie` are whole numbers; `total` is the number of rows, or an upper bound, if known.
-    Each round cuts the parts that are still too large: by time while a part spans more than one value
-    of it, else by `tie`. Any cut gives the same results, so sizes are estimated on a share of the rows
-    (all of them where the limit is small); every row is kept. The parts over the limit number at most
-    `1 / split.max_share`, hence their table is broadcast.
+    `keys` are never null, `time` and `tie` are whole numbers; `total` is the number of rows, or an upper bound: up to
+    the limit no group can exceed it. Each round cuts the parts that are still too large: by time while those rows
+    of a part that were seen span more than one value of it, else by `tie`. Sizes and spans are estimated on a share of
+    the rows (all of them where the limit is small). Runs follow the order whatever was seen: a part that is cut by
+    `tie` keeps rows of earlier and later times in runs of their own on either side. So the cut decides only where
+    rows are worked on.
     """
-    total = rows.count() if total is None else total
-    if total <= split.rows_per_group:
+    if total is not None and total <= split.rows_per_group:
         return Runs(rows, keys)
-    limit = max(split.rows_per_group, int(total * split.max_share))
-    share = min(1.0, ROWS_TO_SEE / limit)
+    limit = split.rows_per_group
+    share = min(1.0, split.rows_to_see / limit)
     runs: list[str] = []
     # Written once, so that the rounds below do not go through the records again.
     seen = rows.select(*dict.fromkeys([*keys, time, tie]))
@@ -90,7 +86,8 @@ def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, spli
         spread = end - start + 1
         step = F.least(F.ceil(spread * (F.lit(limit * share) / F.col("n"))), F.ceil(spread / 2))
         large = stage(
-            spans.select(*keys, *runs, "_by_time", start.alias("_start"), step.cast("bigint").alias("_step")),
+            spans.select(*keys, *runs, "_by_time", F.col("time_0").alias("_time"), start.alias("_start"),
+                         end.alias("_end"), step.cast("bigint").alias("_step")),
             "large-groups",
         )
         if large.isEmpty():
@@ -103,13 +100,20 @@ def cut_large_groups(rows: DataFrame, keys: list[str], time: str, tie: str, spli
 
 
 def _number_runs(rows: DataFrame, large: DataFrame, on: list[str], time: str, tie: str, name: str) -> DataFrame:
-    place: Column = F.when(F.col("_by_time"), F.col(time)).otherwise(F.col(tie)) - F.col("_start")
+    last = F.floor((F.col("_end") - F.col("_start")) / F.col("_step"))
+    within = F.floor((F.col(tie) - F.col("_start")) / F.col("_step"))
+    by_tie: Column = (
+        F.when(F.col(time) < F.col("_time"), F.lit(-1)).when(F.col(time) > F.col("_time"), last + 1)
+        .otherwise(F.greatest(F.lit(0), F.least(within, last)))
+    )
+    by_time = F.floor((F.col(time) - F.col("_start")) / F.col("_step"))
     already_cut = F.col("_cut") if "_cut" in rows.columns else F.lit(False)
+    # The table of large parts has no hint: Spark broadcasts it if its stored size is small.
     return (
-        rows.join(F.broadcast(large), on, "left")
+        rows.join(large, on, "left")
         .withColumns({
-            name: F.coalesce(F.floor(place / F.col("_step")), F.lit(0)),
+            name: F.coalesce(F.when(F.col("_by_time"), by_time).otherwise(by_tie), F.lit(0)),
             "_cut": already_cut | F.col("_step").isNotNull(),
         })
-        .drop("_by_time", "_start", "_step")
+        .drop("_by_time", "_time", "_start", "_end", "_step")
     )

@@ -74,15 +74,17 @@ def presence(visits_with_region: DataFrame, period: Period | None = None) -> Dat
     )
 
 
-def with_neighbours(visits_with_region: DataFrame, homes: DataFrame, split: GroupSplit) -> DataFrame:
+def with_neighbours(visits_with_region: DataFrame, homes: DataFrame, split: GroupSplit,
+                    total: int | None = None) -> DataFrame:
     """Add region and time of the subscriber's previous (`_lag`) and next (`_lead`) visit, and the
     subscriber's `home_region`. Visits of one second follow the id of their record.
 
-    Homes come to where the window left the visits, which are shuffled once.
+    Homes come to where the window left the visits, which are shuffled once. `total`, an upper bound of the number of
+    visits (twice that of the records), saves estimating the sizes of groups where it is below the limit.
     """
     rows = visits_with_region.withColumn("_second", F.unix_seconds("call_datetime"))
     homes = homes.withColumnRenamed("region", "home_region")
-    cut = cut_large_groups(rows, ["msisdn"], "_second", "event_id", split)
+    cut = cut_large_groups(rows, ["msisdn"], "_second", "event_id", split, total)
     visit = F.struct(*VISIT_ORDER)
     by_time = Window.partitionBy(*cut.group).orderBy(*VISIT_ORDER)
     placed = cut.rows.withColumns({"_lag": F.lag(visit).over(by_time), "_lead": F.lead(visit).over(by_time)})

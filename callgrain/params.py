@@ -65,14 +65,14 @@ MORE_THAN_15 = Privacy(15, strict=True)
 
 @dataclass(frozen=True)
 class GroupSplit:
-    """When an ordered group (a caller, a pair, a subscriber) is too large for one task.
+    """When an ordered group (a caller, a pair, a subscriber) is too large for one task: it is cut along its
+    order into runs of about this many rows, at any size of the data.
 
-    Groups above `max(rows_per_group, max_share * all rows)` are cut along their order.
-    There can be at most `1 / max_share` such groups, which bounds what is broadcast.
+    Sizes are estimated on a share of all rows that leaves `rows_to_see` of a group at the limit.
     """
 
     rows_per_group: int = 5_000_000
-    max_share: float = 1e-5
+    rows_to_see: int = 10_000
 
 
 @dataclass(frozen=True)

@@ -108,7 +108,12 @@ def home_region_counts(visits: DataFrame, period: Period, frequency: str,
     return _published(counts, "count", privacy)
 
 
-def enriched_visits(visits: DataFrame, homes: DataFrame, split: GroupSplit) -> DataFrame:
-    """Visits with home region, previous and next visit, and time buckets. A subscriber's first visit has
-    no previous one: its lag columns are null, unlike those of a visit after an unmapped cell."""
-    return with_buckets(with_neighbours(visits, homes, split))
+def enriched_visits(visits: DataFrame, homes: DataFrame, split: GroupSplit, total: int | None = None,
+                    fill_ends: bool = True) -> DataFrame:
+    """Visits with home region, previous and next visit, and time buckets.
+
+    A subscriber's first visit has no previous region and the last no next one. With `fill_ends` these get the code of
+    unmapped cells, as one text column without nulls; else they stay null, unlike those beside an unmapped cell.
+    """
+    placed = with_buckets(with_neighbours(visits, homes, split, total))
+    return placed.fillna(UNMAPPED_REGION, subset=["region_lag", "region_lead"]) if fill_ends else placed

@@ -97,14 +97,11 @@ def test_pareto(spark, size, share):
     assert whole == cut and len(whole) == 5
 
 
-def test_sizes_estimated_on_a_share(spark, monkeypatch):
+def test_sizes_estimated_on_a_share(spark):
     """With a share of the rows seen, the cut may lie elsewhere, but rows stay whole and in order."""
-    import callgrain.operators.splitting as splitting
-
-    monkeypatch.setattr(splitting, "ROWS_TO_SEE", 50)
     rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
                                       "id", (F.col("id") / 10).cast("bigint").alias("t"))
-    cut = cut_large_groups(rows, ["k"], "t", "id", GroupSplit(rows_per_group=500))
+    cut = cut_large_groups(rows, ["k"], "t", "id", GroupSplit(500, rows_to_see=50))
     assert cut.is_cut and cut.rows.count() == 20_000
     runs = cut.rows.where("k = 0").groupBy(*cut.group).agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
     runs = runs.orderBy(*cut.group).collect()
@@ -116,12 +113,44 @@ def test_sizes_estimated_on_a_share(spark, monkeypatch):
 def test_small_tables_are_left_alone(records):
     df = pair_interactions(records({"at": 0}), Calendar()).withColumn("second", F.unix_seconds("timestamp"))
     assert not cut_large_groups(df, ["lo", "hi"], "second", "event_id", WHOLE).is_cut
+    assert not cut_large_groups(df, ["lo", "hi"], "second", "event_id", GroupSplit(5), total=5).is_cut
     # Many rows, but no large group.
     assert not cut_large_groups(df, ["lo", "hi"], "second", "event_id", GroupSplit(rows_per_group=5), total=100).is_cut
 
 
-def test_broadcast_is_bounded_by_the_share(records, hot_rows):
-    """However small the size limit, only groups above a share of all rows are cut."""
-    df = pair_interactions(records(*hot_rows), Calendar()).withColumn("second", F.unix_seconds("timestamp"))
-    cut = cut_large_groups(df, ["lo", "hi"], "second", "event_id", GroupSplit(rows_per_group=1, max_share=0.3))
-    assert cut.of_cut_groups.select("lo", "hi").distinct().count() == 1
+def bursts(rows=600):
+    """One pair: nearly all records in one second, a few before and after it, so that a sample may miss these."""
+    random.seed(5)
+    out = []
+    for n in range(rows):
+        at = 5000 + (random.choice([-7, 7, 90]) if n % 60 == 7 else 0)
+        out.append({"at": at, "a": "AB"[n % 2], "b": "BA"[n % 2], "type": random.choice(["call", "text", "text"]),
+                    "from": random.choice(["1", "2"]), "to": "1", "duration": float(n)})
+    return out
+
+
+@pytest.mark.parametrize("seen", [1, 4, 1000])
+@pytest.mark.parametrize("size", [20, 100])
+def test_any_share_gives_the_same_results(spark, records, size, seen):
+    df, split = records(*bursts()), GroupSplit(size, rows_to_see=seen)
+    pairs, directed = pair_interactions(df, Calendar()), directed_interactions(df, Calendar())
+    cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
+    homes = spark.createDataFrame([("A", "North")], "msisdn string, region string")
+    located = regional_visits(visits(df, min_id_length=1), cells)
+    columns = ["event_id", "lo", "hi", "lo_sent", "wait", "conversation", "answers"]
+    for result in (
+        lambda s: tag_pairs(pairs, 3600, s).select(*columns),
+        lambda s: gaps_between_interactions(directed, s),
+        lambda s: with_neighbours(located, homes, s),
+    ):
+        whole, cut = [sorted(map(repr, result(s).collect())) for s in (WHOLE, split)]
+        assert whole == cut
+
+
+def test_null_types_are_cut_too(records):
+    df = records(*[{**row, "type": None} for row in bursts(300)])
+    directed = directed_interactions(df, Calendar())
+    whole, cut = [
+        sorted(map(repr, gaps_between_interactions(directed, s).collect())) for s in (WHOLE, GroupSplit(20, rows_to_see=4))
+    ]
+    assert whole == cut and all("txn_type=None" in row for row in whole)

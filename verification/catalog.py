@@ -19,7 +19,9 @@ from callgrain.plans.features import FEATURES
 from callgrain.sources import cdr as source
 from callgrain.sources.sinks import land_cdr, save, staging_folder
 from verification import feature_sql, mobility_sql as m
-from verification.tables import ANTENNAS_SQL, AS_OF, CDR_SQL, CELLS_SQL, PERIOD, antennas, cdr, cells, feature_inputs
+from verification.tables import (
+    ANTENNAS_SQL, AS_OF, BURSTS_SQL, CDR_SQL, CELLS_SQL, PERIOD, antennas, bursts, cdr, cells, feature_inputs,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,9 +43,10 @@ def portable(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*[plain(field).alias(field.name) for field in df.schema.fields])
 
 
-def _long(name: str) -> Query:
+def _long(name: str, records=cdr, split: GroupSplit | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(FEATURES[name].long(feature_inputs(spark, sf_dir)), ("median", "min", "max"))
+        inputs = feature_inputs(spark, sf_dir, FeatureParams(split=split or GroupSplit()), records)
+        return portable(FEATURES[name].long(inputs), ("median", "min", "max"))
 
     return query
 
@@ -119,15 +122,20 @@ def _matrix_by_subscriber(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def _enriched(split: GroupSplit) -> Query:
-    return lambda spark, sf_dir: portable(
-        indicators.enriched_visits(_regional(spark, sf_dir), _homes(spark, sf_dir), split)
-    )
+def _enriched(split: GroupSplit, records=cdr, fill_ends: bool = True) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = records(spark, sf_dir)
+        located = v.regional_visits(v.visits(found), cells(spark, sf_dir))
+        mapped = v.mapped_visits(v.visits(found), cells(spark, sf_dir))
+        homes = regions.home_locations(v.presence(mapped), PERIOD)
+        return portable(indicators.enriched_visits(located, homes, split, 2 * found.count(), fill_ends))
+
+    return query
 
 
-def _tagged(split: GroupSplit) -> Query:
+def _tagged(split: GroupSplit, records=cdr) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tagged = tag_conversations(cdr(spark, sf_dir), FeatureParams(split=split)).select(
+        tagged = tag_conversations(records(spark, sf_dir), FeatureParams(split=split)).select(
             "event_id", "caller_id", "recipient_id", "timestamp", "txn_type", "duration", "caller_antenna",
             "recipient_antenna", "weekday", "daytime", "direction", "wait", "conversation",
         )
@@ -202,6 +210,12 @@ RECORD = """event_id, caller_id, recipient_id, strftime(timestamp, '%Y-%m-%d %H:
   round(duration, 6) AS duration, caller_antenna, recipient_antenna"""
 DAY = "strftime(day, '%Y-%m-%d %H:%M:%S') AS day"
 SMALL_GROUPS = GroupSplit(rows_per_group=25)
+# Sizes and spans from a fifth of the rows.
+SAMPLED_GROUPS = GroupSplit(rows_per_group=25, rows_to_see=5)
+CUT_FEATURES = (
+    "interevent_time", "response_delay_text", "response_rate_text", "percent_initiated_conversations",
+    "percent_pareto_durations",
+)
 
 
 def queries() -> dict[str, Query]:
@@ -270,6 +284,10 @@ def queries() -> dict[str, Query]:
             _on(_regional, indicators.unique_subscribers_country, PERIOD, "day", None),
         "enriched_visits": _enriched(GroupSplit()),
         "enriched_visits_cut": _enriched(SMALL_GROUPS),
+        "enriched_visits_open_ends": _enriched(GroupSplit(), fill_ends=False),
+        "enriched_visits_cut_sampled": _enriched(SAMPLED_GROUPS, bursts),
+        "tag_conversations_cut_sampled": _tagged(SAMPLED_GROUPS, bursts),
+        **{f"{name}_cut_sampled": _long(name, bursts, SAMPLED_GROUPS) for name in CUT_FEATURES},
         "mobility_job_origin_destination": _mobility_job("origin_destination_per_day", by_subscriber=False),
         "mobility_job_subscriber_homes": _mobility_job("subscriber_home_regions_per_day", by_subscriber=True),
     })
@@ -319,6 +337,10 @@ SELECT {m.VISIT_COLUMNS} FROM (SELECT recipient_id AS msisdn, timestamp AS call_
         **m.REGIONS,
         **m.INDICATORS,
         "enriched_visits_cut": m.ENRICHED,
+        "enriched_visits_open_ends": m.ENRICHED_OPEN_ENDS,
+        "enriched_visits_cut_sampled": m.ENRICHED.replace(CDR_SQL, BURSTS_SQL),
+        "tag_conversations_cut_sampled": tagged.replace(CDR_SQL, BURSTS_SQL),
+        **{f"{name}_cut_sampled": feature_sql.LONG[name].replace(CDR_SQL, BURSTS_SQL) for name in CUT_FEATURES},
         "mobility_job_origin_destination": m.INDICATORS["origin_destination_per_day"],
         "mobility_job_subscriber_homes": m.INDICATORS["home_regions_per_day"],
     }

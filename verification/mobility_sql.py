@@ -143,13 +143,18 @@ neighbours AS (
   SELECT *, lag(region) OVER w AS region_lag, lead(region) OVER w AS region_lead,
     lag(call_datetime) OVER w AS call_datetime_lag, lead(call_datetime) OVER w AS call_datetime_lead
   FROM regional WINDOW w AS (PARTITION BY msisdn ORDER BY call_datetime, event_id, location_id, region))""") + f"""
-SELECT n.{VISIT_COLUMNS}, n.region, homes.region AS home_region, region_lag, region_lead,
+SELECT n.{VISIT_COLUMNS}, n.region, homes.region AS home_region, coalesce(region_lag, '99999') AS region_lag,
+  coalesce(region_lead, '99999') AS region_lead,
   strftime(call_datetime_lag, '%Y-%m-%d %H:%M:%S') AS call_datetime_lag,
   strftime(call_datetime_lead, '%Y-%m-%d %H:%M:%S') AS call_datetime_lead,
   CAST(hour(call_datetime) AS BIGINT) AS hour_of_day, {time_key("hour")}, {time_key("day")}, {time_key("week")},
   {time_key("month")}, CAST(1 AS BIGINT) AS constant
 FROM neighbours n LEFT JOIN homes ON n.msisdn = homes.msisdn"""
 
+ENRICHED_OPEN_ENDS = ENRICHED.replace(
+    "coalesce(region_lag, '99999') AS region_lag", "region_lag").replace(
+    "coalesce(region_lead, '99999') AS region_lead", "region_lead")
+
 REGIONS = {
     "subscribers_per_region_per_day": with_clause(*BASE, per_day("x", UP_TO_DATE)) + f"SELECT {DAY_KEYS} FROM x",
     "subscribers_per_region_per_day_at_least_80":

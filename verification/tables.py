@@ -38,6 +38,15 @@ def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# All but one in forty records of a day moved to its first second: many rows of one time beside few of others.
+IS_MOVED = "event_id % 40 <> 7"
+
+
+def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.expr(f"if({IS_MOVED}, day, timestamp)")
+    return cdr(spark, sf_dir).withColumn("timestamp", moved)
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
@@ -52,8 +61,9 @@ def antennas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feature_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams | None = None) -> FeatureInputs:
-    return FeatureInputs(cdr(spark, sf_dir), antennas(spark, sf_dir), params or FeatureParams())
+def feature_inputs(spark: SparkSession, sf_dir: str, params: FeatureParams | None = None,
+                   records=cdr) -> FeatureInputs:
+    return FeatureInputs(records(spark, sf_dir), antennas(spark, sf_dir), params or FeatureParams())
 
 
 CDR_SQL = """
@@ -71,6 +81,10 @@ cdr AS (
     CASE WHEN event_id % 31 <> 0 THEN CAST((event_id * 11 + 3) % 27 AS VARCHAR) END AS recipient_antenna
   FROM base)"""
 
+BURSTS_SQL = CDR_SQL.replace(
+    "date_trunc('second', ts) AS ts0",
+    f"CASE WHEN {IS_MOVED} THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS ts0")
+
 CELLS_SQL = """
 cells AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS cell_id, r_name AS region

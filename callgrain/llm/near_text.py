@@ -12,9 +12,10 @@ MinHash's.
 Plan: one pass over the texts gives set hash, bands and a sketch of one byte per register. Equal sets become one node. Nodes
 that share a band (4 of 128 registers, so a pair at 0.75 shares none of the 32 bands with probability 5e-6) are compared
 with the band's centre, the node of smallest hash, not with each other: first each with the centre it shares most bands
-with, then with those centres from which it is still apart. Where members of a band are apart after that, they are compared
-in blocks by sketch, and those of sketch similarity 0.58 or more are verified too, so a link that no centre shows is not lost.
-Rows made this way follow the links to centres, not the square of a group. Every link is confirmed on the full sets.
+with, then with those centres from which it is still apart. Where members of a band are in different groups after that,
+blocks of them are compared: by sketch, and those of sketch similarity 0.58 or more by full sets, so a link that no centre shows is
+not lost. A block pair returns the few links that join groups. Rows follow the members of bands, not the square of a group.
+Every link is confirmed on the full sets.
 
 Cases: null or empty text: set size 0, its own group. A row with a null id: linked with nothing, component null, kept. Equal
 texts, or texts with equal sets: one group. An id given more than once: each row is judged by its text. Texts of any
@@ -38,8 +39,8 @@ REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
 #: Elements whose permutations are held at a time.
 BLOCK = 1 << 16
-#: Members of a band that are compared by sketch in one task.
-SIDE = 512
+#: Shingles of a band's members that meet as many in one task, about.
+BLOCK_ITEMS = 1 << 18
 #: Registers that agree in the sketches of a pair at 0.75 with probability 1 - 3e-6.
 SKETCH_LEAST = int(0.58 * REGISTERS)
 _U = np.uint64
@@ -150,27 +151,73 @@ def _labelled(df: DataFrame, groups: DataFrame, column: str, name: str) -> DataF
     return df.join(known, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
 
 
-def _blocks(apart: DataFrame) -> DataFrame:
-    """Pairs of one band's members that are in different groups and alike by sketch; blocks of members meet in pairs."""
+def _plausible(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one unit: the members that are alike by sketch to one of another group, in the first band that the two share."""
+    left, right = np.flatnonzero(rows.side == 0), np.flatnonzero(rows.side == 1)
+    sketch = np.frombuffer(b"".join(rows.sketch), np.uint8).reshape(len(rows), -1)
+    bands = np.stack(rows.bands.to_numpy())
+    label = rows.label.astype("category").cat.codes.to_numpy()
+    here = bands[0] == rows.key.iloc[0]
+    before = np.arange(BANDS) < (int(here.argmax()) if here.any() else 0)
+    chosen = np.zeros(len(rows), bool)
+    for x in left:
+        alike = right[(sketch[right] == sketch[x]).sum(axis=1) >= SKETCH_LEAST]
+        alike = alike[label[alike] != label[x]]
+        alike = alike[~(bands[alike][:, before] == bands[x][before]).any(axis=1)]
+        chosen[alike] = True
+        chosen[x] |= len(alike) > 0
+    return rows.loc[chosen, ["key", "i", "j", "side", "node", "label"]]
+
+
+def _joined(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Of one unit: links that join its groups, as few as do, found by comparing full sets."""
         left, right = rows[rows.side == 0], rows[rows.side == 1]
-        mine = np.frombuffer(b"".join(left.sketch), np.uint8).reshape(len(left), -1)
-        theirs = np.frombuffer(b"".join(right.sketch), np.uint8).reshape(len(right), -1)
-        group, node, groups, nodes = left.label.to_numpy(), left.node.to_numpy(), right.label.to_numpy(), right.node.to_numpy()
-        out = []
-        for k in range(len(left)):
-            alike = np.flatnonzero((theirs == mine[k]).sum(axis=1) >= SKETCH_LEAST)
-            out += [(node[k], nodes[x]) for x in alike if groups[x] != group[k] and nodes[x] > node[k]]
+        size = right.shingles.map(len).to_numpy()
+        out: list[tuple[bytes, bytes]] = []
+        parent: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while (up := parent.setdefault(x, x)) != x:
+                x = up
+            return x
+
+        if len(left) and len(right):
+            items, begin = np.concatenate(right.shingles.to_list()), np.concatenate(([0], np.cumsum(size)[:-1]))
+            nodes, labels = right.node.to_numpy(), right.label.to_numpy()
+            for node, label, own in zip(left.node, left.label, left.shingles):
+                own = np.sort(own)
+                at = np.minimum(np.searchsorted(own, items), len(own) - 1)
+                both = np.add.reduceat((own[at] == items).astype(np.int64), begin)
+                for k in np.flatnonzero(100 * both >= percent * (size + len(own) - both)):
+                    a, b = root(label), root(labels[k])
+                    if a != b:
+                        parent[a] = b
+                        out.append((node, nodes[k]))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    # Members are dealt over blocks by their hash; a band of g members has 1 + g / SIDE blocks.
-    own = apart.withColumn("blocks", (F.floor(F.col("members") / SIDE) + 1).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
-    as_left = own.select("key", "label", "node", "sketch", F.lit(0).alias("side"), F.col("block").alias("i"),
-                         F.explode(F.expr("sequence(0, blocks - 1)")).alias("j"))
-    as_right = own.select("key", "label", "node", "sketch", F.lit(1).alias("side"),
-                          F.explode(F.expr("sequence(0, blocks - 1)")).alias("i"), F.col("block").alias("j"))
-    return as_left.union(as_right).groupBy("key", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+    return run
+
+
+def _cross_links(apart: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join groups which have members (key, node, label) in one band.
+
+    A band's members are dealt by hash over blocks of about BLOCK_ITEMS shingles, and blocks meet in pairs. Sketches come first;
+    only members with a plausible partner bring their sets, and a unit returns a forest, so rows follow the members.
+    """
+    rows = apart.join(nodes.select("node", "size", "sketch", "bands"), "node")
+    count = rows.groupBy("key").agg((F.floor(F.sum("size") / BLOCK_ITEMS) + 1).cast("int").alias("blocks"))
+    rows = rows.join(count, "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    unit = F.explode(F.concat(
+        F.transform(F.filter(every, lambda k: k >= F.col("block")),
+                    lambda k: F.struct(F.col("block").alias("i"), k.alias("j"), F.lit(0).alias("side"))),
+        F.transform(F.filter(every, lambda k: k <= F.col("block")),
+                    lambda k: F.struct(k.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))))
+    units = rows.withColumn("unit", unit).select("key", "unit.*", "node", "label", "sketch", "bands")
+    shape = "key long, i int, j int, side int, node binary, label binary"
+    some = units.groupBy("key", "i", "j").applyInPandas(_plausible, shape)
+    return some.join(sets, "node").groupBy("key", "i", "j").applyInPandas(_joined(percent), "a binary, b binary")
 
 
 def near_groups(
@@ -180,7 +227,8 @@ def near_groups(
     made = stage(sketches(docs, id_col, text_col, size), "sketches")
     named = made.where("n > 0 and id is not null")
     nodes = stage(named.groupBy("node").agg(
-        F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
+        F.min("id").alias("id"), F.first("n").alias("size"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch")), "nodes")
     bands = nodes.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1")
     members = stage(bands.join(shared, "key"), "members")
@@ -205,11 +253,10 @@ def near_groups(
     links = stage(links.union(confirmed(rest, sets, percent)), "confirmed")
     groups = components(links)
 
-    tagged = _labelled(members, groups, "node", "label")
-    mixed = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
-        "low <> high and high is not null").select("key")
-    apart = tagged.where("members > 2").join(mixed, "key", "left_semi").join(nodes.select("node", "sketch"), "node")
-    links = stage(links.union(confirmed(_blocks(apart), sets, percent)), "confirmed")
+    tagged = _labelled(members.where("members > 2"), groups, "node", "label")
+    mixed = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    apart = tagged.join(mixed.select("key"), "key", "left_semi").select("key", "node", "label")
+    links = stage(links.union(_cross_links(apart, nodes, sets, percent)), "confirmed")
     groups = components(links)
 
     placed = _labelled(nodes.select("node", "id"), groups, "node", "label")

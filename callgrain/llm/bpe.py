@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,13 +27,33 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from callgrain.llm.words import lists, runs
 
-#: Words, and parts of words, that a task keeps encoded.
-CACHED = 200_000
+#: Words, and parts of words, that a task keeps encoded, twice: those of the current generation and of the one before.
+CACHED = 250_000
 #: Longer words are not kept.
-CACHED_CHARS = 200
+CACHED_CHARS = 64
 _END = "\n"
 
 
+class Recent:
+    """A dict of bounded size: what was used lately stays, as a full generation becomes the old one and drops the one before."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.new) > CACHED:
+            self.old, self.new = self.new, {}
+
+    def get(self, key: str) -> bytes | None:
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.new[key] = value
+        return value
+
+
 class Codec:
     """Encoder and decoder for one vocabulary file."""
 
@@ -61,19 +82,17 @@ class Codec:
             self.ranks[a, b] = rank
             self.halves.setdefault(whole, (rank, a, b))
         self.fits_known: dict[int, bool] = {}
+        made = self._made()
         self.matcher = ahocorasick.Automaton()
         for s, i in vocab.items():
-            if i in self.halves:
-                rank, a, b = self.halves[i]
-                if not self._fits(a, b, rank):
-                    continue  # merges never make it
+            if i in self.halves and i not in made:
+                continue
             if end and s.endswith(end):
                 self.matcher.add_word(s[:-len(end)] + _END, (i, len(s) - len(end)))
             else:
                 self.matcher.add_word(s, (i, len(s)))
         self.matcher.make_automaton()
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Recent(), Recent()
 
     def _edge(self, token: int, right: bool) -> list[tuple[int, float]]:
         """The tokens at the right (left) edge of a token while merges build it, each with the rank of the merge that takes it."""
@@ -97,6 +116,14 @@ class Codec:
                     return False
         return True
 
+    def _made(self) -> set[int]:
+        """The tokens that merges make of their own text; in that of others, other merges come first."""
+        made: set[int] = set()
+        for token, (rank, a, b) in sorted(self.halves.items(), key=lambda item: item[1][0]):
+            if all(x in made or x not in self.halves for x in (a, b)) and self._fits(a, b, rank):
+                made.add(token)
+        return made
+
     def encode_part(self, part: str) -> bytes:
         """Ids of one pre-token, as 32-bit numbers."""
         n = len(part)
@@ -134,7 +161,7 @@ class Codec:
         while n:
             out.append(last[n])
             n -= size[n]
-        return np.array(out[::-1], np.int32).tobytes()
+        return array("i", out[::-1]).tobytes()
 
     def _encode_parts(self, parts: list[str]) -> bytes:
         out = []
@@ -143,9 +170,7 @@ class Codec:
             if ids is None:
                 ids = self.encode_part(part)
                 if len(part) <= CACHED_CHARS:
-                    if len(self.parts) > CACHED:
-                        self.parts.clear()
-                    self.parts[part] = ids
+                    self.parts.new[part] = ids
             out.append(ids)
         return b"".join(out)
 
@@ -175,22 +200,22 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, as 32-bit numbers."""
-        if len(self.words) > CACHED:
-            self.words.clear()
-        known = self.words
+        self.words.turn()
+        self.parts.turn()
         split = [self._split(text) for text in texts]
-        need = list(dict.fromkeys(w for words in split for w in words if w not in known))
+        need = [w for w in set().union(*split) if self.words.get(w) is None]
+        known = self.words.new
         # A word with a special token inside is the words between and these tokens.
-        inner = {w: [p for p in self.special_in.split(w) if p] for w in need if self.special_in.search(w)}
-        plain = list(dict.fromkeys(
-            [w for w in need if w not in inner]
-            + [p for parts in inner.values() for p in parts if p not in self.special and p not in known]))
-        for word, ids in zip(plain, self._encode_words(plain) if plain else []):
-            known[word] = ids
+        special = [w for w in need if self.special_in.search(w)] if self.special_in.search("\n".join(need)) else []
+        inner = {w: [p for p in self.special_in.split(w) if p] for w in special}
+        pieces = {p for parts in inner.values() for p in parts if p not in self.special and self.words.get(p) is None}
+        plain = list(pieces.union(need).difference(inner)) if inner else need
+        if plain:
+            known.update(zip(plain, self._encode_words(plain)))
         for word, parts in inner.items():
             known[word] = b"".join(self.special.get(p) or known[p] for p in parts)
         out = [b"".join([known[w] for w in words]) for words in split]
-        for word in [*need, *plain]:
+        for word in {*need, *plain}:
             if len(word) > CACHED_CHARS:
                 known.pop(word, None)
         return out

@@ -9,9 +9,13 @@ EXACT = "decimal(20,6)"
 
 
 def exact_mean(value: Column | str) -> Column:
-    """Mean from a decimal sum, so that it does not depend on the order in which doubles are added."""
+    """Mean from a decimal sum, so that it does not depend on the order in which doubles are added.
+
+    A value too large for the decimal counts as missing here; `sources.cdr.rejects` counts such durations.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    return F.sum(value.cast(EXACT)).cast("double") / F.count(value)
+    exact = value.try_cast(EXACT)
+    return F.sum(exact).cast("double") / F.count(exact)
 
 
 def summary_stats(value: Column | str, median_accuracy: int = 10_000, mean: Column | None = None) -> list[Column]:

@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from callgrain.params import ALL_DAY, ALL_DIR, ALL_WEEK, DAYTIMES, DIRECTIONS, TXN_TYPES, WEEKDAYS
 
-LEVELS = {
-    "week": {"weekday": ALL_WEEK},
-    "week_day": {"weekday": ALL_WEEK, "daytime": ALL_DAY},
-    "week_day_dir": {"weekday": ALL_WEEK, "daytime": ALL_DAY, "direction": ALL_DIR},
-}
+# The labels of each category; the last one is the total of the others.
 VOCABULARY = {
     "weekday": (*WEEKDAYS, ALL_WEEK),
     "daytime": (*DAYTIMES, ALL_DAY),
@@ -23,32 +19,14 @@ FINE_CELLS = tuple(product(WEEKDAYS, DAYTIMES))
 CELLS = tuple(product(VOCABULARY["weekday"], VOCABULARY["daytime"]))
 
 
-def totals_of(level: str) -> dict[str, str]:
-    if level not in LEVELS:
-        raise ValueError(f"level must be one of {tuple(LEVELS)}, not {level!r}")
-    return LEVELS[level]
-
-
-def add_all_categories(df: DataFrame, level: str) -> DataFrame:
-    """Repeat each row under every total it belongs to. Costs 2, 4 or 8 times the rows:
-    prefer `group_with_totals` or `cell_sums`, which give the same groups after aggregation."""
-    for column, total in totals_of(level).items():
-        df = df.withColumn(column, F.explode(F.array(F.col(column), F.lit(total))))
-    return df
-
-
-def group_with_totals(df: DataFrame, keys: list[str], level: str, *aggregates: Column) -> DataFrame:
-    """Group by keys and categories, with a group for each total (grouping sets)."""
-    totals = totals_of(level)
-    names = list(totals)
-    sets = [keys + list(kept) for size in range(len(names) + 1) for kept in combinations(names, size)]
-    grouped = df.groupingSets(sets, *keys, *names).agg(
-        *aggregates, *[F.grouping(name).alias(f"_all_{name}") for name in names]
-    )
-    labels = {
-        name: F.when(F.col(f"_all_{name}") == 1, total).otherwise(F.col(name)) for name, total in totals.items()
-    }
-    return grouped.withColumns(labels).drop(*[f"_all_{name}" for name in names])
+def group_with_totals(df: DataFrame, keys: list[str], categories: list[str], *aggregates: Column) -> DataFrame:
+    """Group by keys and categories, with a further group for each total of the vocabulary (grouping sets)."""
+    kept = [subset for size in range(len(categories) + 1) for subset in combinations(categories, size)]
+    marks = [F.grouping(name).alias(f"_all_{name}") for name in categories]
+    grouped = df.groupingSets([[*keys, *subset] for subset in kept], *keys, *categories).agg(*aggregates, *marks)
+    return grouped.withColumns({
+        name: F.when(F.col(f"_all_{name}") == 1, VOCABULARY[name][-1]).otherwise(F.col(name)) for name in categories
+    }).drop(*[f"_all_{name}" for name in categories])
 
 
 def in_week(weekday: str) -> str:

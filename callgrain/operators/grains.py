@@ -33,19 +33,23 @@ def activity_cells(directed: DataFrame) -> DataFrame:
     return explode_cells(sums, ["caller_id", "txn_type"], ["n_out", "n_in"], present=["n_out", "n_in"])
 
 
-def contact_cells(cdr: DataFrame, calendar: Calendar) -> DataFrame:
-    """Per caller, contact, type and cell: interactions `n_out`, `n_in`, `n` and call `seconds`, an exact sum.
-
-    Grouped once per unordered pair, before the rows are seen from both sides.
-    """
+def contact_sums(cdr: DataFrame, calendar: Calendar) -> DataFrame:
+    """Per unordered pair (`lo`, `hi`) and type: sums of the four fine cells, one row. No more rows than records."""
     pairs = with_labels(cdr, calendar).groupBy(
         F.least("caller_id", "recipient_id").alias("lo"), F.greatest("caller_id", "recipient_id").alias("hi"),
         "txn_type",
     )
-    sums = pairs.agg(*cell_sums(
+    return pairs.agg(*cell_sums(
         by_lo="if(caller_id <= recipient_id, 1L, 0L)", by_hi="if(caller_id > recipient_id, 1L, 0L)",
-        seconds=f"CAST(duration AS {EXACT})",
+        seconds=f"TRY_CAST(duration AS {EXACT})",
     ))
+
+
+def contact_cells(sums: DataFrame) -> DataFrame:
+    """Per caller, contact, type and cell: interactions `n_out`, `n_in`, `n` and call `seconds`, an exact sum.
+
+    From `contact_sums`, seen from both sides only here.
+    """
     cells = explode_cells(sums, ["lo", "hi", "txn_type"], ["by_lo", "by_hi", "seconds"], present=["by_lo", "by_hi"])
 
     def seen_by(me: str, other: str, n_out: str, n_in: str, seconds: str = "seconds") -> str:

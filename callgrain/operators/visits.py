@@ -74,6 +74,21 @@ def presence(visits_with_region: DataFrame, period: Period | None = None) -> Dat
     )
 
 
+def presence_per_hour(visits_with_region: DataFrame) -> DataFrame:
+    """Per subscriber, hour and region, as `presence`; counts by any longer time and `presence` itself follow from it."""
+    hours = visits_with_region.withColumn("hour", bucket("call_datetime", "hour"))
+    return hours.groupBy("msisdn", "call_date", "hour", "region").agg(
+        F.count(F.lit(1)).alias("visits"),
+        F.min("call_datetime").alias("earliest"), F.max("call_datetime").alias("latest"),
+    )
+
+
+def presence_of_hours(hours: DataFrame) -> DataFrame:
+    """`presence` from `presence_per_hour`."""
+    return hours.groupBy("msisdn", "call_date", "region").agg(
+        F.sum("visits").alias("visits"), F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
+
+
 def with_neighbours(visits_with_region: DataFrame, homes: DataFrame, split: GroupSplit,
                     total: int | None = None) -> DataFrame:
     """Add region and time of the subscriber's previous (`_lag`) and next (`_lead`) visit, and the

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Category labels, part of the output format (they become column names).
 WEEKDAYS = ("weekday", "weekend")
@@ -40,6 +40,16 @@ class Period:
         column = F.col(column) if isinstance(column, str) else column
         return (column >= F.lit(self.start)) & (column < F.lit(self.end + timedelta(days=1)))
 
+    def prune(self, df: DataFrame, column: str = "timestamp") -> DataFrame:
+        """Rows that the period covers. Where the table has their `day` too, as records do, that is asked for as well,
+        so that a scan of records stored by day skips whole directories."""
+        rows = df.where(self.covers(column))
+        return rows.where(self.covers("day")) if "day" in df.columns and column != "day" else rows
+
+    def union(self, other: Period | None) -> Period:
+        """From the first start to the last end."""
+        return self if other is None else Period(min(self.start, other.start), max(self.end, other.end))
+
     def full_weeks(self) -> Period:
         """The part made of whole Monday-to-Sunday weeks."""
         first_monday = self.start + timedelta(days=-self.start.weekday() % 7)

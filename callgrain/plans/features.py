@@ -18,7 +18,7 @@ from callgrain.operators.categories import FINE_CELLS, explode_cells, group_with
 from callgrain.operators.conversations import conversation_openings, tag_pairs
 from callgrain.operators.gaps import gaps_between_interactions
 from callgrain.operators.grains import (
-    active_day_cells, activity_cells, antenna_cells, antenna_sums, contact_cells,
+    active_day_cells, activity_cells, antenna_cells, antenna_sums, contact_cells, contact_sums,
 )
 from callgrain.operators.interactions import both_sides, directed_interactions, pair_interactions
 from callgrain.operators.pareto import pareto_head
@@ -46,9 +46,13 @@ class FeatureInputs:
     def activity(self) -> DataFrame:
         return activity_cells(self.directed)
 
+    @cached_property
+    def contact_sums(self) -> DataFrame:
+        return contact_sums(self.cdr, self.params.calendar)
+
     @cached_property
     def contacts(self) -> DataFrame:
-        return contact_cells(self.cdr, self.params.calendar)
+        return contact_cells(self.contact_sums)
 
     @cached_property
     def antenna_use(self) -> DataFrame:
@@ -67,11 +71,8 @@ class FeatureInputs:
         """The same inputs with the shared tables written once, for a job that computes many features."""
         staged = FeatureInputs(self.cdr, self.antennas, self.params)
         staged.records = self.records
-        staged.contacts = stage(self.contacts, "contacts")
-        # Callers' totals are sums over their contacts, which are fewer than the records.
-        staged.activity = staged.contacts.groupBy(*TYPED_CELL).agg(
-            F.sum("n_out").alias("n_out"), F.sum("n_in").alias("n_in")
-        )
+        staged.contact_sums = stage(self.contact_sums, "contacts")
+        staged.activity = stage(self.activity, "activity")
         staged.antenna_use = stage(self.antenna_use, "antenna-use")
         texts = self.tagged.where(F.col("txn_type") == TEXT).select(
             "lo", "hi", "lo_sent", "timestamp", "txn_type", "weekday", "daytime", "wait", "conversation", "answers"
@@ -94,7 +95,7 @@ def number_of_contacts(inputs: FeatureInputs) -> DataFrame:
 def call_duration(inputs: FeatureInputs) -> DataFrame:
     calls = inputs.directed.where(F.col("txn_type") == CALL)
     stats = inputs.stats("duration", exact_mean("duration"))
-    return group_with_totals(calls, ["caller_id", "txn_type"], "week_day", *stats)
+    return group_with_totals(calls, ["caller_id", "txn_type"], WEEK_DAY, *stats)
 
 
 def percent_nocturnal(inputs: FeatureInputs) -> DataFrame:
@@ -118,7 +119,7 @@ def response_delay_text(inputs: FeatureInputs) -> DataFrame:
     texts = both_sides(inputs.tagged.where(F.col("txn_type") == TEXT))
     replies = (F.col("direction") == "out") & F.col("answers")
     return group_with_totals(
-        texts.withColumn("delay", F.when(replies, F.col("wait"))), ["caller_id"], "week_day", *inputs.stats("delay")
+        texts.withColumn("delay", F.when(replies, F.col("wait"))), ["caller_id"], WEEK_DAY, *inputs.stats("delay")
     )
 
 

@@ -1,8 +1,8 @@
 """Mobility indicators per hour, day, week or month.
 
-They read `regional_visits` (all visits, unmapped cells under a fixed region code). With
-`by_subscriber` counts are kept per subscriber where that changes the grain; `privacy=None`
-publishes every count.
+They read `regional_visits` (all visits, unmapped cells under a fixed region code); those that count visits or
+subscribers also take `presence_per_hour` of these, which a job that needs several of them stores once. With
+`by_subscriber` counts are kept per subscriber where that changes the grain; `privacy=None` publishes every count.
 """
 
 from __future__ import annotations
@@ -16,13 +16,15 @@ from callgrain.plans.regions import _published, directed_region_pairs_per_day
 
 
 def _bucketed(visits: DataFrame, period: Period, frequency: str) -> DataFrame:
-    return visits.where(period.covers("call_datetime")).withColumn(frequency, bucket("call_datetime", frequency))
+    moment = "call_datetime" if "call_datetime" in visits.columns else "hour"
+    return visits.where(period.covers(moment)).withColumn(frequency, bucket(moment, frequency))
 
 
 def transactions(visits: DataFrame, period: Period, frequency: str, privacy: Privacy | None = MORE_THAN_15,
                  by_subscriber: bool = False) -> DataFrame:
     keys = [frequency, "region", *(["msisdn"] if by_subscriber else [])]
-    counts = _bucketed(visits, period, frequency).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    n = F.sum("visits") if "visits" in visits.columns else F.count(F.lit(1))
+    counts = _bucketed(visits, period, frequency).groupBy(*keys).agg(n.alias("count"))
     return _published(counts, "count", privacy)
 
 

@@ -1,13 +1,17 @@
-"""The two jobs: all subscriber features, all mobility indicators, written to a folder."""
+"""The jobs: all subscriber features, all mobility indicators, all regional aggregates, written to a folder."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from callgrain.operators.visits import presence, regional_visits, visits
-from callgrain.params import AT_LEAST_15, MORE_THAN_15, FeatureParams, Period
+from callgrain.operators.visits import (
+    mapped_visits, presence, presence_of_hours, presence_per_hour, regional_visits, visits,
+)
+from callgrain.params import AT_LEAST_15, MORE_THAN_15, FeatureParams, Period, Privacy
+from callgrain.plans import regions
 from callgrain.plans.features import FEATURES, FeatureInputs
 from callgrain.plans.indicators import (
     home_region_counts, home_regions, origin_destination, transactions, unique_subscribers, unique_subscribers_country,
@@ -30,27 +34,65 @@ def write_features(cdr: DataFrame, antennas: DataFrame, folder: str, params: Fea
 
 
 def feature_table(features: list[DataFrame]) -> DataFrame:
-    """All features of a caller in one row, from wide tables. Best given tables that are already stored."""
-    return join_on(features, "caller_id", "full")
+    """All features of a caller in one row, from wide tables that are already stored.
+
+    All callers come first, and tables are joined to them from the left: that keeps the layout by caller, so each table
+    is shuffled once and the growing row never is.
+    """
+    callers = reduce(DataFrame.union, [df.select("caller_id") for df in features]).distinct()
+    return join_on([callers, *features], "caller_id", "left")
 
 
 def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period, as_of: Period | None = None,
-                   by_subscriber: bool = False) -> dict[str, str]:
+                   by_subscriber: bool = False, *, min_id_length: int = 20, cutoff_days: int = 7,
+                   publish: Privacy | None = MORE_THAN_15, within: Privacy | None = AT_LEAST_15,
+                   visits_per: str = "hour", country_per: str = "day", homes_per: str = "month",
+                   subscriber_homes_per: str = "day") -> dict[str, str]:
     """Write the mobility indicators: thresholded counts, or subscriber-level rows.
 
-    `as_of` is the period of the connections within days; by default the same.
+    `as_of` is the period of the connections within days; by default the same. Only records of the two periods are read.
+    Presence by hour and by day is stored once; all but the home regions, which need single visits, follow from these.
     """
-    located = stage(regional_visits(visits(cdr), cells), "visits")
-    publish, within = (None, None) if by_subscriber else (MORE_THAN_15, AT_LEAST_15)
+    records = period.union(as_of).prune(cdr)
+    located = regional_visits(visits(records, min_id_length), cells)
+    hours = stage(presence_per_hour(located), "presence-per-hour")
+    days = stage(presence_of_hours(hours), "presence")
+    publish, within = (None, None) if by_subscriber else (publish, within)
     tables = {
-        "transactions_per_hour": transactions(located, period, "hour", publish, by_subscriber),
-        "unique_subscribers_country_per_day": unique_subscribers_country(located, period, "day", publish),
+        f"transactions_per_{visits_per}": transactions(hours, period, visits_per, publish, by_subscriber),
+        f"unique_subscribers_country_per_{country_per}": unique_subscribers_country(hours, period, country_per, publish),
         "origin_destination_per_day": origin_destination(
-            stage(presence(located), "presence"), period, "day", as_of, within, publish, by_subscriber=by_subscriber
+            days, period, "day", as_of, within, publish, cutoff_days, by_subscriber
         ),
-        "home_regions_per_month": home_region_counts(located, period, "month"),
-        "unique_subscribers_per_hour": unique_subscribers(located, period, "hour", publish),
+        f"home_regions_per_{homes_per}": home_region_counts(located, period, homes_per),
+        f"unique_subscribers_per_{visits_per}": unique_subscribers(hours, period, visits_per, publish),
     }
     if by_subscriber:
-        tables["subscriber_home_regions_per_day"] = home_regions(located, period, "day")
+        tables[f"subscriber_home_regions_per_{subscriber_homes_per}"] = home_regions(located, period, subscriber_homes_per)
+    return save_all(tables, folder)
+
+
+def write_regions(cdr: DataFrame, cells: DataFrame, folder: str, period: Period, as_of: Period | None = None, *,
+                  min_id_length: int = 20, privacy: Privacy | None = AT_LEAST_15, threshold_inputs: bool = True,
+                  iso_year: bool = False) -> dict[str, str]:
+    """Write the regional aggregates. Homes are those of `period`; daily tables cover `as_of` (by default the same), weekly
+    ones the full weeks of `period`. Presence and homes are stored once."""
+    as_of, weeks = as_of or period, period.full_weeks()
+    records = period.union(as_of).prune(cdr)
+    seen = stage(presence(mapped_visits(visits(records, min_id_length), cells)), "presence")
+    homes = stage(regions.home_locations(seen, period), "homes")
+    tables = {
+        "subscribers_per_region_per_day": regions.subscribers_per_region_per_day(seen, as_of, privacy),
+        "subscribers_per_region_per_week": regions.subscribers_per_region_per_week(seen, weeks, privacy, iso_year),
+        "home_locations": homes,
+        "residents_per_region": regions.residents_per_region(homes, privacy),
+        "residents_per_region_per_day": regions.residents_per_region_per_day(seen, homes, as_of, privacy),
+        "residents_per_region_per_week": regions.residents_per_region_per_week(seen, homes, weeks, privacy, iso_year),
+        "visitors_per_region_per_day": regions.visitors_per_region_per_day(seen, homes, as_of, privacy, threshold_inputs),
+        "visitors_per_region_per_week": regions.visitors_per_region_per_week(
+            seen, homes, weeks, privacy, threshold_inputs, iso_year),
+        "region_pairs_per_day": regions.region_pairs_per_day(seen, as_of, privacy),
+        "directed_region_pairs_per_day": regions.directed_region_pairs_per_day(seen, as_of, privacy),
+        "calls_per_region_per_day": regions.calls_per_region_per_day(seen, as_of, privacy),
+    }
     return save_all(tables, folder)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from callgrain.functions.stats import EXACT
 from callgrain.params import Period
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -85,15 +86,15 @@ def rejects(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("caller_id").isNull() | F.col("recipient_id").isNull()).alias("without_ids"),
         F.count_if(timestamp.isNull()).alias("bad_timestamp"),
-        F.count_if(F.col("duration").isNotNull() & duration.isNull()).alias("bad_duration"),
+        F.count_if(F.col("duration").isNotNull() & duration.try_cast(EXACT).isNull()).alias("bad_duration"),
     )
 
 
 def filter_dates(df: DataFrame, start: date, end: date, column: str = "timestamp") -> DataFrame:
-    """Rows from `start` to the end of the day `end`."""
+    """Rows from `start` to the end of the day `end`; of records stored by day, only those days are read."""
     if column not in df.columns:
         raise ValueError(f"cannot filter by date: there is no column {column!r}")
-    return df.where(Period(start, end).covers(column))
+    return Period(start, end).prune(df, column)
 
 
 def join_on(tables: list[DataFrame], on: str | list[str], how: str) -> DataFrame:

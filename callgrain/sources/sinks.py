@@ -23,7 +23,7 @@ def save_all(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
 
 
 def land_cdr(cdr: DataFrame, path: str) -> None:
-    """Store cleaned records as Parquet by day, so that period filters skip whole directories.
+    """Store cleaned records as Parquet by day, so that `filter_dates` and the jobs read only the days they need.
 
     The rebalance hint lets Spark split large days and merge small ones into files of even size.
     """

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from callgrain.operators.categories import add_all_categories, group_with_totals
+from callgrain.operators.categories import VOCABULARY, group_with_totals
 from callgrain.operators.interactions import directed_interactions
 from callgrain.operators.pareto import pareto_head
 from callgrain.params import Calendar, STATS
@@ -124,20 +124,23 @@ def test_weekend_and_night(inputs):
     assert days.where("weekday = 'weekday'").count() == 0
 
 
-@pytest.mark.parametrize("level, times", [("week", 2), ("week_day", 4), ("week_day_dir", 8)])
-def test_totals_equal_repeated_rows(records, level, times):
+@pytest.mark.parametrize("names", [["weekday"], ["weekday", "daytime"], ["weekday", "daytime", "direction"]])
+def test_totals_equal_repeated_rows(records, names):
     df = directed_interactions(records(*calls("BCBD"), {"at": NIGHT}), Calendar())
-    repeated = add_all_categories(df, level)
-    assert repeated.count() == times * df.count()
-    names = ["weekday", "daytime", "direction"][: {2: 1, 4: 2, 8: 3}[times]]
+    repeated = df
+    for name in names:
+        repeated = repeated.withColumn(name, F.explode(F.array(F.col(name), F.lit(VOCABULARY[name][-1]))))
+    assert repeated.count() == 2 ** len(names) * df.count()
     expected = repeated.groupBy("caller_id", *names).agg(F.countDistinct("recipient_id").alias("n"))
-    got = group_with_totals(df, ["caller_id"], level, F.countDistinct("recipient_id").alias("n"))
+    got = group_with_totals(df, ["caller_id"], names, F.countDistinct("recipient_id").alias("n"))
     assert as_set(expected) == as_set(got.select(expected.columns))
 
 
-def test_unknown_level(records):
-    with pytest.raises(ValueError):
-        add_all_categories(records({"at": 0}), "month")
+def test_a_huge_duration_does_not_end_the_run(inputs):
+    got = inputs({"at": 0, "duration": 1e15}, {"at": 60, "duration": 30.0})
+    row = cell(FEATURES["call_duration"].long(got))
+    assert row["max"] == 1e15 and row["mean"] == 30.0
+    assert FEATURES["percent_pareto_durations"].long(got).count() > 0
 
 
 def test_wide_has_every_column(inputs):

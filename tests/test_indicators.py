@@ -94,7 +94,9 @@ def test_matrix_adds_both_kinds(located):
 def test_enriched_visits(spark, located):
     df = located(("A", "n", 0), ("A", "zz", 60), ("A", "s", 120), ("B", "n", 5))
     homes = spark.createDataFrame([("A", "North")], "msisdn string, region string")
-    table = indicators.enriched_visits(df, homes, GroupSplit())
+    filled = {(r.msisdn, r.region): r for r in indicators.enriched_visits(df, homes, GroupSplit()).collect()}
+    assert (filled["A", "North"].region_lag, filled["A", "North"].region_lead) == ("99999", "99999")
+    table = indicators.enriched_visits(df, homes, GroupSplit(), fill_ends=False)
     rows = {(r.msisdn, r.region): r for r in table.collect()}
     assert (rows["A", "North"].region_lag, rows["A", "North"].region_lead) == (None, "99999")
     assert (rows["A", "South"].region_lag, rows["A", "South"].region_lead) == ("99999", None)

@@ -1,13 +1,17 @@
 """The jobs, and properties that hold for any records."""
 
+import re
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from callgrain.operators.visits import visits
 from callgrain.params import FeatureParams, Period
 from callgrain.plans import jobs
 from callgrain.plans.features import FEATURES, FeatureInputs
+from callgrain.sources.cdr import filter_dates
+from callgrain.sources.sinks import land_cdr
 from conftest import as_set
 from test_splitting import lopsided
 
@@ -81,3 +85,64 @@ def test_totals_and_ranges(records, antennas, rows):
     contacts = FEATURES["number_of_contacts"].long(inputs).withColumnRenamed("value", "n")
     entropies = FEATURES["entropy_of_contacts"].long(inputs).join(contacts, ["caller_id", "weekday", "daytime", "txn_type"])
     assert entropies.where("value < 0 OR value > ln(n) + 1e-9").count() == 0
+
+
+def _reads(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_periods_reach_the_partitions(spark, records, rows, tmp_path):
+    landed_at = str(tmp_path / "landed")
+    land_cdr(records(*rows), landed_at)
+    landed = spark.read.parquet(landed_at)
+    day = Period(date(2024, 1, 1), date(2024, 1, 1))
+    for df in (filter_dates(landed, day.start, day.end), visits(day.union(None).prune(landed))):
+        filters = re.search(r"PartitionFilters: \[(.*?)\]", _reads(df)).group(1)
+        assert "day" in filters, _reads(df)
+    whole = as_set(day.prune(records(*rows)).select("event_id"))
+    assert as_set(filter_dates(landed, day.start, day.end).select("event_id")) == whole
+
+
+def test_jobs_read_only_their_period(spark, records, tmp_path, monkeypatch):
+    """Records outside the periods do not reach the stored tables."""
+    cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
+    df = records(*[{"a": f"{n % 5:020d}", "b": "x" * 20, "from": "1", "to": "2", "at": 86_400 * n} for n in range(40)])
+    stored = {}
+    monkeypatch.setattr(jobs, "stage", lambda table, name: stored.setdefault(name, table))
+    week = Period(date(2024, 1, 8), date(2024, 1, 14))
+    jobs.write_mobility(df, cells, str(tmp_path / "m"), week)
+    assert stored["presence"].select("call_date").distinct().count() == 7
+    stored.clear()
+    jobs.write_regions(df, cells, str(tmp_path / "r"), week, Period(date(2024, 1, 10), date(2024, 1, 16)))
+    assert stored["presence"].select("call_date").distinct().count() == 9
+
+
+def test_stored_contacts_are_no_more_than_the_records(records, antennas):
+    df = records(*[{"at": n, "a": f"a{n}", "b": f"b{n}"} for n in range(200)])
+    staged = FeatureInputs(df, antennas, FeatureParams()).stage_shared()
+    assert staged.contact_sums.count() == 200 and staged.contacts.count() == 1600
+
+
+def test_feature_table_shuffles_each_table_once(spark, records, antennas, rows, tmp_path):
+    names = ["active_days", "percent_at_home", "percent_nocturnal", "number_of_contacts"]
+    paths = jobs.write_features(records(*rows), antennas, str(tmp_path), names=names)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _reads(jobs.feature_table([spark.read.parquet(p) for p in paths.values()]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("SortMergeJoin") == 4 and initial.count("Exchange hashpartitioning") == 1 + 4
+
+
+def test_job_arguments(spark, records, tmp_path):
+    cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
+    df = records(*[{"a": f"{n % 20}", "b": f"{n % 7}", "from": "12"[n % 2], "to": "1", "at": 5000 * n} for n in range(400)])
+    paths = jobs.write_mobility(
+        df, cells, str(tmp_path), Period(date(2024, 1, 1), date(2024, 1, 31)), min_id_length=1, cutoff_days=1,
+        publish=None, within=None, visits_per="day", country_per="week", homes_per="week",
+    )
+    assert {"transactions_per_day", "unique_subscribers_country_per_week", "home_regions_per_week"} <= set(paths)
+    counts = spark.read.parquet(paths["transactions_per_day"])
+    assert counts.agg(F.sum("count")).first()[0] == 800

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from callgrain.functions.calendar import first_monday, last_sunday
 from callgrain.operators import visits as v
-from callgrain.operators.categories import add_all_categories
+from callgrain.operators.categories import group_with_totals
 from callgrain.operators.conversations import tag_conversations
 from callgrain.operators.interactions import directed_interactions
-from callgrain.params import FREQUENCIES, Calendar, FeatureParams, GroupSplit, Privacy
+from callgrain.params import FREQUENCIES, MORE_THAN_15, Calendar, FeatureParams, GroupSplit, Privacy
 from callgrain.plans import indicators, jobs, regions
 from callgrain.plans.features import FEATURES
 from callgrain.sources import cdr as source
@@ -70,12 +70,30 @@ def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(table, tuple(c for c in table.columns if c != "caller_id"))
 
 
-def _mobility_job(name: str, by_subscriber: bool) -> Query:
+_written: dict[tuple, dict[str, str]] = {}
+
+
+def _mobility_job(name: str, by_subscriber: bool, publish: Privacy = MORE_THAN_15) -> Query:
+    """A table of the job, which runs once in a session for all its tables."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = jobs.write_mobility(
-            cdr(spark, sf_dir), cells(spark, sf_dir), _fresh_folder(spark, "mobility"), PERIOD, AS_OF, by_subscriber
-        )
-        return portable(spark.read.parquet(paths[name]))
+        key = (spark.sparkContext.applicationId, "mobility", sf_dir, by_subscriber, publish)
+        if key not in _written:
+            _written[key] = jobs.write_mobility(
+                cdr(spark, sf_dir), cells(spark, sf_dir), _fresh_folder(spark, "mobility"), PERIOD, AS_OF, by_subscriber,
+                publish=publish,
+            )
+        return portable(spark.read.parquet(_written[key][name]))
+
+    return query
+
+
+def _region_job(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, "regions", sf_dir)
+        if key not in _written:
+            _written[key] = jobs.write_regions(
+                cdr(spark, sf_dir), cells(spark, sf_dir), _fresh_folder(spark, "regions"), PERIOD, AS_OF)
+        return portable(spark.read.parquet(_written[key][name]))
 
     return query
 
@@ -149,8 +167,8 @@ def _directed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fanned = add_all_categories(directed_interactions(cdr(spark, sf_dir), Calendar()), "week_day_dir")
-    return fanned.groupBy("weekday", "daytime", "direction", "txn_type").agg(F.count(F.lit(1)).alias("n"))
+    directed = directed_interactions(cdr(spark, sf_dir), Calendar())
+    return group_with_totals(directed, ["txn_type"], ["weekday", "daytime", "direction"], F.count(F.lit(1)).alias("n"))
 
 
 def _some_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,6 +230,11 @@ DAY = "strftime(day, '%Y-%m-%d %H:%M:%S') AS day"
 SMALL_GROUPS = GroupSplit(rows_per_group=25)
 # Sizes and spans from a fifth of the rows.
 SAMPLED_GROUPS = GroupSplit(rows_per_group=25, rows_to_see=5)
+REGION_JOB = (
+    "subscribers_per_region_per_day", "subscribers_per_region_per_week", "home_locations", "residents_per_region",
+    "residents_per_region_per_day", "residents_per_region_per_week", "visitors_per_region_per_day",
+    "visitors_per_region_per_week", "region_pairs_per_day", "directed_region_pairs_per_day", "calls_per_region_per_day",
+)
 CUT_FEATURES = (
     "interevent_time", "response_delay_text", "response_rate_text", "percent_initiated_conversations",
     "percent_pareto_durations",
@@ -290,6 +313,9 @@ def queries() -> dict[str, Query]:
         **{f"{name}_cut_sampled": _long(name, bursts, SAMPLED_GROUPS) for name in CUT_FEATURES},
         "mobility_job_origin_destination": _mobility_job("origin_destination_per_day", by_subscriber=False),
         "mobility_job_subscriber_homes": _mobility_job("subscriber_home_regions_per_day", by_subscriber=True),
+        **{f"mobility_job_{name}": _mobility_job(name, False, Privacy(5, strict=True)) for name in m.JOB},
+        **{f"mobility_job_by_subscriber_{name}": _mobility_job(name, True) for name in m.SUBSCRIBER_JOB},
+        **{f"region_job_{name}": _region_job(name) for name in REGION_JOB},
     })
     return found
 
@@ -343,5 +369,8 @@ SELECT {m.VISIT_COLUMNS} FROM (SELECT recipient_id AS msisdn, timestamp AS call_
         **{f"{name}_cut_sampled": feature_sql.LONG[name].replace(CDR_SQL, BURSTS_SQL) for name in CUT_FEATURES},
         "mobility_job_origin_destination": m.INDICATORS["origin_destination_per_day"],
         "mobility_job_subscriber_homes": m.INDICATORS["home_regions_per_day"],
+        **{f"mobility_job_{name}": text for name, text in m.JOB.items()},
+        **{f"mobility_job_by_subscriber_{name}": text for name, text in m.SUBSCRIBER_JOB.items()},
+        **{f"region_job_{name}": m.REGIONS[name] for name in REGION_JOB},
     }
     return {name: found[name] for name in queries()}

@@ -131,10 +131,10 @@ def home_regions(frequency: str) -> str:
 SELECT msisdn, {time_key(frequency)}, home_region FROM home_regions"""
 
 
-def home_region_counts(frequency: str) -> str:
+def home_region_counts(frequency: str, more_than: int = 15) -> str:
     return with_clause(*REGIONAL, home_regions_ctes(frequency)) + f"""
 SELECT {time_key(frequency)}, home_region, count(*) AS count FROM home_regions
-GROUP BY {frequency}, home_region HAVING count(*) > 15"""
+GROUP BY {frequency}, home_region HAVING count(*) > {more_than}"""
 
 
 VISIT_COLUMNS = "msisdn, strftime(call_datetime, '%Y-%m-%d %H:%M:%S') AS call_datetime, location_id, CAST(call_date AS VARCHAR) AS call_date, event_id"
@@ -155,6 +155,23 @@ ENRICHED_OPEN_ENDS = ENRICHED.replace(
     "coalesce(region_lag, '99999') AS region_lag", "region_lag").replace(
     "coalesce(region_lead, '99999') AS region_lead", "region_lead")
 
+# The tables of the mobility job, published above 5.
+JOB = {
+    "transactions_per_hour": counts("hour", "count(*)", more_than=5),
+    "unique_subscribers_country_per_day": counts("day", "count(DISTINCT msisdn)", "", 5),
+    "origin_destination_per_day": origin_destination("connection_date, region_from, region_to", 15, 5),
+    "home_regions_per_month": home_region_counts("month", 5),
+    "unique_subscribers_per_hour": counts("hour", "count(DISTINCT msisdn)", more_than=5),
+}
+SUBSCRIBER_JOB = {
+    "transactions_per_hour": counts("hour", "count(*)", "region, msisdn", None),
+    "unique_subscribers_country_per_day": counts("day", "count(DISTINCT msisdn)", "", None),
+    "origin_destination_per_day": origin_destination("connection_date, msisdn, region_from, region_to", None, None),
+    "home_regions_per_month": home_region_counts("month", 0),
+    "unique_subscribers_per_hour": counts("hour", "count(DISTINCT msisdn)", "region", None),
+    "subscriber_home_regions_per_day": home_regions("day"),
+}
+
 REGIONS = {
     "subscribers_per_region_per_day": with_clause(*BASE, per_day("x", UP_TO_DATE)) + f"SELECT {DAY_KEYS} FROM x",
     "subscribers_per_region_per_day_at_least_80":

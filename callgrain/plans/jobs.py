@@ -76,21 +76,22 @@ def write_regions(cdr: DataFrame, cells: DataFrame, folder: str, period: Period,
                   min_id_length: int = 20, privacy: Privacy | None = AT_LEAST_15, threshold_inputs: bool = True,
                   iso_year: bool = False) -> dict[str, str]:
     """Write the regional aggregates. Homes are those of `period`; daily tables cover `as_of` (by default the same), weekly
-    ones the full weeks of `period`. Presence and homes are stored once."""
+    ones the full weeks of `period`. Presence, marked with homes, is stored once."""
     as_of, weeks = as_of or period, period.full_weeks()
     records = period.union(as_of).prune(cdr)
-    seen = stage(presence(mapped_visits(visits(records, min_id_length), cells)), "presence")
-    homes = stage(regions.home_locations(seen, period), "homes")
+    seen = stage(
+        regions.with_homes(presence(mapped_visits(visits(records, min_id_length), cells)), period), "presence")
+    homes = regions.homes_of(seen)
     tables = {
         "subscribers_per_region_per_day": regions.subscribers_per_region_per_day(seen, as_of, privacy),
         "subscribers_per_region_per_week": regions.subscribers_per_region_per_week(seen, weeks, privacy, iso_year),
         "home_locations": homes,
         "residents_per_region": regions.residents_per_region(homes, privacy),
-        "residents_per_region_per_day": regions.residents_per_region_per_day(seen, homes, as_of, privacy),
-        "residents_per_region_per_week": regions.residents_per_region_per_week(seen, homes, weeks, privacy, iso_year),
-        "visitors_per_region_per_day": regions.visitors_per_region_per_day(seen, homes, as_of, privacy, threshold_inputs),
+        "residents_per_region_per_day": regions.residents_per_region_per_day(seen, None, as_of, privacy),
+        "residents_per_region_per_week": regions.residents_per_region_per_week(seen, None, weeks, privacy, iso_year),
+        "visitors_per_region_per_day": regions.visitors_per_region_per_day(seen, None, as_of, privacy, threshold_inputs),
         "visitors_per_region_per_week": regions.visitors_per_region_per_week(
-            seen, homes, weeks, privacy, threshold_inputs, iso_year),
+            seen, None, weeks, privacy, threshold_inputs, iso_year),
         "region_pairs_per_day": regions.region_pairs_per_day(seen, as_of, privacy),
         "directed_region_pairs_per_day": regions.directed_region_pairs_per_day(seen, as_of, privacy),
         "calls_per_region_per_day": regions.calls_per_region_per_day(seen, as_of, privacy),

@@ -1,11 +1,12 @@
 """Regional aggregates of subscribers, residents, visitors and connections.
 
-All start from `presence`: one row per subscriber, date and region.
+All start from `presence`: one row per subscriber, date and region. Residents and visitors take homes from a table, or
+from presence that `with_homes` has marked.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callgrain.params import AT_LEAST_15, Period, Privacy
 
@@ -55,22 +56,48 @@ def home_locations(presence: DataFrame, period: Period | None = None) -> DataFra
     return times.groupBy("msisdn").agg(F.min(rank)["region"].alias("region"))
 
 
-def at_home(presence: DataFrame, homes: DataFrame) -> DataFrame:
-    """Presence of subscribers in their home region."""
-    return presence.join(homes, ["msisdn", "region"], "left_semi")
+def with_homes(presence: DataFrame, period: Period | None = None) -> DataFrame:
+    """Presence with `home_region`, by the rule of `home_locations` over `period`, and whether a row is `at_home`.
 
+    Windows over a subscriber's presence, laid out once: the records need not be read again to find the homes.
+    """
+    mine = presence.repartition("msisdn")
+    counted = F.lit(True) if period is None else period.covers("call_date")
+    day = Window.partitionBy("msisdn", "call_date")
+    end = F.min(F.struct((-F.unix_micros("latest")).alias("order"), "region")).over(day)["region"]
+    ends = mine.withColumn("_ends", counted & F.col("region").eqNullSafe(end))
+    place = Window.partitionBy("msisdn", "region")
+    total, last = F.count_if("_ends").over(place), F.max(F.when(F.col("_ends"), F.col("call_date"))).over(place)
+    ranked = ends.withColumn("_rank", F.struct((-total).alias("order"), (-F.unix_date(last)).alias("recency"), "region"))
+    best = F.min(F.when(F.col("_ends"), F.col("_rank"))).over(Window.partitionBy("msisdn"))
+    return ranked.withColumn("home_region", best["region"]).withColumn(
+        "at_home", F.coalesce(F.col("region") == F.col("home_region"), F.lit(False))).drop("_ends", "_rank")
 
-def residents_per_region_per_day(presence: DataFrame, homes: DataFrame, period: Period | None = None,
+
+def homes_of(marked: DataFrame) -> DataFrame:
+    """`home_locations` from `with_homes`."""
+    found = marked.where(F.col("home_region").isNotNull()).groupBy("msisdn")
+    return found.agg(F.first("home_region").alias("region"))
+
+
+def at_home(presence: DataFrame, homes: DataFrame | None) -> DataFrame:
+    """Presence of subscribers in their home region; homes are given, or marked by `with_homes`."""
+    return presence.where("at_home") if homes is None else presence.join(homes, ["msisdn", "region"], "left_semi")
+
+
+def residents_per_region_per_day(presence: DataFrame, homes: DataFrame | None = None, period: Period | None = None,
                                  privacy: Privacy | None = AT_LEAST_15) -> DataFrame:
     return subscribers_per_region_per_day(at_home(presence, homes), period, privacy)
 
 
-def residents_per_region_per_week(presence: DataFrame, homes: DataFrame, period: Period | None = None,
+def residents_per_region_per_week(presence: DataFrame, homes: DataFrame | None = None, period: Period | None = None,
                                   privacy: Privacy | None = AT_LEAST_15, iso_year: bool = False) -> DataFrame:
     return subscribers_per_region_per_week(at_home(presence, homes), period, privacy, iso_year)
 
 
-def _with_home_mark(presence: DataFrame, homes: DataFrame) -> DataFrame:
+def _with_home_mark(presence: DataFrame, homes: DataFrame | None) -> DataFrame:
+    if homes is None:
+        return presence
     return presence.join(homes.withColumn("at_home", F.lit(True)), ["msisdn", "region"], "left")
 
 
@@ -87,18 +114,19 @@ def _visitors(marked: DataFrame, keys: list, privacy: Privacy | None, inner: Pri
     return _published(counts.drop("everyone", "residents"), "subscriber_count", privacy)
 
 
-def visitors_per_region_per_day(presence: DataFrame, homes: DataFrame, period: Period | None = None,
+def visitors_per_region_per_day(presence: DataFrame, homes: DataFrame | None = None, period: Period | None = None,
                                 privacy: Privacy | None = AT_LEAST_15, threshold_inputs: bool = True) -> DataFrame:
     marked = _with_home_mark(_in(presence, period), homes)
     keys = [F.col("call_date").alias("visit_date"), "region"]
     return _visitors(marked, keys, privacy, privacy if threshold_inputs else None)
 
 
-def visitors_per_region_per_week(presence: DataFrame, homes: DataFrame, period: Period | None = None,
+def visitors_per_region_per_week(presence: DataFrame, homes: DataFrame | None = None, period: Period | None = None,
                                  privacy: Privacy | None = AT_LEAST_15, threshold_inputs: bool = True,
                                  iso_year: bool = False) -> DataFrame:
     keys = _week_keys(iso_year)
-    weekly = _in(presence, period).select(*[k.alias(n) for n, k in keys.items()], "region", "msisdn").distinct()
+    mark = [] if homes is not None else ["at_home"]
+    weekly = _in(presence, period).select(*[k.alias(n) for n, k in keys.items()], "region", "msisdn", *mark).distinct()
     marked = _with_home_mark(weekly, homes)
     return _visitors(marked, [*keys, "region"], privacy, privacy if threshold_inputs else None)
 

@@ -119,3 +119,30 @@ def test_period_applies_to_dates(present):
     table = present(stay("A", "n1", 0), stay("A", "n1", 86400 * 3))
     period = Period(DAY + timedelta(days=1), DAY + timedelta(days=3))
     assert as_set(regions.subscribers_per_region_per_day(table, period, None)) == {(DAY + timedelta(days=3), "North", 1)}
+
+
+def test_homes_by_windows_are_those_by_grouping(spark):
+    import random
+
+    pick = random.Random(4)
+    rows = [(pick.choice("ABCDEF"), date(2024, 1, pick.randrange(1, 20)), pick.choice(["N", "S", "W", None])) for _ in range(300)]
+    table = spark.createDataFrame(
+        [(m, d, r, 1, datetime(d.year, d.month, d.day, 1), datetime(d.year, d.month, d.day, pick.randrange(2, 6)))
+         for m, d, r in sorted(set(rows), key=repr)],
+        "msisdn string, call_date date, region string, visits long, earliest timestamp, latest timestamp")
+    for period in (None, Period(date(2024, 1, 3), date(2024, 1, 9)), Period(date(2023, 1, 1), date(2023, 1, 2))):
+        marked = regions.with_homes(table, period)
+        homes = regions.home_locations(table, period).where("region IS NOT NULL")
+        assert as_set(regions.homes_of(marked).select("msisdn", "region")) == as_set(homes.select("msisdn", "region"))
+        for result in (regions.residents_per_region_per_day, regions.residents_per_region_per_week,
+                       regions.visitors_per_region_per_day, regions.visitors_per_region_per_week):
+            assert as_set(result(marked, None, privacy=None)) == as_set(result(table, homes, privacy=None))
+
+
+def test_residents_read_the_records_once(spark):
+    from verification.catalog import queries
+
+    for name in ("residents_per_region_per_day", "visitors_per_region_per_day", "residents_per_region_per_week",
+                 "visitors_per_region_per_week"):
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [event_id") == 1, plan

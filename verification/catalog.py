@@ -127,7 +127,8 @@ def _on(table: Callable, result: Callable[..., DataFrame], *args, **kwargs) -> Q
 
 
 def _on_homes(result: Callable[..., DataFrame], *args, **kwargs) -> Query:
-    return lambda spark, sf_dir: portable(result(_presence(spark, sf_dir), _homes(spark, sf_dir), *args, **kwargs))
+    return lambda spark, sf_dir: portable(result(
+        regions.with_homes(_presence(spark, sf_dir), PERIOD), None, *args, **kwargs))
 
 
 def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +221,12 @@ def _saved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = cdr(spark, sf_dir).withColumn("timestamp", F.date_format("timestamp", source.TIMESTAMP_FORMAT))
+    """Every 11th record gets an unreadable time, every 13th duration is no number or too large, every 17th id is missing."""
+    raw = cdr(spark, sf_dir).withColumns({
+        "timestamp": F.expr(f"if(event_id % 11 = 0, 'bad', date_format(timestamp, '{source.TIMESTAMP_FORMAT}'))"),
+        "duration": F.expr("CASE event_id % 26 WHEN 0 THEN 'x' WHEN 13 THEN '1e15' ELSE CAST(duration AS string) END"),
+        "caller_id": F.expr("if(event_id % 17 = 0, NULL, caller_id)"),
+    })
     return source.rejects(raw)
 
 
@@ -333,8 +339,8 @@ FROM tagged"""
             + "SELECT antenna_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM antennas",
         "cells_from_csv": feature_sql.with_clause(CELLS_SQL) + "SELECT cell_id, region FROM cells",
         "rejected_records": with_cdr + """
-SELECT count(*) AS records, count(*) FILTER (caller_id IS NULL OR recipient_id IS NULL) AS without_ids,
-  count(*) FILTER (timestamp IS NULL) AS bad_timestamp, CAST(0 AS BIGINT) AS bad_duration FROM cdr""",
+SELECT count(*) AS records, count(*) FILTER (event_id % 17 = 0) AS without_ids,
+  count(*) FILTER (event_id % 11 = 0) AS bad_timestamp, count(*) FILTER (event_id % 13 = 0) AS bad_duration FROM cdr""",
         "filter_dates": with_cdr + f"""
 SELECT {RECORD}, {DAY} FROM cdr WHERE timestamp >= DATE '2024-01-08' AND timestamp < DATE '2024-01-15'""",
         "landed_cdr": with_cdr + f"SELECT {RECORD}, {DAY} FROM cdr",

@@ -5,11 +5,28 @@ from __future__ import annotations
 
 from itertools import product
 
-from callgrain.operators.categories import VOCABULARY
-from callgrain.params import CALL, STATS, TXN_TYPES
-from callgrain.plans.features import FEATURES
 from verification.tables import ANTENNAS_SQL, CDR_SQL
 
+# The labels of the wide tables' column names, and the categories and values of each feature, written out
+# here so that a wrong label in the library shows.
+LABELS = {
+    "weekday": ("weekday", "weekend", "allweek"), "daytime": ("day", "night", "allday"),
+    "direction": ("in", "out", "alldir"), "txn_type": ("call", "text"),
+}
+STATISTICS = ("mean", "std", "median", "skewness", "kurtosis", "min", "max")
+CELL, TYPED = ("weekday", "daytime"), ("weekday", "daytime", "txn_type")
+CATEGORIES = {
+    "active_days": CELL, "number_of_contacts": TYPED, "call_duration": TYPED, "percent_nocturnal": ("weekday", "txn_type"),
+    "percent_initiated_conversations": CELL, "percent_initiated_interactions": CELL, "response_delay_text": CELL,
+    "response_rate_text": CELL, "entropy_of_contacts": TYPED, "balance_of_contacts": TYPED, "interactions_per_contact": TYPED,
+    "interevent_time": TYPED, "percent_pareto_interactions": TYPED, "percent_pareto_durations": CELL,
+    "number_of_interactions": ("direction", *TYPED), "number_of_antennas": CELL, "entropy_of_antennas": CELL,
+    "frequent_antennas": CELL, "percent_at_home": CELL, "radius_of_gyration": CELL,
+}
+WITH_STATISTICS = {
+    "call_duration", "response_delay_text", "balance_of_contacts", "interactions_per_contact", "interevent_time",
+}
+
 MIRRORED_SQL = """
 labelled AS (
   SELECT *, CASE WHEN dayofweek(day) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS weekday,
@@ -180,14 +197,13 @@ FROM cells9 t, unnest([t.direction, 'alldir']) AS x(direction) GROUP BY {TYPED},
 
 def wide_columns(name: str) -> list[tuple[str, str]]:
     """Column name and expression of each cell of a feature."""
-    feature = FEATURES[name]
-    types = (CALL,) if name == "call_duration" else TXN_TYPES
-    vocabularies = [types if c == "txn_type" else VOCABULARY[c] for c in feature.categories]
+    types = ("call",) if name == "call_duration" else LABELS["txn_type"]
+    categories = CATEGORIES[name]
     columns = []
-    for labels in product(*vocabularies):
-        where = " AND ".join(f"{c} = '{label}'" for c, label in zip(feature.categories, labels))
-        for value in feature.values:
-            column = "_".join([name, *labels, *([value] if feature.values == STATS else [])])
+    for labels in product(*[types if c == "txn_type" else LABELS[c] for c in categories]):
+        where = " AND ".join(f"{c} = '{label}'" for c, label in zip(categories, labels))
+        for value in STATISTICS if name in WITH_STATISTICS else ("value",):
+            column = "_".join([name, *labels, *([value] if name in WITH_STATISTICS else [])])
             columns.append((column, f'max(CAST("{value}" AS DOUBLE)) FILTER ({where})'))
     return columns
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from callgrain.llm.ranks import global_rank
+from callgrain.sources.sinks import stage
 
 
 def shards(
@@ -28,6 +29,7 @@ def shards(
         (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")).alias("order"),
     )
+    rows = stage(rows, "sizes")  # so that the texts are read once
     last = [F.col(c) for c in ("order", "id", "text_crc32", "size")]
     ranked = global_rank(rows, [F.col("source"), *last], "place")
     sources = ranked.groupBy("source").agg(F.count("*").alias("rows"), F.min("place").alias("first"))

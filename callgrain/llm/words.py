@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 16
 #: Rows of a batch are worked on in runs of about this many bytes.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15

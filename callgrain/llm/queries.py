@@ -10,10 +10,13 @@ from callgrain.llm import (
     bpe, chat, decontam, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
 )
 
+from callgrain.llm.shipping import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -159,6 +162,33 @@ LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
 
 
+#: Ranks by windows over all rows; the checksum by its table of 256 entries, made by rule, byte by byte.
+_SHARDING_SQL = """
+WITH crc_table AS (
+  SELECT list(list_reduce(range(8), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n)
+    ORDER BY n) AS t
+  FROM range(256) r(n)),
+coded AS (
+  SELECT doc_id, source, list_transform(
+    regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b
+  FROM documents),
+sized AS (
+  SELECT doc_id, source, CAST(len(b) + 8 AS BIGINT) AS size, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS random,
+    xor(list_reduce(b, lambda v, x: xor(v >> 8, t[1 + xor(v, x) % 256]), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
+  FROM coded, crc_table),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY random, doc_id, text_crc32, size) - 0.5::DOUBLE)
+    / count(*) OVER (PARTITION BY source) AS fraction
+  FROM sized),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, random, doc_id, text_crc32, size) - 1 AS place,
+    count(*) OVER () AS total
+  FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 24 // total AS INTEGER) AS shard,
+  place - (place * 24 // total * total + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM placed
+"""
+
 #: All pairs of vectors that have a direction.
 _NEAR_VECTOR_SQL = """
 WITH RECURSIVE v AS (
@@ -200,6 +230,7 @@ FROM marked GROUP BY conv_id
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_sharding": _SHARDING_SQL,
         "op6_minhash_near_dedup": _NEAR_TEXT_SQL,
         "op7_embedding_near_dedup": _NEAR_VECTOR_SQL,
         "op10_chat_format": _CHAT_SQL,

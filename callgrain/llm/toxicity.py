@@ -9,8 +9,8 @@ that the machine is fitted to has max_rows x terms cells. The places are counted
 Scoring reads every whole text once, without a shuffle; only the fitted arrays, of fixed size, go to the tasks.
 
 Cases: null and empty texts have no terms and get the score of the intercept. Rows with a null label or an id that no
-document has do not take part in fitting. Without labels of both classes every score is 0.5 times the share of label 1 plus
-0.25 of none, see `constant`. Repeated rows are scored each. Extra columns are not read.
+document has do not take part in fitting. Without labels of both classes all scores are equal: 0.75 if there is only label 1,
+else 0.25. Repeated rows are scored each. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ class Machine:
 
 
 def constant(positive: int, negative: int) -> Machine:
-    """Without examples of both classes: 0.25 if there are none or only label 0, 0.75 if only label 1."""
+    """A machine without terms, for examples of one class or none."""
     bias = np.log(3.0) if positive and not negative else -np.log(3.0)
     return Machine(np.full(PLACES, -1, np.int16), float(bias), np.zeros(0, np.float32), np.zeros((0, 1), np.float32))
 

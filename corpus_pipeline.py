@@ -9,16 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callgrain.llm import bpe, decontam, near_text, queries as q, secret_scan, toxicity
+from callgrain.llm.shipping import ship
 from callgrain.sources.sinks import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, fitted on the labelled ones among them, does not reject."""
+    ship(spark)
     return toxicity.without_toxic(docs, q.fitted_toxicity(spark, docs, sf_dir))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    ship(spark)
     return near_text.first_of_groups(docs)
 
 
@@ -37,6 +40,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and the text that these decode to."""
+    ship(spark)
     return bpe.with_tokens(docs, q.vocabulary("word_bpe_49k.json"))
 
 

@@ -42,8 +42,17 @@ def _planes(size: int, passes: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, size]).standard_normal((size, passes * BITS))
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Vectors (in the last axis) of length 1, in double precision."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=-1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=-1, keepdims=True))
+
+
 def _prepared(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
     """(id, node, size, vector, keys): node is a hash of the components, or null for vectors that link with nothing."""
+    element = vectors.schema["vector"].dataType.elementType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -56,22 +65,21 @@ def _prepared(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
                     node.append(None), size.append(0), values.append(x[:0]), keys.append(np.zeros(0, np.int64))
                     continue
                 x = x + 0.0  # one zero
-                unit = x / np.abs(x).max()
-                unit /= math.sqrt(unit @ unit)
                 if len(x) not in planes:
                     planes[len(x)] = _planes(len(x), passes, seed)
-                signs = (unit @ planes[len(x)] > 0).reshape(passes, BITS)
+                signs = (_unit(x) @ planes[len(x)] > 0).reshape(passes, BITS)
                 node.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
-                size.append(len(x)), values.append(unit)
+                size.append(len(x)), values.append(x)
                 keys.append(signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(node, pa.binary()), pa.array(size, pa.int32()),
-                lists(np.concatenate(values), np.array([len(v) for v in values]), pa.float64()),
+                lists(np.concatenate(values), np.array([len(v) for v in values]),
+                      pa.float32() if element == "float" else pa.float64()),
                 lists(np.concatenate(keys), np.array([len(k) for k in keys]), pa.int64()),
             ], names=["id", "node", "size", "vector", "keys"])
 
     kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"id {kind}, node binary, size int, vector array<double>, keys array<long>")
+    return vectors.mapInArrow(run, f"id {kind}, node binary, size int, vector array<{element}>, keys array<long>")
 
 
 def _compare(least: float, window: int):
@@ -79,6 +87,7 @@ def _compare(least: float, window: int):
     def run(unit: pd.DataFrame) -> pd.DataFrame:
         p, same = int(unit["pass"].iloc[0]), bool(unit.i.iloc[0] == unit.j.iloc[0])
         vector, place, bits = (np.stack(unit[c].to_numpy()) for c in ("vector", "places", "runs"))
+        vector = _unit(vector)
         copies, node = unit["copies"].to_numpy(), unit["node"].to_numpy()
         rows = np.arange(len(unit))
         left = rows if same else rows[(unit.side == 0).to_numpy()]
@@ -118,8 +127,10 @@ def near_groups(
     window: int = WINDOW, seed: int = 5,
 ) -> DataFrame:
     """One row per vector: id, n_links, component_id (smallest id of its group), kept (id is the component's)."""
-    made = stage(_prepared(vectors.select(
-        F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector")), passes, seed), "vectors")
+    # Single precision stays as it is while rows move; the arithmetic is in double precision.
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    vector = F.col(vector_col) if single else F.col(vector_col).cast("array<double>")
+    made = stage(_prepared(vectors.select(F.col(id_col).alias("id"), vector.alias("vector")), passes, seed), "vectors")
     good = "node is not null and id is not null"
     nodes = stage(made.where(good).groupBy("node").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"),

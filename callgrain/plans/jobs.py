@@ -48,7 +48,7 @@ def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period
                    publish: Privacy | None = MORE_THAN_15, within: Privacy | None = AT_LEAST_15,
                    visits_per: str = "hour", country_per: str = "day", homes_per: str = "month",
                    subscriber_homes_per: str = "day") -> dict[str, str]:
-    """Write the mobility indicators: thresholded counts, or subscriber-level rows.
+    """Write the mobility indicators: thresholded counts, or subscriber-level rows beside thresholded counts of homes.
 
     `as_of` is the period of the connections within days; by default the same. Only records of the two periods are read.
     Presence by hour and by day is stored once; all but the home regions, which need single visits, follow from these.
@@ -57,14 +57,16 @@ def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period
     located = regional_visits(visits(records, min_id_length), cells)
     hours = stage(presence_per_hour(located), "presence-per-hour")
     days = stage(presence_of_hours(hours), "presence")
-    publish, within = (None, None) if by_subscriber else (publish, within)
+    homes = home_region_counts(located, period, homes_per, publish)
+    if by_subscriber:
+        publish, within = None, None
     tables = {
         f"transactions_per_{visits_per}": transactions(hours, period, visits_per, publish, by_subscriber),
         f"unique_subscribers_country_per_{country_per}": unique_subscribers_country(hours, period, country_per, publish),
         "origin_destination_per_day": origin_destination(
             days, period, "day", as_of, within, publish, cutoff_days, by_subscriber
         ),
-        f"home_regions_per_{homes_per}": home_region_counts(located, period, homes_per),
+        f"home_regions_per_{homes_per}": homes,
         f"unique_subscribers_per_{visits_per}": unique_subscribers(hours, period, visits_per, publish),
     }
     if by_subscriber:

@@ -167,7 +167,7 @@ SUBSCRIBER_JOB = {
     "transactions_per_hour": counts("hour", "count(*)", "region, msisdn", None),
     "unique_subscribers_country_per_day": counts("day", "count(DISTINCT msisdn)", "", None),
     "origin_destination_per_day": origin_destination("connection_date, msisdn, region_from, region_to", None, None),
-    "home_regions_per_month": home_region_counts("month", 0),
+    "home_regions_per_month": home_region_counts("month"),
     "unique_subscribers_per_hour": counts("hour", "count(DISTINCT msisdn)", "region", None),
     "subscriber_home_regions_per_day": home_regions("day"),
 }

@@ -171,7 +171,7 @@ def _plausible(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _joined(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Of one unit: links that join its groups, as few as do, found by comparing full sets."""
+        """Of one unit: pairs of groups that a link joins, as few as do, found by comparing full sets."""
         left, right = rows[rows.side == 0], rows[rows.side == 1]
         size = right.shingles.map(len).to_numpy()
         out: list[tuple[bytes, bytes]] = []
@@ -184,8 +184,8 @@ def _joined(percent: int):
 
         if len(left) and len(right):
             items, begin = np.concatenate(right.shingles.to_list()), np.concatenate(([0], np.cumsum(size)[:-1]))
-            nodes, labels = right.node.to_numpy(), right.label.to_numpy()
-            for node, label, own in zip(left.node, left.label, left.shingles):
+            labels = right.label.to_numpy()
+            for label, own in zip(left.label, left.shingles):
                 own = np.sort(own)
                 at = np.minimum(np.searchsorted(own, items), len(own) - 1)
                 both = np.add.reduceat((own[at] == items).astype(np.int64), begin)
@@ -193,14 +193,14 @@ def _joined(percent: int):
                     a, b = root(label), root(labels[k])
                     if a != b:
                         parent[a] = b
-                        out.append((node, nodes[k]))
+                        out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return run
 
 
 def _cross_links(apart: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join groups which have members (key, node, label) in one band.
+    """Pairs (a, b) of groups joined by a link, of groups with members (key, node, label) in one band.
 
     A band's members are dealt by hash over blocks of about BLOCK_ITEMS shingles, and blocks meet in pairs. Sketches come first;
     only members with a plausible partner bring their sets, and a unit returns a forest, so rows follow the members.
@@ -246,7 +246,9 @@ def near_groups(
             F.max_by("hub", F.struct("bands", "hub")).alias("best"), F.collect_set("hub").alias("hubs")), "edges")
     first = edges.select(F.col("node").alias("a"), F.col("best").alias("b"))
     links = stage(confirmed(first, sets, percent), "confirmed")
-    groups = components(links)
+    # Two steps up from centre to centre: what these do not show to be together is compared.
+    up = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    groups = _labelled(up, up, "root", "top").select("node", F.col("top").alias("root"))
 
     rest = edges.select(F.col("node").alias("a"), "best", F.explode("hubs").alias("b")).where("b <> best")
     rest = _labelled(_labelled(rest, groups, "a", "of_a"), groups, "b", "of_b").where("of_a <> of_b").select("a", "b")
@@ -256,10 +258,11 @@ def near_groups(
     tagged = _labelled(members.where("members > 2"), groups, "node", "label")
     mixed = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     apart = tagged.join(mixed.select("key"), "key", "left_semi").select("key", "node", "label")
-    links = stage(links.union(_cross_links(apart, nodes, sets, percent)), "confirmed")
-    groups = components(links)
+    joined = stage(_cross_links(apart, nodes, sets, percent), "joined")
 
     placed = _labelled(nodes.select("node", "id"), groups, "node", "label")
+    if not joined.isEmpty():
+        placed = _labelled(placed, components(joined), "label", "top").select("node", "id", F.col("top").alias("label"))
     least = placed.groupBy("label").agg(F.min("id").alias("component_id"))
     by_node = placed.join(least, "label").select("node", "component_id")
     full = made.select("id", "n", F.when(F.expr("n > 0 and id is not null"), F.col("node")).alias("node"))

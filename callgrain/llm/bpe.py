@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from callgrain.llm.words import lists, runs
 
 #: Words, and parts of words, that a task keeps encoded, twice: those of the current generation and of the one before.
-CACHED = 250_000
+CACHED = 130_000
 #: Longer words are not kept.
 CACHED_CHARS = 64
 _END = "\n"
@@ -149,7 +149,7 @@ class Codec:
                 pair = before << 32 | token
                 fits = known.get(pair)
                 if fits is None:
-                    if len(known) > 2 * CACHED:
+                    if len(known) > CACHED:
                         known.clear()
                     fits = known[pair] = self._fits(before, token)
                 if not fits:

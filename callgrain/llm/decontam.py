@@ -1,14 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
 1. One pass over the texts looks up every run of four words among the runs of the test items, and keeps, where any occurs, the
    surrounding words (as hashes, as far as the longest item reaches on either side). Overlapping surroundings are one
    passage. Nothing else of a text is kept or shuffled.
-2. The runs' document frequency is counted over those hits. A run is a seed of an item unless it is in more than four times as
-   many documents as the item's median run: common phrases drop out, yet at least half of an item's runs stay seeds,
-   however often the item itself was copied.
-3. Passages that have a seed of an item are aligned with it, word by word: 2 for an equal word, -1 for a changed, added or
-   left out one. The similarity is the best local score over twice the item's words. From 0.5 on the document counts as
-   contaminated; two random texts of the same language stay below 0.3.
+2. Passages of equal words are one, however many documents hold them. Every passage is paired with every item it shares a run
+   with, however frequent that run is: a frequency counts the contaminated documents too, so it would switch off the runs of
+   what was copied most.
+3. Pairs are aligned word by word: 2 for an equal word, -1 for a changed, added or left out one. The similarity is the best
+   local score over twice the item's words. From 0.5 on the document counts as contaminated; two random texts of the same
+   language stay below 0.3. Pairs where the passage has too few of the item's words to reach the least score are not aligned.
+
+A run of F distinct passages and G items gives F x G pairs, so phrases that many items share cost most.
 
 The hashes of the items' runs go to the tasks in slices of at most SLICE, one pass over the texts for each slice (a slice holds
 some 100,000 items); so nothing that is broadcast grows without bound.
@@ -24,9 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from callgrain.llm.words import PUNCTUATION, Words, grams, lists, runs, words
+from callgrain.llm.words import PUNCTUATION, Words, grams, lists, mix, runs, words
 from callgrain.sources.sinks import stage
 
 RUN = 4
@@ -132,10 +134,25 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     return best, end
 
 
-def _aligned(pairs: DataFrame) -> DataFrame:
-    """(id, item, score, end) of pairs (id, item, at, words, item_words); the score is a share of the highest possible."""
+def _shared_words(items: pa.ListArray, passages: pa.ListArray) -> np.ndarray:
+    """How many of each item's words its passage has, at any place."""
+    def keys(lists_of: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        pair = np.repeat(np.arange(len(lists_of)), np.array(lists_of.value_lengths()))
+        return mix(lists_of.flatten().to_numpy().view(np.uint64) ^ mix(pair.astype(np.uint64))), pair
+
+    mine, pair = keys(items)
+    theirs, _ = keys(passages)
+    return np.bincount(pair[np.isin(mine, theirs)], minlength=len(items))
+
+
+def _aligned(pairs: DataFrame, least: float) -> DataFrame:
+    """(passage, item, score, end) of pairs (passage, item, words, item_words) that reach `least`, a share of the highest score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole in batches:
+            mine, theirs = whole.column("item_words"), whole.column("words")
+            # Only equal words add to a score.
+            able = _shared_words(mine, theirs) >= least * np.array(mine.value_lengths())
+            batch = whole.filter(pa.array(able))
             mine, theirs = batch.column("item_words"), batch.column("words")
             cells = np.array(mine.value_lengths()).astype(np.int64) + np.array(theirs.value_lengths())
             order = np.argsort(cells, kind="stable")
@@ -150,16 +167,16 @@ def _aligned(pairs: DataFrame) -> DataFrame:
                 score[some], end[some] = best / (EQUAL * np.array([len(x) for x in one])), place
                 lo = hi
             yield pa.RecordBatch.from_arrays([
-                batch.column("id"), batch.column("item"), pa.array(score),
-                pa.array(end + batch.column("at").to_numpy() + 1)], names=["id", "item", "score", "end"])
+                batch.column("passage"), batch.column("item"), pa.array(score), pa.array(end)],
+                names=["passage", "item", "score", "end"]).filter(pa.array(score >= least))
 
-    kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
-    return pairs.mapInArrow(run, f"id {kinds['id']}, item {kinds['item']}, score double, end long")
+    kind = pairs.schema["item"].dataType.simpleString()
+    return pairs.mapInArrow(run, f"passage binary, item {kind}, score double, end long")
 
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", least: float = 0.5, common: float = 4.0,
+    item_text_col: str = "text", least: float = 0.5,
 ) -> DataFrame:
     """(id, item, score, end_word): documents and the test items that they hold, with similarity from `least` on."""
     texts = _lowered(docs, id_col, text_col)
@@ -170,8 +187,10 @@ def leaks(
             "id", "item", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("end"))
     else:
         # Room for what an edited copy adds.
-        passages = stage(_all_passages(texts, items, 2 * reach), "passages")
-        found = _aligned(_candidates(passages, items, common)).where(F.col("score") >= least)
+        passages = stage(_all_passages(texts, items, 2 * reach).withColumn("passage", _name()), "passages")
+        found = passages.select("passage", "id", "at").join(
+            stage(_aligned(_candidates(passages, items), least), "aligned"), "passage"
+        ).select("id", "item", "score", (F.col("at") + F.col("end") + 1).alias("end"))
     return found.groupBy("id", "item").agg(
         F.max("score").alias("score"), F.max_by("end", F.struct("score", "end")).alias("end_word")
     ).withColumnsRenamed({"id": id_col, "item": f"{item_col}_leaked" if item_col == id_col else item_col})
@@ -189,18 +208,23 @@ def _all_passages(texts: DataFrame, items: DataFrame, reach: int) -> DataFrame:
     return made
 
 
-def _candidates(passages: DataFrame, items: DataFrame, common: float) -> DataFrame:
-    """Passages with a seed of an item, beside the item."""
-    hits = passages.select("id", "at", F.explode(F.array_distinct("runs")).alias("run"))
-    often = hits.groupBy("run").agg(F.count_distinct("id").alias("docs"))
-    runs_of = items.select("item", F.explode(F.array_distinct("runs")).alias("run"))
-    ranked = runs_of.join(often, "run")
-    middle = ranked.groupBy("item").agg(F.percentile("docs", 0.5).alias("middle"))
-    seeds = stage(ranked.join(middle, "item").where(F.col("docs") <= common * F.col("middle")).select("item", "run"), "seeds")
-    pairs = hits.join(seeds, "run").select("id", "at", "item").distinct()
+def _name() -> Column:
+    """A digest of a passage's words."""
+    return F.unhex(F.md5(F.array_join(F.col("words").cast("array<string>"), " ").cast("binary")))
+
+
+def _candidates(passages: DataFrame, items: DataFrame) -> DataFrame:
+    """Each distinct passage beside every item that it shares a run with."""
+    # With slices, a passage comes with the runs of each slice.
+    hits = passages.select("passage", F.explode(F.array_distinct("runs")).alias("run")).distinct()
+    runs_of = items.select("item", "words", F.explode(F.array_distinct("runs")).alias("run")).select(
+        "item", "run", F.xxhash64("words").alias("version"))
+    pairs = hits.join(runs_of, "run").select("passage", "item", "version").distinct()
+    distinct = passages.groupBy("passage").agg(F.first("words").alias("words"))
     return (
-        pairs.join(passages.select("id", "at", "words"), ["id", "at"])
-        .join(items.select("item", F.col("words").alias("item_words")), "item")
+        pairs.join(distinct, "passage")
+        .join(items.select("item", F.xxhash64("words").alias("version"), F.col("words").alias("item_words")), ["item", "version"])
+        .select("passage", "item", "words", "item_words")
     )
 
 

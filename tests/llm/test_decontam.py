@@ -77,6 +77,19 @@ def test_an_item_copied_into_most_documents(spark, documents):
     assert {r.doc_id for r in found} == {k for k in range(100) if k % 5}
 
 
+def test_a_popular_edited_copy_beside_a_rarer_exact_one(spark, documents):
+    pick = random.Random(6)
+    item = text(pick, 40)
+    edited = ["changed" if k % 5 == 4 else w for k, w in enumerate(item)]
+    docs = [(k, " ".join([*text(pick, 20), *(edited if k else item), *text(pick, 20)])) for k in range(11)]
+    docs += [(k, " ".join(text(pick, 60))) for k in range(11, 15)] + [(15, docs[3][1]), (16, " ".join(edited[:4]))]
+    rows = [(1, " ".join(item))]
+    found = d.leaks(documents(docs), spark.createDataFrame(rows, "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {*range(11), 15}
+    exact = scores(docs, rows)
+    assert all(abs(exact[r.doc_id, 1] - r.score) < 1e-9 for r in found)
+
+
 def test_slices_change_nothing(spark, documents, monkeypatch):
     docs, items, expected = build(random.Random(12))
     monkeypatch.setattr(d, "SLICE", 200)

@@ -3,8 +3,10 @@
 Each pass gives a vector the signs of 32 random projections, and all vectors are ordered by these as one number. A pass finds the
 pairs at most WINDOW places apart, and all pairs whose numbers begin with the same bits, as many bits as leave about 64
 unlike vectors together; so a dense group is not cut off by the window. Found pairs with cosine of 0.95 or more, in double
-precision, are links. A pair of cosine 0.95 is found by one of the 12 passes with probability 0.99 or more up to 60,000
-vectors; more vectors take more bits, and `passes` should grow with their logarithm.
+precision, are links. A bit of two vectors at the least cosine agrees with probability 1 - acos(least) / pi (0.899 at 0.95), and the
+shared bits grow with the logarithm of n, so one pass finds less of them as n grows: there are as many passes as give such a
+pair the probability RECALL by equal beginnings alone. For 0.95 these are 12 up to 65,000 vectors, 19 at 1 million, 29 at 10 million,
+41 at 100 million. The rows of a pass carry their places in all passes, so their bytes grow with the square of the passes.
 
 A pair counts in the first pass that finds it: the task sees from both vectors' places and bits in the earlier passes whether one
 of these had it. So each task adds up numbers of links by vector and emits a forest of its links; no list of pairs is
@@ -34,10 +36,28 @@ from callgrain.sources.sinks import stage
 BITS = 32
 WINDOW = 32
 BLOCK = 2048
+#: Least probability to find a pair of the least cosine.
+RECALL = 0.99
 #: Pairs looked at together in a task.
 PAIRS = 1 << 20
 
 
+def shared_bits(count: int) -> int:
+    """Bits that leave about 64 of `count` unlike vectors together."""
+    return min(BITS, max(0, math.ceil(math.log2(count + 1)) - 6))
+
+
+def passes_for(count: int, least: float, recall: float = RECALL) -> int:
+    """Passes after which a pair of cosine `least` among `count` vectors has had equal shared bits with probability `recall`."""
+    agree = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    once = agree ** shared_bits(count)
+    if once >= recall:
+        return 1
+    if once == 0:
+        raise ValueError("least must be above -1")
+    return math.ceil(math.log1p(-recall) / math.log1p(-once))
+
+
 def _planes(size: int, passes: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, size]).standard_normal((size, passes * BITS))
 
@@ -49,37 +69,56 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=-1, keepdims=True))
 
 
-def _prepared(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
-    """(id, node, size, vector, keys): node is a hash of the components, or null for vectors that link with nothing."""
+def _values(vector: pa.ListScalar) -> np.ndarray:
+    """In double precision; empty if null, or if a component is."""
+    raw = vector.values
+    return raw.to_numpy(zero_copy_only=False).astype(np.float64) if raw is not None and not raw.null_count else np.zeros(0)
+
+
+def _prepared(vectors: DataFrame) -> DataFrame:
+    """(id, node, size, vector): node is a hash of the components, or null for vectors that link with nothing."""
     element = vectors.schema["vector"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            node, size, values, keys = [], [], [], []
+            node, size, values = [], [], []
             for vector in batch.column(1):
-                raw = vector.values
-                x = raw.to_numpy(zero_copy_only=False).astype(np.float64) if raw is not None and not raw.null_count else np.zeros(0)
+                x = _values(vector)
                 good = len(x) > 0 and np.isfinite(x).all() and x.any()
                 if not good:
-                    node.append(None), size.append(0), values.append(x[:0]), keys.append(np.zeros(0, np.int64))
+                    node.append(None), size.append(0), values.append(x[:0])
                     continue
                 x = x + 0.0  # one zero
-                if len(x) not in planes:
-                    planes[len(x)] = _planes(len(x), passes, seed)
-                signs = (_unit(x) @ planes[len(x)] > 0).reshape(passes, BITS)
                 node.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
                 size.append(len(x)), values.append(x)
-                keys.append(signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(node, pa.binary()), pa.array(size, pa.int32()),
                 lists(np.concatenate(values), np.array([len(v) for v in values]),
                       pa.float32() if element == "float" else pa.float64()),
-                lists(np.concatenate(keys), np.array([len(k) for k in keys]), pa.int64()),
-            ], names=["id", "node", "size", "vector", "keys"])
+            ], names=["id", "node", "size", "vector"])
 
     kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"id {kind}, node binary, size int, vector array<{element}>, keys array<long>")
+    return vectors.mapInArrow(run, f"id {kind}, node binary, size int, vector array<{element}>")
+
+
+def _keys(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
+    """(size, node, keys): the signs of the projections of each pass, as one number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[int, np.ndarray] = {}
+        for batch in batches:
+            keys = []
+            for vector in batch.column(2):
+                x = _values(vector)
+                if len(x) not in planes:
+                    planes[len(x)] = _planes(len(x), passes, seed)
+                signs = (_unit(x) @ planes[len(x)] > 0).reshape(passes, BITS)
+                keys.append(signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1),
+                lists(np.concatenate(keys or [np.zeros(0, np.int64)]), np.array([len(k) for k in keys], np.int64), pa.int64()),
+            ], names=["size", "node", "keys"])
+
+    return nodes.select("size", "node", "vector").mapInArrow(run, "size int, node binary, keys array<long>")
 
 
 def _compare(least: float, window: int):
@@ -126,19 +165,23 @@ def near_groups(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95, passes: int = 12,
     window: int = WINDOW, seed: int = 5,
 ) -> DataFrame:
-    """One row per vector: id, n_links, component_id (smallest id of its group), kept (id is the component's)."""
+    """One row per vector: id, n_links, component_id (smallest id of its group), kept (id is the component's).
+
+    `passes` is the least number of passes; there are more where `passes_for` asks for them.
+    """
     # Single precision stays as it is while rows move; the arithmetic is in double precision.
     single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     vector = F.col(vector_col) if single else F.col(vector_col).cast("array<double>")
-    made = stage(_prepared(vectors.select(F.col(id_col).alias("id"), vector.alias("vector")), passes, seed), "vectors")
+    made = stage(_prepared(vectors.select(F.col(id_col).alias("id"), vector.alias("vector"))), "vectors")
     good = "node is not null and id is not null"
     nodes = stage(made.where(good).groupBy("node").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"),
-        F.first("vector").alias("vector"), F.first("keys").alias("keys")), "nodes")
-    bits = min(BITS, max(0, math.ceil(math.log2(nodes.count() + 1)) - 6))
+        F.first("vector").alias("vector")), "nodes")
+    count = nodes.count()
+    bits, passes = shared_bits(count), max(passes, passes_for(count, least))
 
     ordered = global_rank(
-        nodes.select("size", "node", F.posexplode("keys").alias("pass", "key")),
+        _keys(nodes, passes, seed).select("size", "node", F.posexplode("keys").alias("pass", "key")),
         [F.col(c) for c in ("size", "pass", "key", "node")], "at")
     begin = ordered.groupBy("size", "pass").agg(F.min("at").alias("begin"))
     # As many rows as there are passes and vector sizes.

@@ -70,6 +70,29 @@ def test_recall_at_the_threshold(spark):
     assert all(got[k][0] <= expected[k][0] for k in got)
 
 
+@pytest.mark.parametrize("count, passes", [(2_000, 6), (60_000, 11), (1_000_000, 19), (10_000_000, 29), (100_000_000, 41)])
+def test_passes_grow_with_the_vectors(count, passes):
+    agree = 1 - np.arccos(0.95) / np.pi
+    assert n.passes_for(count, 0.95) == passes
+    assert 1 - (1 - agree ** n.shared_bits(count)) ** passes >= 0.99
+
+
+def test_recall_with_the_bits_of_a_large_table(spark, monkeypatch):
+    """Shared bits as for 10 million vectors, no window: the pairs at the threshold are found by more passes."""
+    random, vectors = np.random.default_rng(8), []
+    for _ in range(300):
+        a, b = random.standard_normal((2, 32))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        vectors += [a, 0.951 * a + np.sqrt(1 - 0.951 ** 2) * b / np.linalg.norm(b)]
+    vectors = [(k, v.astype(np.float32).tolist()) for k, v in enumerate(vectors)]
+    log2 = n.math.log2
+    monkeypatch.setattr(n.math, "log2", lambda x: log2(x * 10_000_000 / 600))
+    expected, got = brute_force(vectors), found(n.near_groups(table(spark, vectors), window=0))
+    links = sum(v[0] for v in expected.values())
+    assert links >= 600 and sum(v[0] for v in got.values()) >= 0.97 * links
+
+
 def test_strange_rows(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [

@@ -88,7 +88,8 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fitted_forest(docs: DataFrame):
     """Trained on the documents' own candidates, labelled by rules, as the tables have no findings that people have labelled."""
     found = secret_scan.findings(docs)
-    return secret_scan.fit(found.withColumn("label", secret_scan.weak_labels(F.struct("value", "before", "after"))))
+    return secret_scan.fit(found.withColumn("label", secret_scan.weak_labels(
+        F.struct("value", "before", "after"), F.col("context"))))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

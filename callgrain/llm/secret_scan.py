@@ -1,7 +1,8 @@
 """Secret scans: pattern candidates, of which a random forest trained on labelled findings removes the false positives.
 
-Candidates are private keys from their BEGIN to their END line (without one, the lines of key characters that follow), and
-long runs of key characters with a digit. Features of a candidate: length, share of digits, upper case,
+Candidates are private keys from their BEGIN to their END line (without one, the lines of key characters that follow), values of
+6 and more characters without blanks and quotes that are assigned to a word of credentials, passwords in addresses
+(`scheme://user:password@`), and long runs of key characters with a digit. Features of a candidate: length, share of digits, upper case,
 hex and other characters, how often the kind of character changes, how much of it the dictionary's words cover,
 whether it stands in a path or address, and the words beside it: those of credentials, of checksums and identifiers, an
 assignment. Candidates that the forest gives a probability of 0.5 or more are findings. A form that is known (`KNOWN_FORMS`) is a
@@ -45,7 +46,15 @@ DICTIONARY = (
 )
 CREDENTIAL_WORDS = (
     r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential|client.?id|signature)")
-SCANNED = CANDIDATE
+#: A value behind a credential word and an assignment, and a password in an address. Java only, for the look-behinds of several lengths;
+#: the first look-behind and look-ahead are there to fail soon.
+ASSIGNED = (
+    r"""(?<=[:=>"'`\s])(?=[^\s"'`]{6})(?<=[:=]>?[ \t]{0,8}["'`]?)"""
+    rf"""(?<={CREDENTIAL_WORDS.replace('(?i)(', '(?i:')}[\w.\-]{{0,24}}["'`\]]{{0,2}}[ \t]{{0,8}}[:=]>?[ \t]{{0,8}}["'`]?)"""
+    r"""(?!-----BEGIN )(?:(?<=["'`])[^\s"'`]{6,}|[^\s"'`]{5,}[^\s"'`,;.)\]}])"""
+)
+IN_ADDRESS = r"(?<=:)(?<=[A-Za-z0-9+.\-]{1,16}://[^\s/:@]{0,64}:)(?![0-9]{1,5}[/?#])[^\s/@][^\s@]*(?=@)"
+SCANNED = f"{ASSIGNED}|{IN_ADDRESS}|{CANDIDATE}"
 IDENTIFIER_WORDS = (
     r"(?i)(sha-?[0-9]|md5|hash|checksum|digest|commit|revision|uuid|guid|etag|isbn|phone|card|iban|order|invoice|example|sample)")
 #: Keys whose own form tells them.

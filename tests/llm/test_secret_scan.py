@@ -97,6 +97,19 @@ def test_keys_with_slashes_and_private_keys_are_redacted_whole(spark, documents)
     assert clean[2] == "see\n[SECRET]\nwords after" and clean[3] == "[SECRET]\n\nwords after it"
 
 
+def test_passwords_are_candidates(spark, documents):
+    texts = {
+        1: ('password = "hunter2!Summer" x', "hunter2!Summer"), 2: ("postgres://admin:S3cr3tPass@db/x", "S3cr3tPass"),
+        3: ('api_key: "abcdefGHIJKLmnopqrSTUV"', "abcdefGHIJKLmnopqrSTUV"), 4: ('{"db_password":"p@ss,w0rd;"}', "p@ss,w0rd;"),
+        5: ("PASSWORD=Winter!24, next", "Winter!24"), 6: ("export DB_PASSWD=0123456789abcdef!xyz\n", "0123456789abcdef!xyz"),
+        7: ("a plain: sentence, where x=short12 https://host:8080/path", None), 8: ("https://host:8080/a@b", None),
+    }
+    docs = documents([(k, text) for k, (text, _) in texts.items()])
+    found = labelled(docs).collect()
+    assert {r.doc_id: r.value for r in found} == {k: v for k, (_, v) in texts.items() if v}
+    assert len(found) == 6 and all(r.label == 1 for r in found)
+
+
 def test_strange_rows(strange, documents):
     none = s.fit(s.findings(documents([])).withColumn("label", F.lit(1)))
     assert s.scan(strange, none).count() == 0

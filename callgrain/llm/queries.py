@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callgrain.llm import (
-    bpe, chat, decontam, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
+    bpe, chat, decontam, fingerprints, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
 )
 
 from callgrain.llm.shipping import ship
@@ -123,6 +123,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own, edited, following = (F.col(c) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint"))
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_hex(own).alias("fingerprint"), fingerprints.as_hex(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"), fingerprints.likeness(own, following).alias("near_next"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -135,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_token_counts": op9_token_counts,
         "op10_chat_format": op10_chat_format,
+        "op11_fingerprints": op11_fingerprints,
     }
 
 
@@ -229,10 +238,71 @@ FROM marked GROUP BY conv_id
 """
 
 
+#: Checksums of the distinct words by the table of 256 entries that _SHARDING_SQL makes; bins by grouping; each empty bin takes the
+#: full bin that comes first in its order.
+_FINGERPRINT_SQL = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(range(8), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n)
+    ORDER BY n) AS t
+  FROM range(256) r(n)),
+docs AS (
+  SELECT doc_id, coalesce(text, '') AS own, length(coalesce(text, '')) AS n,
+    coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS following
+  FROM documents WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+edits AS (SELECT *, substring(own, 1, n - n // 2) || substring(following, 1, n // 2) AS edited FROM docs),
+texts AS (
+  SELECT doc_id, 0 AS kind, own AS t FROM edits UNION ALL SELECT doc_id, 1, edited FROM edits
+  UNION ALL SELECT doc_id, 2, following FROM edits),
+split AS (
+  SELECT doc_id, kind, list_filter(regexp_split_to_array(lower(t), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM texts),
+places AS (SELECT doc_id, kind, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+distinct_words AS (
+  SELECT word, list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b
+  FROM (SELECT DISTINCT word FROM places)),
+codes AS (
+  SELECT word,
+    xor(list_reduce(b, lambda v, x: xor(v >> 8, t[1 + xor(v, x) % 256]), CAST(4294967295 AS BIGINT)), 4294967295) AS code
+  FROM distinct_words, crc_table),
+runs AS (
+  SELECT doc_id, kind, n, pos, code * 60493 + coalesce(lead(code, 1) OVER w, 0) * 1540483
+    + coalesce(lead(code, 2) OVER w, 0) * 29837033 + coalesce(lead(code, 3) OVER w, 0) * 82451107
+    + coalesce(lead(code, 4) OVER w, 0) * 101513701 AS h
+  FROM places JOIN codes USING (word) WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
+bins AS (
+  SELECT doc_id, kind, (h % 2147483647) >> 24 AS bin, min(h % 2147483647) & 255 AS v
+  FROM runs WHERE pos <= n - 4 OR pos = 1 GROUP BY ALL),
+orders AS (
+  SELECT i, 1 + CAST('0x' || substring(md5(i || ':p'), 1, 7) AS BIGINT) % 130 AS p,
+    CAST('0x' || substring(md5(i || ':q'), 1, 7) AS BIGINT) % 131 AS q
+  FROM range(128) r(i)),
+empties AS (
+  SELECT k.doc_id, k.kind, i, p, q FROM (SELECT DISTINCT doc_id, kind FROM bins) k CROSS JOIN orders
+  ANTI JOIN bins ON bins.doc_id = k.doc_id AND bins.kind = k.kind AND bins.bin = i),
+filled AS (
+  SELECT doc_id, kind, bin, v FROM bins
+  UNION ALL SELECT e.doc_id, e.kind, i, min_by(v, (p * bin + q) % 131) FROM empties e
+  JOIN bins ON bins.doc_id = e.doc_id AND bins.kind = e.kind GROUP BY ALL),
+prints AS (
+  SELECT doc_id, max(f) FILTER (kind = 0) AS own, max(f) FILTER (kind = 1) AS edited, max(f) FILTER (kind = 2) AS following
+  FROM (SELECT doc_id, kind, string_agg(lpad(lower(hex(v)), 2, '0'), '' ORDER BY bin) AS f FROM filled GROUP BY ALL) GROUP BY doc_id),
+alike AS (
+  SELECT doc_id, avg(CAST(a.v = b.v AS INTEGER)) FILTER (b.kind = 1) AS e, avg(CAST(a.v = b.v AS INTEGER)) FILTER (b.kind = 2) AS f
+  FROM filled a JOIN filled b USING (doc_id, bin) WHERE a.kind = 0 AND b.kind > 0 GROUP BY doc_id)
+SELECT edits.doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edits.edited) AS edited_sha256, coalesce(prints.own, '') AS fingerprint,
+  coalesce(prints.edited, '') AS edited_fingerprint,
+  CASE WHEN prints.own IS NOT NULL AND prints.edited IS NOT NULL THEN greatest((e - 0.00390625::DOUBLE) / 0.99609375::DOUBLE, 0)
+    ELSE CAST((prints.own IS NULL) = (prints.edited IS NULL) AS DOUBLE) END AS near_edited,
+  CASE WHEN prints.own IS NOT NULL AND prints.following IS NOT NULL THEN greatest((f - 0.00390625::DOUBLE) / 0.99609375::DOUBLE, 0)
+    ELSE CAST((prints.own IS NULL) = (prints.following IS NULL) AS DOUBLE) END AS near_next
+FROM edits LEFT JOIN prints USING (doc_id) LEFT JOIN alike USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_sharding": _SHARDING_SQL,
         "op6_minhash_near_dedup": _NEAR_TEXT_SQL,
         "op7_embedding_near_dedup": _NEAR_VECTOR_SQL,
         "op10_chat_format": _CHAT_SQL,
+        "op11_fingerprints": _FINGERPRINT_SQL,
     }

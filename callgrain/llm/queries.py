@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callgrain.llm import (
-    bpe, chat, decontam, fingerprints, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
+    bpe, chat, decontam, fingerprints, merkle, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
 )
 
 from callgrain.llm.shipping import ship
@@ -131,6 +131,20 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(own, edited).alias("near_edited"), fingerprints.likeness(own, following).alias("near_next"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaf with its proof; some rows present a text without its line ends."""
+    shorter = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    fields = [F.col(c) for c in merkle.FIELDS]
+    other = merkle.leaf_hash([shorter if c == "text" else F.col(c) for c in merkle.FIELDS])
+    leaves = table(spark, sf_dir, "documents").select(
+        "source", F.col("doc_id").alias("id"), merkle.leaf_hash(fields).alias("leaf"),
+        F.when(changed & F.contains("text", F.lit("\n")), F.unhex(other)).alias("shown"))
+    found = merkle.proofs(merkle.manifest(leaves, ["shown"]), "shown")
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "source")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -144,6 +158,7 @@ def queries() -> dict[str, Query]:
         "op9_token_counts": op9_token_counts,
         "op10_chat_format": op10_chat_format,
         "op11_fingerprints": op11_fingerprints,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
@@ -298,6 +313,66 @@ FROM edits LEFT JOIN prints USING (doc_id) LEFT JOIN alike USING (doc_id)
 """
 
 
+#: Levels by recursion, siblings by windows over each run of three, folding by recursion over a leaf's steps.
+_MERKLE_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n)
+    ORDER BY n) AS t
+  FROM range(256) r(n)),
+coded AS (
+  SELECT doc_id, source, text, xor(list_reduce(list_transform(
+      regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+      lambda v, x: xor(v >> 8, t[1 + xor(v, x) % 256]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents, crc_table),
+hashed AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(shown) || ':' || shown, '-')) AS presented
+  FROM (SELECT *, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown FROM coded)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM hashed),
+up(src, lvl, pos, n, d) AS (
+  SELECT source, 0, pos, n, leaf FROM leaves
+  UNION ALL SELECT src, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM up
+  WHERE n > 1 GROUP BY src, lvl, pos // 3, n),
+subroots AS (
+  SELECT src, d, row_number() OVER (ORDER BY src NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, max(lvl) OVER () + 1 AS base
+  FROM up WHERE n = 1),
+tops(lvl, pos, n, d) AS (
+  SELECT 0, pos, n, d FROM subroots
+  UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM tops
+  WHERE n > 1 GROUP BY lvl, pos // 3, n),
+nodes AS (
+  SELECT true AS inner_tree, src, lvl, pos, n, d FROM up UNION ALL SELECT false, NULL, lvl, pos, n, d FROM tops),
+steps AS (
+  SELECT *, coalesce(string_agg(d, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes WHERE n > 1 WINDOW run AS (PARTITION BY inner_tree, src, lvl, pos // 3 ORDER BY pos)),
+paths AS (
+  SELECT doc_id, leaf, lvl AS k, l, r FROM leaves JOIN steps
+    ON inner_tree AND steps.src IS NOT DISTINCT FROM leaves.source AND steps.pos = leaves.pos // CAST(pow(3, lvl) AS BIGINT)
+  UNION ALL
+  SELECT doc_id, leaf, base + lvl, l, r FROM leaves JOIN subroots ON subroots.src IS NOT DISTINCT FROM leaves.source
+    JOIN steps ON NOT inner_tree AND steps.pos = subroots.pos // CAST(pow(3, lvl) AS BIGINT)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, leaf ORDER BY k) AS step FROM paths),
+folded(doc_id, leaf, step, d) AS (
+  SELECT doc_id, leaf, 0, presented FROM leaves
+  UNION ALL SELECT f.doc_id, f.leaf, f.step + 1, sha256(l || d || r) FROM folded f
+  JOIN numbered p ON p.doc_id IS NOT DISTINCT FROM f.doc_id AND p.leaf = f.leaf AND p.step = f.step + 1),
+sealed AS (SELECT doc_id, leaf, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM numbered GROUP BY doc_id, leaf)
+SELECT leaves.doc_id, leaves.leaf, subroots.d AS subroot, tops.d AS root, coalesce(proof, sha256('')) AS proof_sha256,
+  last.d AS folded_root, last.d = tops.d AS verified, leaves.source
+FROM leaves JOIN subroots ON subroots.src IS NOT DISTINCT FROM leaves.source JOIN tops ON tops.n = 1
+JOIN (SELECT doc_id, leaf, max_by(d, step) AS d FROM folded GROUP BY doc_id, leaf) last
+  ON last.doc_id IS NOT DISTINCT FROM leaves.doc_id AND last.leaf = leaves.leaf
+LEFT JOIN sealed ON sealed.doc_id IS NOT DISTINCT FROM leaves.doc_id AND sealed.leaf = leaves.leaf
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_sharding": _SHARDING_SQL,
@@ -305,4 +380,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_embedding_near_dedup": _NEAR_VECTOR_SQL,
         "op10_chat_format": _CHAT_SQL,
         "op11_fingerprints": _FINGERPRINT_SQL,
+        "op12_merkle_manifest": _MERKLE_SQL,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callgrain.llm import (
-    bpe, chat, decontam, fingerprints, merkle, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
+    align, bpe, chat, decontam, fingerprints, merkle, near_text, near_vectors, secret_scan, sharding, token_counts, toxicity, url_filter,
 )
 
 from callgrain.llm.shipping import ship
@@ -145,6 +145,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "source")
 
 
+def public_pair() -> align.Tokenizers:
+    import public_tokenizers
+
+    return align.Tokenizers(
+        vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, vocabulary("piece_bpe_32k.model"))
+
+
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(table(spark, sf_dir, "documents"), public_pair())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -159,6 +170,7 @@ def queries() -> dict[str, Query]:
         "op10_chat_format": op10_chat_format,
         "op11_fingerprints": op11_fingerprints,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_cross_tokenizer": op13_cross_tokenizer,
     }
 
 

@@ -31,14 +31,15 @@ def summary_stats(value: Column | str, median_accuracy: int = 10_000, mean: Colu
     ]
 
 
-def shannon_entropy(n: Column | str) -> Column:
-    """Entropy in nats of the shares of counts `n`, in one pass.
+def shannon_entropy(n: Column | str, times: Column | str | None = None) -> Column:
+    """Entropy in nats of the shares of counts `n`, in one pass; each count occurs `times` times.
 
     -sum(n/T ln(n/T)) equals ln(T) - sum(n ln n)/T, which needs no total beforehand.
     """
     n = F.col(n) if isinstance(n, str) else n
-    total = F.sum(n)
-    return F.greatest(F.ln(total) - F.sum(n * F.ln(n)) / total, F.lit(0.0))
+    times = F.lit(1) if times is None else F.col(times) if isinstance(times, str) else times
+    total = F.sum(n * times)
+    return F.greatest(F.ln(total) - F.sum(n * times * F.ln(n)) / total, F.lit(0.0))
 
 
 def share(condition: Column) -> Column:

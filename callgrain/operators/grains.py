@@ -64,6 +64,15 @@ def contact_cells(sums: DataFrame) -> DataFrame:
     )
 
 
+def contact_counts(contacts: DataFrame) -> DataFrame:
+    """Per caller, type and cell: `contacts` with the same `n_out` and `n_in`.
+
+    Contacts of one caller take few different pairs of counts, as the counts add up to the caller's interactions.
+    """
+    return contacts.groupBy("caller_id", "txn_type", "weekday", "daytime", "n_out", "n_in").agg(
+        F.count(F.lit(1)).alias("contacts"))
+
+
 def antenna_sums(cdr: DataFrame, calendar: Calendar) -> DataFrame:
     """Per caller and antenna: interactions in the four fine cells. No antenna is a group of its own."""
     directed = directed_interactions(cdr, calendar)

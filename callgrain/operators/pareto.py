@@ -11,16 +11,18 @@ from callgrain.params import GroupSplit
 
 
 def pareto_head(items: DataFrame, keys: list[str], value: str, share: float, split: GroupSplit | None = None,
-                total: int | None = None) -> DataFrame:
+                total: int | None = None, times: str | None = None) -> DataFrame:
     """Per group: `head`, the least number of items, largest first, whose values reach `share` of the
     group's total, and `items`, their number. `head` is null where the total is 0.
 
     Values are whole numbers or decimals, not negative. Equal values are merged before they are ranked,
     so the ranked rows of a group are its distinct values. Counts have few of these, however many
     contacts a caller has: k distinct counts add up to at least k (k + 1) / 2. Other values may have
-    many; with `split`, groups that are too large are cut (`total` is as in `cut_large_groups`).
+    many; with `split`, groups that are too large are cut (`total` is as in `cut_large_groups`). A row may stand for
+    several items, whose number is in the column `times`.
     """
-    merged = items.groupBy(*keys, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.sum(times) if times else F.count(F.lit(1))
+    merged = items.groupBy(*keys, F.col(value).alias("_value")).agg(n.alias("_n"))
     merged = merged.withColumn("_sum", F.col("_value") * F.col("_n"))
     cut = Runs(merged, keys)
     if split is not None:

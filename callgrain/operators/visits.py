@@ -75,11 +75,15 @@ def presence(visits_with_region: DataFrame, period: Period | None = None) -> Dat
 
 
 def presence_per_hour(visits_with_region: DataFrame) -> DataFrame:
-    """Per subscriber, hour and region, as `presence`; counts by any longer time and `presence` itself follow from it."""
-    hours = visits_with_region.withColumn("hour", bucket("call_datetime", "hour"))
-    return hours.groupBy("msisdn", "call_date", "hour", "region").agg(
-        F.count(F.lit(1)).alias("visits"),
-        F.min("call_datetime").alias("earliest"), F.max("call_datetime").alias("latest"),
+    """Per subscriber, hour and region, as `presence`, and `last_visits`, the number of visits in the latest second.
+
+    Counts by any longer time, `presence` itself and homes follow from it. Visits are counted per second first, as which is the
+    latest shows only after grouping; that also spreads the visits of one subscriber.
+    """
+    seconds = visits_with_region.groupBy("msisdn", "call_date", "region", "call_datetime").agg(F.count(F.lit(1)).alias("n"))
+    return seconds.groupBy("msisdn", "call_date", bucket("call_datetime", "hour").alias("hour"), "region").agg(
+        F.sum("n").alias("visits"), F.min("call_datetime").alias("earliest"), F.max("call_datetime").alias("latest"),
+        F.max_by("n", "call_datetime").alias("last_visits"),
     )
 
 

@@ -10,20 +10,21 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.functions.geo import great_circle_km
-from callgrain.functions.stats import exact_mean, shannon_entropy, summary_stats
-from callgrain.operators.categories import FINE_CELLS, explode_cells, group_with_totals, widen
+from callgrain.functions.stats import shannon_entropy
+from callgrain.operators.categories import FINE_CELLS, explode_cells, widen
 from callgrain.operators.conversations import conversation_openings, tag_pairs
 from callgrain.operators.gaps import gaps_between_interactions
 from callgrain.operators.grains import (
-    active_day_cells, activity_cells, antenna_cells, antenna_sums, contact_cells, contact_sums,
+    active_day_cells, activity_cells, antenna_cells, antenna_sums, contact_cells, contact_counts, contact_sums,
 )
 from callgrain.operators.interactions import both_sides, directed_interactions, pair_interactions
 from callgrain.operators.pareto import pareto_head
+from callgrain.operators.value_counts import cells_of_counts, counted_stats, value_counts
 from callgrain.params import ALL_DAY, CALL, STATS, TEXT, FeatureParams
-from callgrain.sources.sinks import stage
+from callgrain.sources.runs import Run
 
 WEEK_DAY = ["weekday", "daytime"]
 CALLER_CELL = ["caller_id", *WEEK_DAY]
@@ -37,14 +38,15 @@ class FeatureInputs:
     cdr: DataFrame
     antennas: DataFrame
     params: FeatureParams
+    is_laid_out: bool = False
 
     @cached_property
     def directed(self) -> DataFrame:
         return directed_interactions(self.cdr, self.params.calendar)
 
     @cached_property
-    def activity(self) -> DataFrame:
-        return activity_cells(self.directed)
+    def records(self) -> int:
+        return self.cdr.count()
 
     @cached_property
     def contact_sums(self) -> DataFrame:
@@ -54,48 +56,99 @@ class FeatureInputs:
     def contacts(self) -> DataFrame:
         return contact_cells(self.contact_sums)
 
+    @cached_property
+    def tagged(self) -> DataFrame:
+        pairs = pair_interactions(self.cdr, self.params.calendar)
+        return tag_pairs(pairs, self.params.max_wait, self.params.split, total=2 * self.records)
+
+    # Tables by caller. Each has a limited number of rows for one caller, however many records there are.
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        return activity_cells(self.directed)
+
+    @cached_property
+    def days(self) -> DataFrame:
+        return active_day_cells(self.directed)
+
     @cached_property
     def antenna_use(self) -> DataFrame:
         return antenna_sums(self.cdr, self.params.calendar)
 
     @cached_property
-    def tagged(self) -> DataFrame:
-        pairs = pair_interactions(self.cdr, self.params.calendar)
-        return tag_pairs(pairs, self.params.max_wait, self.params.split, total=2 * self.records)
+    def contact_counts(self) -> DataFrame:
+        """Per caller, type and cell: `contacts`, the number of those with `n_out` and `n_in` interactions."""
+        return contact_counts(self.contacts)
 
     @cached_property
-    def records(self) -> int:
-        return self.cdr.count()
+    def call_heads(self) -> DataFrame:
+        """Per caller and cell: `head` and `items` of the contacts by call seconds."""
+        calls = self.contacts.where(F.col("txn_type") == CALL)
+        # Each cell has at most one contact per record and side.
+        most = 18 * self.records
+        return pareto_head(calls, CALLER_CELL, "seconds", self.params.pareto_share, self.params.split, most)
 
-    def stage_shared(self) -> FeatureInputs:
-        """The same inputs with the shared tables written once, for a job that computes many features."""
-        staged = FeatureInputs(self.cdr, self.antennas, self.params)
-        staged.records = self.records
-        staged.contact_sums = stage(self.contact_sums, "contacts")
-        staged.activity = stage(self.activity, "activity")
-        staged.antenna_use = stage(self.antenna_use, "antenna-use")
-        texts = self.tagged.where(F.col("txn_type") == TEXT).select(
-            "lo", "hi", "lo_sent", "timestamp", "txn_type", "weekday", "daytime", "wait", "conversation", "answers"
-        )
-        staged.tagged = stage(texts, "texts")
-        return staged
+    @cached_property
+    def openings(self) -> DataFrame:
+        return conversation_openings(self.tagged, self.params.calendar)
 
-    def stats(self, value: str, mean: Column | None = None) -> list[Column]:
-        return summary_stats(value, self.params.median_accuracy, mean)
+    @cached_property
+    def durations(self) -> DataFrame:
+        """Counts of the durations of calls."""
+        return value_counts(self.directed.where(F.col("txn_type") == CALL), ["caller_id", "txn_type"], "duration")
+
+    @cached_property
+    def delays(self) -> DataFrame:
+        """Counts of the seconds to a reply; texts that are none count as null."""
+        texts = both_sides(self.tagged.where(F.col("txn_type") == TEXT))
+        replies = (F.col("direction") == "out") & F.col("answers")
+        return value_counts(texts.withColumn("delay", F.when(replies, F.col("wait"))), ["caller_id"], "delay")
+
+    @cached_property
+    def gaps(self) -> DataFrame:
+        """Counts `n` of the seconds (`wait`) between interactions, per type and cell."""
+        gaps = gaps_between_interactions(self.directed, self.params.split, total=2 * self.records)
+        return gaps.groupBy(*TYPED_CELL, "wait").agg(F.count(F.lit(1)).alias("n"))
+
+    def laid_out(self, run: Run, buckets: int) -> FeatureInputs:
+        """The same inputs with the tables by caller written once, in buckets of callers: features then need no exchange.
+
+        The two tables that several of these come from are written as they are; they are not by caller.
+        """
+        base = FeatureInputs(self.cdr, self.antennas, self.params)
+        base.contact_sums = run.shared("contact_sums", lambda: self.contact_sums)
+        base.tagged = run.shared("texts", lambda: self.tagged.where(F.col("txn_type") == TEXT).select(
+            "lo", "hi", "lo_sent", "timestamp", "txn_type", "weekday", "daytime", "wait", "conversation", "answers"))
+        out = FeatureInputs(self.cdr, self.antennas, self.params, is_laid_out=True)
+        for name in BY_CALLER:
+            setattr(out, name, run.shared(name, lambda name=name: getattr(base, name), "caller_id", buckets))
+        return out
+
+    def by_caller(self, table: DataFrame) -> DataFrame:
+        """A table by caller with all rows of a caller in one place: as laid out, else after one exchange of its few rows."""
+        return table if self.is_laid_out else table.repartition("caller_id")
+
+    @property
+    def weighted_contacts(self) -> DataFrame:
+        """`contact_counts`, or single contacts where counting them first would only be a further exchange."""
+        return self.contact_counts if self.is_laid_out else self.contacts.withColumn("contacts", F.lit(1))
+
+
+#: Properties of FeatureInputs that a job lays out by caller.
+BY_CALLER = ("activity", "days", "antenna_use", "contact_counts", "call_heads", "openings", "durations", "delays", "gaps")
 
 
 def active_days(inputs: FeatureInputs) -> DataFrame:
-    return active_day_cells(inputs.directed).withColumnRenamed("days", "value")
+    return inputs.days.withColumnRenamed("days", "value")
 
 
 def number_of_contacts(inputs: FeatureInputs) -> DataFrame:
-    return inputs.contacts.groupBy(*TYPED_CELL).agg(F.count(F.lit(1)).alias("value"))
+    return inputs.weighted_contacts.groupBy(*TYPED_CELL).agg(F.sum("contacts").alias("value"))
 
 
 def call_duration(inputs: FeatureInputs) -> DataFrame:
-    calls = inputs.directed.where(F.col("txn_type") == CALL)
-    stats = inputs.stats("duration", exact_mean("duration"))
-    return group_with_totals(calls, ["caller_id", "txn_type"], WEEK_DAY, *stats)
+    counted = cells_of_counts(inputs.by_caller(inputs.durations), ["caller_id", "txn_type"], "duration")
+    return counted_stats(counted, TYPED_CELL, "duration")
 
 
 def percent_nocturnal(inputs: FeatureInputs) -> DataFrame:
@@ -106,8 +159,7 @@ def percent_nocturnal(inputs: FeatureInputs) -> DataFrame:
 
 
 def percent_initiated_conversations(inputs: FeatureInputs) -> DataFrame:
-    openings = conversation_openings(inputs.tagged, inputs.params.calendar)
-    return openings.select(*CALLER_CELL, (F.col("sent") / (F.col("sent") + F.col("received"))).alias("value"))
+    return inputs.openings.select(*CALLER_CELL, (F.col("sent") / (F.col("sent") + F.col("received"))).alias("value"))
 
 
 def percent_initiated_interactions(inputs: FeatureInputs) -> DataFrame:
@@ -116,48 +168,43 @@ def percent_initiated_interactions(inputs: FeatureInputs) -> DataFrame:
 
 
 def response_delay_text(inputs: FeatureInputs) -> DataFrame:
-    texts = both_sides(inputs.tagged.where(F.col("txn_type") == TEXT))
-    replies = (F.col("direction") == "out") & F.col("answers")
-    return group_with_totals(
-        texts.withColumn("delay", F.when(replies, F.col("wait"))), ["caller_id"], WEEK_DAY, *inputs.stats("delay")
-    )
+    counted = cells_of_counts(inputs.by_caller(inputs.delays), ["caller_id"], "delay")
+    return counted_stats(counted, CALLER_CELL, "delay")
 
 
 def response_rate_text(inputs: FeatureInputs) -> DataFrame:
-    openings = conversation_openings(inputs.tagged, inputs.params.calendar)
-    received = openings.where(F.col("received") > 0)
+    received = inputs.openings.where(F.col("received") > 0)
     return received.select(*CALLER_CELL, (F.col("answered") / F.col("received")).alias("value"))
 
 
 def entropy_of_contacts(inputs: FeatureInputs) -> DataFrame:
-    return inputs.contacts.groupBy(*TYPED_CELL).agg(shannon_entropy("n").alias("value"))
+    entropy = shannon_entropy(F.col("n_out") + F.col("n_in"), "contacts")
+    return inputs.weighted_contacts.groupBy(*TYPED_CELL).agg(entropy.alias("value"))
 
 
 def balance_of_contacts(inputs: FeatureInputs) -> DataFrame:
-    balances = inputs.contacts.withColumn("balance", F.col("n_out") / F.col("n"))
-    return balances.groupBy(*TYPED_CELL).agg(*inputs.stats("balance"))
+    share = F.col("n_out") / (F.col("n_out") + F.col("n_in"))
+    counted = inputs.by_caller(inputs.contact_counts).withColumn("balance", share)
+    return counted_stats(counted, TYPED_CELL, "balance", "contacts", exact=False)
 
 
 def interactions_per_contact(inputs: FeatureInputs) -> DataFrame:
-    return inputs.contacts.groupBy(*TYPED_CELL).agg(*inputs.stats("n"))
+    counted = inputs.by_caller(inputs.contact_counts).withColumn("n", F.col("n_out") + F.col("n_in"))
+    return counted_stats(counted, TYPED_CELL, "n", "contacts")
 
 
 def interevent_time(inputs: FeatureInputs) -> DataFrame:
-    gaps = gaps_between_interactions(inputs.directed, inputs.params.split, total=2 * inputs.records)
-    return gaps.groupBy(*TYPED_CELL).agg(*inputs.stats("wait"))
+    return counted_stats(inputs.gaps, TYPED_CELL, "wait")
 
 
 def percent_pareto_interactions(inputs: FeatureInputs) -> DataFrame:
-    heads = pareto_head(inputs.contacts, TYPED_CELL, "n", inputs.params.pareto_share)
+    contacts = inputs.weighted_contacts.withColumn("n", F.col("n_out") + F.col("n_in"))
+    heads = pareto_head(contacts, TYPED_CELL, "n", inputs.params.pareto_share, times="contacts")
     return heads.select(*TYPED_CELL, (F.col("head") / F.col("items")).alias("value"))
 
 
 def percent_pareto_durations(inputs: FeatureInputs) -> DataFrame:
-    calls = inputs.contacts.where(F.col("txn_type") == CALL)
-    # Each cell has at most one contact per record and side.
-    most = 18 * inputs.records
-    heads = pareto_head(calls, CALLER_CELL, "seconds", inputs.params.pareto_share, inputs.params.split, most)
-    return heads.select(*CALLER_CELL, (F.col("head") / F.col("items")).alias("value"))
+    return inputs.call_heads.select(*CALLER_CELL, (F.col("head") / F.col("items")).alias("value"))
 
 
 def number_of_interactions(inputs: FeatureInputs) -> DataFrame:

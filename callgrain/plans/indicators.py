@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.functions.calendar import bucket
-from callgrain.operators.visits import with_buckets, with_neighbours
+from callgrain.operators.visits import presence_per_hour, with_buckets, with_neighbours
 from callgrain.params import AT_LEAST_15, MORE_THAN_15, UNMAPPED_REGION, GroupSplit, Period, Privacy
-from callgrain.plans.regions import _published, directed_region_pairs_per_day
+from callgrain.plans.regions import _published
 
 
 def _bucketed(visits: DataFrame, period: Period, frequency: str) -> DataFrame:
@@ -67,32 +67,65 @@ def origin_destination(presence: DataFrame, period: Period, frequency: str = "da
                        within: Privacy | None = AT_LEAST_15, between: Privacy | None = MORE_THAN_15,
                        cutoff_days: int = 7, by_subscriber: bool = False) -> DataFrame:
     """Connections within days and between days, side by side and summed, from the `presence` of regional
-    visits. Within days there are no connections with unmapped cells; `as_of` is their period."""
+    visits. Within days there are no connections with unmapped cells; `as_of` is their period.
+
+    Both kinds come from one table of subscriber-days, laid out by subscriber, and are counted in one grouping, so presence
+    is read once and nothing is joined.
+    """
     if frequency != "day":
         raise ValueError("the origin-destination matrix is defined per day only")
-    keys = ["connection_date", *(["msisdn"] if by_subscriber else []), "region_from", "region_to"]
-    pairs = directed_region_pairs_per_day(
-        presence.where(F.col("region") != UNMAPPED_REGION), as_of or period, within, by_subscriber
+    as_of = as_of or period
+    mine = presence.where(period.union(as_of).covers("call_date")).repartition("msisdn")
+    visited = F.when(F.col("region").isNotNull() & (F.col("region") != UNMAPPED_REGION), F.struct("region", "earliest", "latest"))
+    days = mine.groupBy("msisdn", "call_date").agg(
+        F.min(F.struct("earliest", "region")).alias("first"), F.max(F.struct("latest", "region")).alias("last"),
+        F.collect_list(visited).alias("seen"),
     )
-    moves = moves_between_days(presence, period, cutoff_days)
-    moved = _published(moves.groupBy(*keys).agg(F.count("msisdn").alias("od_count")), "od_count", between)
-    both = pairs.join(moved, keys, "full").fillna(0, subset=["subscriber_count", "od_count"])
-    return both.select(
-        *keys, "subscriber_count", "od_count", (F.col("subscriber_count") + F.col("od_count")).alias("total_count")
+    # Within the period, the day before is the subscriber's last active day of the period.
+    by_day = Window.partitionBy("msisdn").orderBy("call_date")
+    before = F.lag(F.struct("call_date", "last")).over(by_day)
+    placed = days.withColumn("before", before)
+    seconds = F.unix_seconds(F.col("first")["earliest"]) - F.unix_seconds(F.col("before")["last"]["latest"])
+    moved = (
+        period.covers("call_date") & period.covers(F.col("before")["call_date"]) & (seconds <= cutoff_days * 24 * 60 * 60)
+        & (F.col("before")["last"]["region"] != F.col("first")["region"])
     )
+    start = F.struct(
+        F.col("before")["last"]["region"].alias("region"), F.lit(None).cast("timestamp").alias("earliest"),
+        F.lit(None).cast("timestamp").alias("latest"))
+    places = F.when(as_of.covers("call_date") & (F.size("seen") > 1), F.col("seen")).otherwise(F.array().cast(days.schema["seen"].dataType))
+    # A start without times stands for the move from the day before; it leads to the first region of the day alone.
+    starts = placed.select(
+        "msisdn", "call_date", "seen", "first",
+        F.explode(F.concat(places, F.when(moved, F.array(start)).otherwise(F.array().cast(days.schema["seen"].dataType)))).alias("a"))
+    is_move = F.col("a")["earliest"].isNull()
+    end = F.struct(F.col("first")["region"].alias("region"), F.col("first")["earliest"].alias("earliest"),
+                   F.col("first")["earliest"].alias("latest"))
+    pairs = starts.select(
+        "msisdn", "call_date", "a", is_move.alias("is_move"), F.explode(F.when(is_move, F.array(end)).otherwise(F.col("seen"))).alias("b")
+    ).where("is_move OR (a.region <> b.region AND a.earliest < b.latest)")
+    keys = ["connection_date", *(["msisdn"] if by_subscriber else []), "region_from", "region_to"]
+    counts = pairs.select(
+        F.col("call_date").alias("connection_date"), "msisdn", F.col("a.region").alias("region_from"),
+        F.col("b.region").alias("region_to"), "is_move",
+    ).groupBy(*keys).agg(F.count_if(~F.col("is_move")).alias("subscriber_count"), F.count_if("is_move").alias("od_count"))
+    # Counts that are withheld count as none, and connections of which nothing is left are left out.
+    for name, privacy in (("subscriber_count", within), ("od_count", between)):
+        if privacy is not None:
+            counts = counts.withColumn(name, F.when(privacy.allows(name), F.col(name)).otherwise(0))
+    return counts.withColumn("total_count", F.col("subscriber_count") + F.col("od_count")).where("total_count > 0").select(
+        *keys, "subscriber_count", "od_count", "total_count")
 
 
 def home_regions(visits: DataFrame, period: Period, frequency: str) -> DataFrame:
     """Per subscriber and bucket: the region that most often holds the last second of a day (`home_region`);
     the one visited latest among equals, then the smallest."""
-    df = visits.where(period.covers("call_datetime"))
+    hours = visits if "last_visits" in visits.columns else presence_per_hour(visits.where(period.covers("call_datetime")))
+    df = _bucketed(hours, period, frequency)
     keys = ["msisdn", "call_date"]
-    # Visits per second first: how many there are in the last second is known only after grouping.
-    seconds = df.groupBy(*keys, "region", "call_datetime").agg(F.count(F.lit(1)).alias("n"))
-    seconds = seconds.withColumn(frequency, bucket("call_datetime", frequency))
     # At most 24 hours times the number of regions remain per subscriber and day.
-    latest = seconds.groupBy(*keys, frequency, "region").agg(
-        F.max("call_datetime").alias("latest"), F.max_by("n", "call_datetime").alias("n")
+    latest = df.groupBy(*keys, frequency, "region").agg(
+        F.max("latest").alias("latest"), F.max_by("last_visits", "latest").alias("n")
     ).repartition("msisdn")
     day_end = F.max("latest").over(Window.partitionBy(*keys))
     ends = latest.withColumn("ends", F.when(F.col("latest") == day_end, F.col("n")).otherwise(0))

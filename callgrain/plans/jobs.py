@@ -17,27 +17,43 @@ from callgrain.plans.indicators import (
     home_region_counts, home_regions, origin_destination, transactions, unique_subscribers, unique_subscribers_country,
 )
 from callgrain.sources.cdr import join_on
-from callgrain.sources.sinks import save_all, stage
+from callgrain.sources.runs import Run
+
+#: Name of the table of all features side by side.
+ALL_FEATURES = "all_features"
 
 
 def write_features(cdr: DataFrame, antennas: DataFrame, folder: str, params: FeatureParams | None = None,
-                   names: Iterable[str] | None = None, wide: bool = True) -> dict[str, str]:
-    """Write each feature to its own directory, in one row per caller or in long form.
+                   names: Iterable[str] | None = None, wide: bool = True, table: bool = False,
+                   buckets: int | None = None) -> dict[str, str]:
+    """Write each feature to its own directory, in one row per caller or in long form; with `table` also all of them side by side.
 
-    The shared tables are written once first, so the records are not read and sorted per feature.
+    The tables that features come from are written once first, laid out in `buckets` of callers (by default as many as there
+    are shuffle partitions), and so are the features: these need no exchange then. Results are Parquet folders like any other;
+    `runs.register_laid_out` makes their layout known again. A job that stopped can be called again: see `sources.runs`.
     """
     params = params or FeatureParams()
-    inputs = FeatureInputs(cdr, antennas, params).stage_shared()
     features = [FEATURES[name] for name in (names or FEATURES)]
-    tables = {f.name: f.wide(inputs) if wide else f.long(inputs) for f in features}
-    return save_all(tables, folder)
+    buckets = buckets or int(cdr.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arguments = (params, wide, sorted(f.name for f in features), table, buckets)
+    with Run(folder, [cdr, antennas], arguments) as run:
+        if not all(run.has(f.name) for f in features):
+            inputs = FeatureInputs(cdr, antennas, params).laid_out(run, buckets)
+            for f in features:
+                run.publish(f.name, lambda f=f: f.wide(inputs) if wide else f.long(inputs), "caller_id", buckets)
+        paths = {f.name: f"{run.folder}/{f.name}" for f in features}
+        if table:
+            paths[ALL_FEATURES] = run.publish(
+                ALL_FEATURES, lambda: feature_table([run.result(f.name) for f in features]), "caller_id", buckets)
+        run.finish()
+    return paths
 
 
 def feature_table(features: list[DataFrame]) -> DataFrame:
-    """All features of a caller in one row, from wide tables that are already stored.
+    """All features of a caller in one row, from wide tables.
 
     All callers come first, and tables are joined to them from the left: that keeps the layout by caller, so each table
-    is shuffled once and the growing row never is.
+    is shuffled once, and not at all if it is laid out (then only the callers' ids are), and the growing row never is.
     """
     callers = reduce(DataFrame.union, [df.select("caller_id") for df in features]).distinct()
     return join_on([callers, *features], "caller_id", "left")
@@ -51,27 +67,31 @@ def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period
     """Write the mobility indicators: thresholded counts, or subscriber-level rows beside thresholded counts of homes.
 
     `as_of` is the period of the connections within days; by default the same. Only records of the two periods are read.
-    Presence by hour and by day is stored once; all but the home regions, which need single visits, follow from these.
+    Presence by hour and by day is stored once, and all tables follow from it. A job that stopped can be called again.
     """
-    records = period.union(as_of).prune(cdr)
-    located = regional_visits(visits(records, min_id_length), cells)
-    hours = stage(presence_per_hour(located), "presence-per-hour")
-    days = stage(presence_of_hours(hours), "presence")
-    homes = home_region_counts(located, period, homes_per, publish)
-    if by_subscriber:
-        publish, within = None, None
-    tables = {
-        f"transactions_per_{visits_per}": transactions(hours, period, visits_per, publish, by_subscriber),
-        f"unique_subscribers_country_per_{country_per}": unique_subscribers_country(hours, period, country_per, publish),
-        "origin_destination_per_day": origin_destination(
-            days, period, "day", as_of, within, publish, cutoff_days, by_subscriber
-        ),
-        f"home_regions_per_{homes_per}": homes,
-        f"unique_subscribers_per_{visits_per}": unique_subscribers(hours, period, visits_per, publish),
-    }
-    if by_subscriber:
-        tables[f"subscriber_home_regions_per_{subscriber_homes_per}"] = home_regions(located, period, subscriber_homes_per)
-    return save_all(tables, folder)
+    with Run(folder, [cdr, cells], (
+        period, as_of, by_subscriber, min_id_length, cutoff_days, publish, within, visits_per, country_per, homes_per,
+        subscriber_homes_per)) as run:
+        records = period.union(as_of).prune(cdr)
+        located = regional_visits(visits(records, min_id_length), cells)
+        hours = run.shared("presence_per_hour", lambda: presence_per_hour(located))
+        days = run.shared("presence", lambda: presence_of_hours(hours))
+        homes_publish = publish
+        if by_subscriber:
+            publish, within = None, None
+        tables = {
+            f"transactions_per_{visits_per}": lambda: transactions(hours, period, visits_per, publish, by_subscriber),
+            f"unique_subscribers_country_per_{country_per}":
+                lambda: unique_subscribers_country(hours, period, country_per, publish),
+            "origin_destination_per_day": lambda: origin_destination(
+                days, period, "day", as_of, within, publish, cutoff_days, by_subscriber
+            ),
+            f"home_regions_per_{homes_per}": lambda: home_region_counts(hours, period, homes_per, homes_publish),
+            f"unique_subscribers_per_{visits_per}": lambda: unique_subscribers(hours, period, visits_per, publish),
+        }
+        if by_subscriber:
+            tables[f"subscriber_home_regions_per_{subscriber_homes_per}"] = lambda: home_regions(hours, period, subscriber_homes_per)
+        return run.publish_all(tables)
 
 
 def write_regions(cdr: DataFrame, cells: DataFrame, folder: str, period: Period, as_of: Period | None = None, *,
@@ -81,21 +101,22 @@ def write_regions(cdr: DataFrame, cells: DataFrame, folder: str, period: Period,
     ones the full weeks of `period`. Presence, marked with homes, is stored once."""
     as_of, weeks = as_of or period, period.full_weeks()
     records = period.union(as_of).prune(cdr)
-    seen = stage(
-        regions.with_homes(presence(mapped_visits(visits(records, min_id_length), cells)), period), "presence")
-    homes = regions.homes_of(seen)
-    tables = {
-        "subscribers_per_region_per_day": regions.subscribers_per_region_per_day(seen, as_of, privacy),
-        "subscribers_per_region_per_week": regions.subscribers_per_region_per_week(seen, weeks, privacy, iso_year),
-        "home_locations": homes,
-        "residents_per_region": regions.residents_per_region(homes, privacy),
-        "residents_per_region_per_day": regions.residents_per_region_per_day(seen, None, as_of, privacy),
-        "residents_per_region_per_week": regions.residents_per_region_per_week(seen, None, weeks, privacy, iso_year),
-        "visitors_per_region_per_day": regions.visitors_per_region_per_day(seen, None, as_of, privacy, threshold_inputs),
-        "visitors_per_region_per_week": regions.visitors_per_region_per_week(
-            seen, None, weeks, privacy, threshold_inputs, iso_year),
-        "region_pairs_per_day": regions.region_pairs_per_day(seen, as_of, privacy),
-        "directed_region_pairs_per_day": regions.directed_region_pairs_per_day(seen, as_of, privacy),
-        "calls_per_region_per_day": regions.calls_per_region_per_day(seen, as_of, privacy),
-    }
-    return save_all(tables, folder)
+    with Run(folder, [cdr, cells], (period, as_of, min_id_length, privacy, threshold_inputs, iso_year)) as run:
+        seen = run.shared("presence", lambda: regions.with_homes(
+            presence(mapped_visits(visits(records, min_id_length), cells)), period))
+        homes = regions.homes_of(seen)
+        tables = {
+            "subscribers_per_region_per_day": lambda: regions.subscribers_per_region_per_day(seen, as_of, privacy),
+            "subscribers_per_region_per_week": lambda: regions.subscribers_per_region_per_week(seen, weeks, privacy, iso_year),
+            "home_locations": lambda: homes,
+            "residents_per_region": lambda: regions.residents_per_region(homes, privacy),
+            "residents_per_region_per_day": lambda: regions.residents_per_region_per_day(seen, None, as_of, privacy),
+            "residents_per_region_per_week": lambda: regions.residents_per_region_per_week(seen, None, weeks, privacy, iso_year),
+            "visitors_per_region_per_day": lambda: regions.visitors_per_region_per_day(seen, None, as_of, privacy, threshold_inputs),
+            "visitors_per_region_per_week": lambda: regions.visitors_per_region_per_week(
+                seen, None, weeks, privacy, threshold_inputs, iso_year),
+            "region_pairs_per_day": lambda: regions.region_pairs_per_day(seen, as_of, privacy),
+            "directed_region_pairs_per_day": lambda: regions.directed_region_pairs_per_day(seen, as_of, privacy),
+            "calls_per_region_per_day": lambda: regions.calls_per_region_per_day(seen, as_of, privacy),
+        }
+        return run.publish_all(tables)

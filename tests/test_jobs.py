@@ -11,6 +11,7 @@ from callgrain.params import FeatureParams, Period
 from callgrain.plans import jobs
 from callgrain.plans.features import FEATURES, FeatureInputs
 from callgrain.sources.cdr import filter_dates
+from callgrain.sources.runs import Run
 from callgrain.sources.sinks import land_cdr
 from conftest import as_set
 from test_splitting import lopsided
@@ -108,7 +109,7 @@ def test_jobs_read_only_their_period(spark, records, tmp_path, monkeypatch):
     cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
     df = records(*[{"a": f"{n % 5:020d}", "b": "x" * 20, "from": "1", "to": "2", "at": 86_400 * n} for n in range(40)])
     stored = {}
-    monkeypatch.setattr(jobs, "stage", lambda table, name: stored.setdefault(name, table))
+    monkeypatch.setattr(Run, "shared", lambda self, name, make, *more: stored.setdefault(name, make()))
     week = Period(date(2024, 1, 8), date(2024, 1, 14))
     jobs.write_mobility(df, cells, str(tmp_path / "m"), week)
     assert stored["presence"].select("call_date").distinct().count() == 7
@@ -117,10 +118,117 @@ def test_jobs_read_only_their_period(spark, records, tmp_path, monkeypatch):
     assert stored["presence"].select("call_date").distinct().count() == 9
 
 
-def test_stored_contacts_are_no_more_than_the_records(records, antennas):
+def test_stored_contacts_are_no_more_than_the_records(records, antennas, tmp_path):
     df = records(*[{"at": n, "a": f"a{n}", "b": f"b{n}"} for n in range(200)])
-    staged = FeatureInputs(df, antennas, FeatureParams()).stage_shared()
-    assert staged.contact_sums.count() == 200 and staged.contacts.count() == 1600
+    inputs = FeatureInputs(df, antennas, FeatureParams())
+    assert inputs.contact_sums.count() == 200 and inputs.contacts.count() == 1600
+
+
+def _without_broadcast(spark, make):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _reads(make()).split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_laid_out_features_need_no_exchange(spark, records, antennas, rows, tmp_path):
+    """By caller nothing moves after the shared tables are written; only the antennas are joined by another key."""
+    with Run(str(tmp_path / "run"), [records(*rows), antennas], ()) as run:
+        inputs = FeatureInputs(records(*rows), antennas, FeatureParams()).laid_out(run, 4)
+        for name, feature in FEATURES.items():
+            plan = _without_broadcast(spark, lambda: feature.wide(inputs))
+            if name != "radius_of_gyration":
+                assert "Exchange" not in plan, (name, plan)
+        single = FeatureInputs(records(*rows), antennas, FeatureParams())
+        for name in ("number_of_contacts", "entropy_of_contacts", "percent_pareto_interactions", "call_duration", "interevent_time"):
+            rounded = [{tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in FEATURES[name].long(i).collect()}
+                       for i in (inputs, single)]
+            assert rounded[0] == rounded[1], name
+        run.finish()
+
+
+def _landed(spark, records, rows, folder):
+    land_cdr(records(*rows), folder)
+    return spark.read.parquet(folder).withColumn("day", F.col("day").cast("timestamp"))
+
+
+def test_stopped_job_goes_on_where_it_was(spark, records, antennas, rows, tmp_path, monkeypatch):
+    cdr = _landed(spark, records, rows, str(tmp_path / "landed"))
+    antennas.write.parquet(str(tmp_path / "antennas"))
+    places = spark.read.parquet(str(tmp_path / "antennas"))
+    names = ["active_days", "number_of_contacts", "percent_nocturnal", "call_duration", "percent_at_home"]
+    whole = jobs.write_features(cdr, places, str(tmp_path / "whole"), names=names, table=True)
+    out, publish = tmp_path / "out", Run.publish
+
+    def failing(self, name, *args, **kwargs):
+        if name == "call_duration":
+            raise RuntimeError("an executor too few")
+        return publish(self, name, *args, **kwargs)
+
+    monkeypatch.setattr(Run, "publish", failing)
+    with pytest.raises(RuntimeError):
+        jobs.write_features(cdr, places, str(out), names=names, table=True)
+    monkeypatch.setattr(Run, "publish", publish)
+    kept = {f: f.stat().st_mtime_ns for name in (*names[:3], "_shared") for f in (out / name).rglob("*.parquet")}
+    assert len({f.parts[len(out.parts)] for f in kept}) == 4
+    made = []
+    monkeypatch.setattr(FeatureInputs, "directed", property(lambda self: made.append(self)))
+    paths = jobs.write_features(cdr, places, str(out), names=names, table=True)
+    assert not made, "the shared tables were there"
+    assert all(f.stat().st_mtime_ns == t for f, t in kept.items() if f.exists()) and (out / "active_days").exists()
+    for name in paths:
+        assert as_set(spark.read.parquet(paths[name])) == as_set(spark.read.parquet(whole[name])), name
+    assert not (out / "_shared").exists() and not (out / "_building").exists()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("laid_out")]
+    again = {f: f.stat().st_mtime_ns for f in out.rglob("*.parquet")}
+    jobs.write_features(cdr, places, str(out), names=names, table=True)
+    assert again == {f: f.stat().st_mtime_ns for f in out.rglob("*.parquet")}
+
+
+def test_changed_inputs_or_arguments_start_anew(spark, records, antennas, rows, tmp_path):
+    cdr = _landed(spark, records, rows, str(tmp_path / "landed"))
+    places = records(*rows[:1]).sparkSession.createDataFrame([("1", "North")], "cell_id string, region string")
+    places.write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    period = Period(date(2024, 1, 1), date(2024, 1, 31))
+    digest = lambda table, *more: Run(str(tmp_path / "d"), [table, cells], (period, *more)).digest
+    first = digest(cdr)
+    assert first == digest(spark.read.parquet(str(tmp_path / "landed")).withColumn("day", F.col("day").cast("timestamp")))
+    assert first != digest(cdr, 1) and first != digest(cdr.where("event_id > 3"))
+    records(*rows[:5]).write.mode("append").partitionBy("day").parquet(str(tmp_path / "landed"))
+    assert first != digest(spark.read.parquet(str(tmp_path / "landed")).withColumn("day", F.col("day").cast("timestamp")))
+    assert digest(records(*rows)) != digest(records(*rows)), "rows that are in no file are not compared"
+
+
+def test_stopped_mobility_job(spark, records, tmp_path, monkeypatch):
+    cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
+    cells.write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    rows = [{"a": f"{n % 20:020d}", "b": f"{n % 7:020d}", "from": "12"[n % 2], "to": "1", "at": 500 * n} for n in range(400)]
+    cdr = _landed(spark, records, rows, str(tmp_path / "landed"))
+    period, publish = Period(date(2024, 1, 1), date(2024, 1, 31)), Run.publish
+    whole = jobs.write_mobility(cdr, cells, str(tmp_path / "whole"), period)
+    count = []
+
+    def failing(self, name, *args, **kwargs):
+        count.append(name)
+        if len(count) == 4:
+            raise RuntimeError("stopped")
+        return publish(self, name, *args, **kwargs)
+
+    monkeypatch.setattr(Run, "publish", failing)
+    with pytest.raises(RuntimeError):
+        jobs.write_mobility(cdr, cells, str(tmp_path / "out"), period)
+    monkeypatch.setattr(Run, "publish", publish)
+    held = [tmp_path / "out" / name for name in count[:3]]
+    times = [sorted((f, f.stat().st_mtime_ns) for f in p.rglob("*.parquet")) for p in held]
+    monkeypatch.setattr(jobs, "presence_per_hour", None)
+    paths = jobs.write_mobility(cdr, cells, str(tmp_path / "out"), period)
+    assert times == [sorted((f, f.stat().st_mtime_ns) for f in p.rglob("*.parquet")) for p in held]
+    for name in whole:
+        assert as_set(spark.read.parquet(paths[name])) == as_set(spark.read.parquet(whole[name])), name
 
 
 def test_feature_table_shuffles_each_table_once(spark, records, antennas, rows, tmp_path):

@@ -64,9 +64,9 @@ def _fresh_folder(spark: SparkSession, name: str) -> str:
 
 
 def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature job: shared tables staged, twenty tables written, then read and joined by caller."""
-    paths = jobs.write_features(cdr(spark, sf_dir), antennas(spark, sf_dir), _fresh_folder(spark, "features"))
-    table = jobs.feature_table([spark.read.parquet(path) for path in paths.values()])
+    """The feature job: tables by caller laid out, twenty tables written, and all of them side by side."""
+    paths = jobs.write_features(cdr(spark, sf_dir), antennas(spark, sf_dir), _fresh_folder(spark, "features"), table=True)
+    table = spark.read.parquet(paths[jobs.ALL_FEATURES])
     return portable(table, tuple(c for c in table.columns if c != "caller_id"))
 
 

@@ -1,15 +1,15 @@
 """Document fingerprints by one-permutation MinHash, with optimal densification and packed low-order bits.
 
-Every 5-word shingle is hashed once, from the checksums of its words. The upper seven bits of the hash name one of 128 bins, and
+Every 5-word shingle is hashed once, from the checksums of its words. The upper eight bits of the hash name one of 256 bins, and
 each bin keeps its smallest hash: one sort of a text's hashes gives all bins. A bin that got none takes over the bin that comes first in an order of its
-own: attempt t of bin i looks into bin (a_i * t + b_i) mod 131, which reaches every bin (optimal densification with a
-2-universal family). Of each bin the low eight bits are kept: 1,024 bits a document, as 16 integers of 64 bits.
+own: attempt t of bin i looks into bin (a_i * t + b_i) mod 257, which reaches every bin (optimal densification with a
+2-universal family). Of each bin the low eight bits are kept: 2,048 bits a document, as 32 integers of 64 bits.
 
 Two bins agree by chance with probability C = 1/256, so `likeness` is (share of equal bins - C) / (1 - C), cut to 0 to 1. Its standard
-deviation is about sqrt(p (1 - p) / 128) / (1 - C) for a share p, 0.044 at most.
+deviation is about sqrt(p (1 - p) / 256) / (1 - C) for a share p, 0.031 at most.
 
 Everything is DataFrame operations on one row: no shuffle, no Python worker. `edited_pairs` compares documents with the next ones: only
-ids, lengths and fingerprints are ranked; texts move once by their key, and of each text the beginning that the document before needs.
+ids and lengths are ranked; texts move once by their key, and of each text the beginning that the document before needs.
 
 Cases: words are what stands between spaces (U+0020, U+0009 to U+000D), in lower case; with fewer than five words all of them are the one
 shingle. Null counts as empty. Without words the fingerprint is empty: likeness 1 to another such, else 0. Equal texts have equal
@@ -27,25 +27,24 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from callgrain.llm.ranks import global_rank
-from callgrain.sources.sinks import stage
 
 SHINGLE = 5
-BINS = 128
+BINS = 256
 BITS = 8
 #: Shingle hashes are below this prime; the checksum of a word counts times the factor of its place.
 PRIME = (1 << 31) - 1
 FACTORS = (60493, 1540483, 29837033, 82451107, 101513701)
 #: A doubled hash shifted by this many bits is its bin.
-_BIN_SHIFT = 25
+_BIN_SHIFT = 24
 #: Least prime above BINS.
-_TURN = 131
+_TURN = 257
 #: Attempts that are looked up one by one; the rest is one minimum over the bins that are not empty.
 _ATTEMPTS = 6
 _CHANCE = 1 / (1 << BITS)
 
 
 def order_of(i: int) -> tuple[int, int]:
-    """(p, q): bin b comes at place (p * b + q) mod 131 in the order of bin i."""
+    """(p, q): bin b comes at place (p * b + q) mod 257 in the order of bin i."""
     p, q = (int(hashlib.md5(f"{i}:{x}".encode()).hexdigest()[:7], 16) for x in "pq")
     return 1 + p % (_TURN - 1), q % _TURN
 
@@ -102,7 +101,7 @@ def _densified(firsts: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """16 integers that hold eight bits of each of 128 bins; none for a text without words."""
+    """32 integers that hold eight bits of each of 256 bins; none for a text without words."""
     def pack(digits: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(BINS * BITS // 64 - 1)), lambda k: F.conv(
             F.substring(digits, k * 16 + 1, F.lit(16)), 16, -10).cast("long"))
@@ -150,21 +149,20 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     One row per document: id, n_chars, edited (text), fingerprint, edited_fingerprint, next_fingerprint.
     """
-    known = stage(fingerprints(docs, id_col, text_col).withColumnRenamed(id_col, "id"), "fingerprints")
-    ranked = global_rank(
-        known.dropDuplicates(["id", "text_hash"]), [F.col("id").desc_nulls_last(), F.col("text_hash")], "rank")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(
+        F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"), fingerprint(text).alias("fingerprint"))
+    known = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.length(text).cast("long").alias("n_chars"))
+    ranked = global_rank(known.distinct(), [F.col("id").desc_nulls_last(), F.col("text_hash")], "rank")
     n = ranked.count()
     after = ranked.select(
-        ((F.col("rank") + (n - 1)) % max(n, 1)).alias("rank"), F.col("id").alias("next_id"),
-        F.col("text_hash").alias("next_hash"), F.col("fingerprint").alias("next_fingerprint"))
+        ((F.col("rank") + (n - 1)) % max(n, 1)).alias("rank"), F.col("id").alias("next_id"), F.col("text_hash").alias("next_hash"))
     pairs = ranked.join(after, "rank").drop("rank").withColumnRenamed("id", "own_id").withColumnRenamed("text_hash", "own_hash")
-
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     half = F.expr("cast(n_chars div 2 as int)")
     begun = pairs.join(
         texts, F.col("next_id").eqNullSafe(F.col("id")) & (F.col("next_hash") == F.col("text_hash"))).select(
-        "own_id", "own_hash", "n_chars", "fingerprint", "next_fingerprint", F.expr("substring(text, 1, cast(n_chars div 2 as int))").alias("tail"))
+        "own_id", "own_hash", "n_chars", F.substring("text", F.lit(1), half).alias("tail"),
+        F.col("fingerprint").alias("next_fingerprint"))
     # Rows that repeat wholly give the same beginning several times.
     begun = begun.dropDuplicates(["own_id", "own_hash"])
     joined = texts.join(begun, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))

@@ -296,18 +296,18 @@ runs AS (
     + coalesce(lead(code, 4) OVER w, 0) * 101513701 AS h
   FROM places JOIN codes USING (word) WINDOW w AS (PARTITION BY doc_id, kind ORDER BY pos)),
 bins AS (
-  SELECT doc_id, kind, (h % 2147483647) >> 24 AS bin, min(h % 2147483647) & 255 AS v
+  SELECT doc_id, kind, (h % 2147483647) >> 23 AS bin, min(h % 2147483647) & 255 AS v
   FROM runs WHERE pos <= n - 4 OR pos = 1 GROUP BY ALL),
 orders AS (
-  SELECT i, 1 + CAST('0x' || substring(md5(i || ':p'), 1, 7) AS BIGINT) % 130 AS p,
-    CAST('0x' || substring(md5(i || ':q'), 1, 7) AS BIGINT) % 131 AS q
-  FROM range(128) r(i)),
+  SELECT i, 1 + CAST('0x' || substring(md5(i || ':p'), 1, 7) AS BIGINT) % 256 AS p,
+    CAST('0x' || substring(md5(i || ':q'), 1, 7) AS BIGINT) % 257 AS q
+  FROM range(256) r(i)),
 empties AS (
   SELECT k.doc_id, k.kind, i, p, q FROM (SELECT DISTINCT doc_id, kind FROM bins) k CROSS JOIN orders
   ANTI JOIN bins ON bins.doc_id = k.doc_id AND bins.kind = k.kind AND bins.bin = i),
 filled AS (
   SELECT doc_id, kind, bin, v FROM bins
-  UNION ALL SELECT e.doc_id, e.kind, i, min_by(v, (p * bin + q) % 131) FROM empties e
+  UNION ALL SELECT e.doc_id, e.kind, i, min_by(v, (p * bin + q) % 257) FROM empties e
   JOIN bins ON bins.doc_id = e.doc_id AND bins.kind = e.kind GROUP BY ALL),
 prints AS (
   SELECT doc_id, max(f) FILTER (kind = 0) AS own, max(f) FILTER (kind = 1) AS edited, max(f) FILTER (kind = 2) AS following

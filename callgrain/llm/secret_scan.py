@@ -13,8 +13,8 @@ fitted trees become nested CASE expressions, so a scan is one pass without a joi
 most `max_rows` labelled findings (a sample by hash) and uses Spark's RandomForestClassifier.
 
 Cases: null and empty texts have no findings. Without labelled findings of both kinds the forest is a constant: 1 where only
-true ones, 0 where only false ones or none were given. Repeated rows are scanned each. Texts are scanned whole. Extra columns
-stay as they are; the added column must not exist yet.
+true ones, 0 where only false ones or none were given. Repeated rows are scanned each, and of equal findings in one text each is one. Candidates do not overlap:
+the first form that fits at a place takes it. Texts are scanned whole. Extra columns stay as they are.
 """
 
 from __future__ import annotations
@@ -53,7 +53,10 @@ ASSIGNED = (
     rf"""(?<={CREDENTIAL_WORDS.replace('(?i)(', '(?i:')}[\w.\-]{{0,24}}["'`\]]{{0,2}}[ \t]{{0,8}}[:=]>?[ \t]{{0,8}}["'`]?)"""
     r"""(?!-----BEGIN )(?:(?<=["'`])[^\s"'`]{6,}|[^\s"'`]{5,}[^\s"'`,;.)\]}])"""
 )
-IN_ADDRESS = r"(?<=:)(?<=[A-Za-z0-9+.\-]{1,16}://[^\s/:@]{0,64}:)(?![0-9]{1,5}[/?#])[^\s/@][^\s@]*(?=@)"
+#: Of a limited length and without a further `://`, so that the search from each colon ends soon; what follows is looked at first.
+_PASSWORD = r"[^\s/@](?:(?!://)[^\s@]){0,255}+"
+IN_ADDRESS = (
+    rf"(?<=:)(?={_PASSWORD}@)(?<=[A-Za-z0-9+.\-]{{1,16}}://[^\s/:@]{{0,64}}:)(?![0-9]{{1,5}}[/?#]){_PASSWORD}(?=@)")
 SCANNED = f"{ASSIGNED}|{IN_ADDRESS}|{CANDIDATE}"
 IDENTIFIER_WORDS = (
     r"(?i)(sha-?[0-9]|md5|hash|checksum|digest|commit|revision|uuid|guid|etag|isbn|phone|card|iban|order|invoice|example|sample)")
@@ -224,11 +227,23 @@ def scan(
     return docs.select(F.col(id_col), F.inline(secrets(F.col(text_col).cast("string"), probability, least)))
 
 
+def redacted_text(text: Column, probability, mark: str = "[SECRET]", least: float = 0.5) -> Column:
+    """The text with the mark in the place of each finding; what stands elsewhere stays, also if it reads like a finding."""
+    def put_together(found: Column) -> Column:
+        values, between, sure = found["values"], found["between"], found["sure"]
+        shown = F.transform(F.arrays_zip(values.alias("v"), sure.alias("s")), lambda z: F.when(
+            F.coalesce(z["s"], F.lit(False)), F.lit(mark)).otherwise(z["v"]))
+        return F.array_join(F.flatten(F.zip_with(
+            between, shown, lambda b, v: F.array(b, F.coalesce(v, F.lit(""))))), "")
+
+    sure = F.transform(candidates(text), lambda c: probability(c, c["context"]) >= least)
+    found = F.struct(
+        F.regexp_extract_all(text, F.lit(SCANNED), F.lit(0)).alias("values"), F.split(text, SCANNED, -1).alias("between"),
+        sure.alias("sure"))
+    whole = F.element_at(F.transform(F.array(found), put_together), 1)
+    return F.when(F.exists(sure, lambda x: x), whole).otherwise(text)
+
+
 def redacted(docs: DataFrame, probability, text_col: str = "text", mark: str = "[SECRET]", least: float = 0.5) -> DataFrame:
-    """The documents with each finding replaced by the mark; texts without findings are untouched."""
-    text = F.col(text_col)
-    found = F.array_sort(
-        F.array_distinct(F.transform(secrets(text, probability, least), lambda s: s["value"])),
-        lambda a, b: F.length(b) - F.length(a))  # a finding that holds another goes first
-    return docs.withColumn(text_col, F.when(F.size(found) > 0, F.aggregate(
-        found, text, lambda t, value: F.replace(t, value, F.lit(mark)))).otherwise(text))
+    """The documents with each finding replaced by the mark, in its place; texts without findings are untouched."""
+    return docs.withColumn(text_col, redacted_text(F.col(text_col), probability, mark, least))

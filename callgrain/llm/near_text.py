@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from callgrain.llm.groups import components
 from callgrain.llm.words import grams, lists, mix, runs, words
@@ -96,8 +96,12 @@ def _nodes(found: np.ndarray, count: np.ndarray) -> list[bytes]:
     return [raw[k:k + 16] for k in range(0, len(raw), 16)]
 
 
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, n, node, bands, sketch) of each document; bands and sketch are null for empty sets."""
+    """(id, text_hash, n, node, bands, sketch) of each document; bands and sketch are null for empty sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in runs(batch.column(1)):
@@ -110,14 +114,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
                 sketch = mix(sign).astype(np.uint8)
                 has = count > 0
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(count, pa.int64()), pa.array(_nodes(found, count), pa.binary()),
+                    part.column(0), part.column(2), pa.array(count, pa.int64()), pa.array(_nodes(found, count), pa.binary()),
                     lists(band[has].view(np.int64).ravel(), np.where(has, BANDS, 0), pa.int64()),
                     pa.array([s.tobytes() if h else None for s, h in zip(sketch, has)], pa.binary()),
-                ], names=["id", "n", "node", "bands", "sketch"])
+                ], names=["id", "text_hash", "n", "node", "bands", "sketch"])
 
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    chosen = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), _text_hash(text_col).alias("text_hash"))
     kind = chosen.schema["id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"id {kind}, n long, node binary, bands array<long>, sketch binary")
+    return chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, node binary, bands array<long>, sketch binary")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -220,10 +225,8 @@ def _cross_links(apart: DataFrame, nodes: DataFrame, sets: DataFrame, percent: i
     return some.join(sets, "node").groupBy("key", "i", "j").applyInPandas(_joined(percent), "a binary, b binary")
 
 
-def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75,
-) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id of its group), kept (id is the component's)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """(id, text_hash, n, node, label, component_id) of each document; the last three are null without shingles or id."""
     made = stage(sketches(docs, id_col, text_col, size), "sketches")
     named = made.where("n > 0 and id is not null")
     nodes = stage(named.groupBy("node").agg(
@@ -264,16 +267,32 @@ def near_groups(
     if not joined.isEmpty():
         placed = _labelled(placed, components(joined), "label", "top").select("node", "id", F.col("top").alias("label"))
     least = placed.groupBy("label").agg(F.min("id").alias("component_id"))
-    by_node = placed.join(least, "label").select("node", "component_id")
-    full = made.select("id", "n", F.when(F.expr("n > 0 and id is not null"), F.col("node")).alias("node"))
-    return full.join(by_node, "node", "left").select(
+    by_node = placed.join(least, "label").select("node", "label", "component_id")
+    full = made.select("id", "text_hash", "n", F.when(F.expr("n > 0 and id is not null"), F.col("node")).alias("node"))
+    return full.join(by_node, "node", "left")
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75,
+) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (smallest id of its group), kept (id is the component's)."""
+    return _grouped(docs, id_col, text_col, size, percent).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(True)).alias("kept"))
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, all columns as they are; of rows with one id, one stays. Rows without id stay."""
-    kept = near_groups(docs, id_col, text_col).where("kept").select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    named = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    """One document of each group, all columns as they are: that of the smallest id, then of a hash of its text.
+
+    Groups are of texts, so two different texts of one id both stay unless they are alike. Of rows with one id and one text one
+    stays. Rows without id stay.
+    """
+    rows = _grouped(docs, id_col, text_col, 5, 75).where("id is not null")
+    first = rows.where("label is not null").groupBy("label").agg(
+        F.min(F.struct("id", "node", "text_hash")).alias("first")).select("first.id", "first.text_hash")
+    kept = first.unionByName(rows.where("label is null").select("id", "text_hash").distinct())
+    whole = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"))
+    named = whole.join(kept, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
+    return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))

@@ -78,7 +78,17 @@ def test_strange_rows(strange):
     assert all(by[k].component_id == k and by[k].kept for k in (1, 2, 3, 4, 6, 7, 8))
     kept = n.first_of_groups(strange)
     assert kept.columns == strange.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 5, 6, 7, 8]
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(documents):
+    words = [f"w{k}" for k in range(60)]
+    near = [*words[:59], "other"]
+    rows = [(3, " ".join(words)), (5, " ".join(near)), (5, "a clean text of its own with some words"), (5, "another clean text that stands alone"),
+            (5, "another clean text that stands alone"), (8, " ".join(near)), (9, "x y z"), (9, "X  y z")]
+    for order in (rows, rows[::-1]):
+        kept = sorted((r.doc_id, r.text) for r in n.first_of_groups(documents(order, clash=True).repartition(4)).collect())
+        assert [k for k in kept if k[0] != 9] == sorted({rows[0], rows[2], rows[3]}) and sum(k[0] == 9 for k in kept) == 1
 
 
 def test_empty_table(documents):

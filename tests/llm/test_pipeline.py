@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -91,7 +92,18 @@ def test_stages_take_strange_rows_and_empty_tables(spark, strange, documents):
             assert out.count() <= docs.count()
 
 
+def test_redaction_keeps_a_users_columns(spark, documents):
+    secret = "0123456789abcdef0123456789abcdef01234567"
+    made = documents([(k, f'{w} token = "{secret[k % 7:] + secret[:k % 7]}" and') for k, w in enumerate(["a", "b"] * 20)]
+                     + [(k + 50, f"commit {secret[k % 9:] + secret[:k % 9]} by them") for k in range(40)])
+    docs = made.withColumns({"_before": F.lit("mine"), "doc": F.lit("too"), "clean": F.lit("as well")})
+    out = {r.doc_id: r for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()}
+    assert all((r["_before"], r["doc"], r["clean"]) == ("mine", "too", "as well") for r in out.values())
+    assert out[0].text == 'a token = "[SECRET]" and' and out[0].n_chars == len(out[0].text)
+    assert out[50].text == f"commit {secret} by them"
+
+
 def test_registered(spark):
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {re.match(r"op\d+", k)[0] for k in names if re.match(r"op\d+_", k)}
+    assert {f"op{n}" for n in range(1, 14)} == {re.match(r"op\d+", k)[0] for k in names if re.match(r"op\d+_", k)}
     assert names["pipeline"] is corpus_pipeline.run and set(__spark_entry__.oracle_sql()) <= set(names)

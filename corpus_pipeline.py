@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns documents; `run` writes the result of each as Parquet in the shared
 folder and reads it again, so a lost executor costs one stage at most.
+
+Cases, for all stages: null and empty texts are clean, stay, and have no tokens; so do rows without id. Rows of one id are judged each by
+its own text; of rows with one id and one text, near-dedup leaves one. Of texts that are equally good, that of the smallest id
+stays, then the smaller hash. Texts of any length are worked on whole. An empty table stays empty. Further columns pass
+through, whatever their names, but for `token_ids` and `decoded`, which the last stage adds.
 """
 
 from __future__ import annotations
@@ -32,10 +37,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets that the forest keeps are replaced in the texts; n_chars of the changed texts follows."""
-    clean = secret_scan.redacted(docs.withColumn("_before", F.col("text")), q.fitted_forest(docs))
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    size = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return clean.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars"))).select(docs.columns)
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), secret_scan.redacted_text(F.col("text"), q.fitted_forest(docs)).alias("clean"))
+    size = F.when(F.col("clean").eqNullSafe(F.col("doc.text")), F.col("doc.n_chars")).otherwise(
+        F.length("clean").cast(docs.schema["n_chars"].dataType))
+    changed = {"text": F.col("clean"), "n_chars": size}
+    return rows.select(*[changed.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

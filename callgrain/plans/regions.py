@@ -131,30 +131,65 @@ def visitors_per_region_per_week(presence: DataFrame, homes: DataFrame | None =
     return _visitors(marked, [*keys, "region"], privacy, privacy if threshold_inputs else None)
 
 
-def _pairs(presence: DataFrame, condition: str) -> DataFrame:
-    """Region pairs `a`, `b` of each subscriber-day. A subscriber-day has one row per region, so what is
-    gathered and paired are regions, of which there are few, never single visits."""
+#: Regions of a subscriber-day that are paired in one row.
+BLOCK = 256
+
+
+def region_sets(presence: DataFrame) -> DataFrame:
+    """Per date: each set of two and more regions (`seen`, sorted) and how many subscribers were seen in just these."""
     days = presence.where("region IS NOT NULL").groupBy("msisdn", "call_date").agg(
-        F.collect_list(F.struct("region", "earliest", "latest")).alias("seen")
-    )
-    first = days.where(F.size("seen") > 1).select("msisdn", "call_date", "seen", F.explode("seen").alias("a"))
-    return first.select("msisdn", "call_date", "a", F.explode("seen").alias("b")).where(condition)
+        F.sort_array(F.collect_set("region")).alias("seen"))
+    return days.where(F.size("seen") > 1).groupBy("call_date", "seen").agg(F.count(F.lit(1)).alias("subscribers"))
 
 
 def region_pairs_per_day(presence: DataFrame, period: Period | None = None,
                          privacy: Privacy | None = AT_LEAST_15) -> DataFrame:
-    """Subscribers seen in both regions of an unordered pair on a day."""
-    pairs = _pairs(_in(presence, period), "a.region < b.region")
-    counts = pairs.groupBy(
-        F.col("call_date").alias("connection_date"), F.col("a.region").alias("region1"), F.col("b.region").alias("region2")
-    ).agg(F.count(F.lit(1)).alias("subscriber_count"))
+    """Subscribers seen in both regions of an unordered pair on a day.
+
+    Many subscribers share a set of regions; each set of a day is taken apart once, and its pairs count for all of them.
+    """
+    sets = region_sets(_in(presence, period))
+    first = sets.select("call_date", "subscribers", "seen", F.posexplode("seen").alias("place", "region1"))
+    pairs = first.select(
+        F.col("call_date").alias("connection_date"), "region1", "subscribers",
+        F.explode(F.expr("slice(seen, place + 2, size(seen))")).alias("region2"))
+    counts = pairs.groupBy("connection_date", "region1", "region2").agg(F.sum("subscribers").alias("subscriber_count"))
     return _published(counts, "subscriber_count", privacy)
 
 
+def _directed(presence: DataFrame, block: int) -> DataFrame:
+    """Regions `a`, `b` of a subscriber-day with the first visit to `a` before the last one to `b`.
+
+    The regions of a subscriber-day are ordered by their first visit and cut into blocks; each pair of blocks is put together in a
+    row of its own, so no row holds more than two blocks, however many regions there are. Nearly all have one block. Pairs
+    of blocks in which every last visit comes too early are left out.
+    """
+    day = Window.partitionBy("msisdn", "call_date")
+    ordered = day.orderBy("earliest", "region")
+    placed = presence.where("region IS NOT NULL").withColumns({
+        "_place": F.row_number().over(ordered) - 1, "_of": F.count(F.lit(1)).over(day)}).where("_of > 1")
+    own, blocks = F.floor(F.col("_place") / block), F.ceil(F.col("_of") / block)
+    others = F.sequence(F.lit(0).cast("bigint"), blocks - 1)
+    here = F.struct("region", "earliest", "latest")
+    nowhere = F.lit(None).cast("struct<region:string,earliest:timestamp,latest:timestamp>")
+    from_here = F.transform(others, lambda j: F.struct(own.alias("i"), j.alias("j"), here.alias("a"), nowhere.alias("b")))
+    to_here = F.transform(others, lambda i: F.struct(i.alias("i"), own.alias("j"), nowhere.alias("a"), here.alias("b")))
+    alone = F.array(F.struct(own.alias("i"), own.alias("j"), here.alias("a"), here.alias("b")))
+    units = placed.select(
+        "msisdn", "call_date", F.inline(F.when(blocks == 1, alone).otherwise(F.concat(from_here, to_here))))
+    rows = units.groupBy("msisdn", "call_date", "i", "j").agg(
+        F.collect_list("a").alias("froms"), F.collect_list("b").alias("tos"),
+        F.min(F.col("a")["earliest"]).alias("first"), F.max(F.col("b")["latest"]).alias("last")).where("first < last")
+    starts = rows.select("msisdn", "call_date", "tos", F.explode("froms").alias("a"))
+    return starts.select("msisdn", "call_date", "a", F.explode("tos").alias("b")).where(
+        "a.region <> b.region AND a.earliest < b.latest")
+
+
 def directed_region_pairs_per_day(presence: DataFrame, period: Period | None = None,
-                                  privacy: Privacy | None = AT_LEAST_15, by_subscriber: bool = False) -> DataFrame:
+                                  privacy: Privacy | None = AT_LEAST_15, by_subscriber: bool = False,
+                                  block: int = BLOCK) -> DataFrame:
     """Subscribers first seen in one region before they were last seen in the other, on a day."""
-    pairs = _pairs(_in(presence, period), "a.region <> b.region AND a.earliest < b.latest")
+    pairs = _directed(_in(presence, period), block)
     counts = pairs.groupBy(
         F.col("call_date").alias("connection_date"), *(["msisdn"] if by_subscriber else []),
         F.col("a.region").alias("region_from"), F.col("b.region").alias("region_to"),

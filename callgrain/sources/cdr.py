@@ -60,23 +60,38 @@ def _parsed(raw: DataFrame) -> tuple[Column, Column]:
     return timestamp, duration
 
 
+def _typed(raw: DataFrame) -> DataFrame:
+    timestamp, duration = _parsed(raw)
+    event_id = F.col("event_id") if "event_id" in raw.columns else F.monotonically_increasing_id()
+    return raw.select(
+        event_id.cast("bigint").alias("event_id"), "caller_id", "recipient_id",
+        timestamp.alias("timestamp"), "txn_type", duration.alias("duration"),
+        "caller_antenna", "recipient_antenna", F.struct(*[F.col(c).cast("string").alias(c) for c in CDR_COLUMNS]).alias("raw"),
+    )
+
+
 def clean_cdr(raw: DataFrame) -> DataFrame:
-    """Typed records. Rows without a readable timestamp are left out; see `rejects`.
+    """Typed records. Rows without a readable timestamp are left out; see `rejects` and `sinks.land_with_quarantine`.
 
     `event_id` orders records of the same second. Where the source has none, each row gets a
     number that follows its place in the files; land the result (`sinks.land_cdr`) to keep it.
     """
-    timestamp, duration = _parsed(raw)
-    event_id = F.col("event_id") if "event_id" in raw.columns else F.monotonically_increasing_id()
-    return (
-        raw.select(
-            event_id.cast("bigint").alias("event_id"), "caller_id", "recipient_id",
-            timestamp.alias("timestamp"), "txn_type", duration.alias("duration"),
-            "caller_antenna", "recipient_antenna",
-        )
-        .dropna(subset=["timestamp"])
-        .withColumn("day", F.date_trunc("day", "timestamp"))
-    )
+    return _typed(raw).drop("raw").dropna(subset=["timestamp"]).withColumn("day", F.date_trunc("day", "timestamp"))
+
+
+def with_reasons(raw: DataFrame) -> DataFrame:
+    """Typed records, all of them, with `day`, the fields as they were (`raw`) and `reasons`, why a record cannot be landed.
+
+    Reasons are `timestamp` (unreadable or missing) and `duration` (given, but no number or too large). A missing id is none: such
+    records are visits of the other party.
+    """
+    text = F.col("raw")["duration"]
+    bad = {
+        "timestamp": F.col("timestamp").isNull(),
+        "duration": text.isNotNull() & F.col("duration").try_cast(EXACT).isNull(),
+    }
+    reasons = F.filter(F.array(*[F.when(when, F.lit(name)) for name, when in bad.items()]), lambda r: r.isNotNull())
+    return _typed(raw).withColumns({"day": F.date_trunc("day", "timestamp"), "reasons": reasons})
 
 
 def rejects(raw: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from callgrain.sources.cdr import with_reasons
 
 
 def save(df: DataFrame, path: str) -> None:
@@ -30,6 +32,23 @@ def land_cdr(cdr: DataFrame, path: str) -> None:
     cdr.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
 
 
+def land_with_quarantine(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Land raw records and keep apart those that cannot be used, in one pass: returns the landed records and the others.
+
+    Landed records lie by day, as `land_cdr` puts them. The others are in `path`/status=rejected with their fields as they were and the
+    reasons, so that they can be mended and landed later. Every row is in one of the two.
+    """
+    status = F.when(F.size("reasons") > 0, "rejected").otherwise("landed")
+    judged = with_reasons(raw).withColumn("status", status)
+    rejected = F.col("status") == "rejected"
+    # Fields as they were only where they are needed, so that landed records do not hold everything twice.
+    rows = judged.withColumns({"raw": F.when(rejected, F.col("raw")), "reasons": F.when(rejected, F.col("reasons"))})
+    rows.hint("rebalance", "status", "day").write.mode("overwrite").partitionBy("status", "day").parquet(path)
+    everything = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    landed = everything.where("status = 'landed'").drop("status", "raw", "reasons")
+    return landed, everything.where("status = 'rejected'").select("event_id", "raw.*", "reasons")
+
+
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder the session names in `spark.checkpoint.dir`.
 

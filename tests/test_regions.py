@@ -1,11 +1,14 @@
+import random
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from callgrain.operators.visits import mapped_visits, presence, visits
 from callgrain.params import Period, Privacy
 from callgrain.plans import regions
-from conftest import as_set
+from conftest import START, as_set
 
 DAY = date(2024, 1, 1)
 
@@ -146,3 +149,44 @@ def test_residents_read_the_records_once(spark):
                  "visitors_per_region_per_week"):
         plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Relation [event_id") == 1, plan
+
+
+def test_equal_region_sets_are_paired_once(spark):
+    """Before pairs are made there is one row for each set of regions of a day."""
+    rows = [(f"s{k}", date(2024, 1, 1 + k % 2), region, 1, START, START) for k in range(60)
+            for region in (("A", "B", "C") if k % 3 else ("B", "D"))]
+    rows += [("alone", date(2024, 1, 1), "A", 1, START, START), ("none", date(2024, 1, 1), None, 1, START, START)]
+    seen = spark.createDataFrame(rows, "msisdn string, call_date date, region string, visits long, earliest timestamp, latest timestamp")
+    sets = regions.region_sets(seen).collect()
+    assert sorted((r.call_date.day, tuple(r.seen), r.subscribers) for r in sets) == [
+        (d, s, n) for d in (1, 2) for s, n in ((("A", "B", "C"), 20), (("B", "D"), 10))]
+    pairs = {(r.connection_date.day, r.region1, r.region2): r.subscriber_count for r in regions.region_pairs_per_day(seen, privacy=None).collect()}
+    assert pairs == {(d, a, b): n for d in (1, 2) for a, b, n in (("A", "B", 20), ("A", "C", 20), ("B", "C", 20), ("B", "D", 10))}
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 256])
+def test_blocks_do_not_change_directed_pairs(spark, block):
+    rng = random.Random(8)
+    rows = []
+    for k in range(12):
+        for region in range(rng.randrange(1, 15)):
+            first = rng.randrange(1000)
+            rows.append((f"s{k}", date(2024, 1, 1 + k % 2), f"r{region}", 1, START + timedelta(seconds=first),
+                         START + timedelta(seconds=first + rng.choice([0, 5, 300]))))
+    seen = spark.createDataFrame(rows, "msisdn string, call_date date, region string, visits long, earliest timestamp, latest timestamp")
+    expected = Counter((a[1], a[2], b[2]) for a in rows for b in rows
+                       if a[:2] == b[:2] and a[2] != b[2] and a[4] < b[5])
+    found = regions.directed_region_pairs_per_day(seen, privacy=None, block=block).collect()
+    assert {(r.connection_date, r.region_from, r.region_to): r.subscriber_count for r in found} == expected
+
+
+def test_a_day_in_5000_regions(spark):
+    """Every region is seen for one second, one after the other: a pair for each two of them, and no row with all of them."""
+    n = 5000
+    seen = spark.range(n).select(
+        F.lit("s").alias("msisdn"), F.lit(date(2024, 1, 1)).alias("call_date"), F.format_string("r%05d", "id").alias("region"),
+        F.lit(1).alias("visits"), F.timestamp_seconds(F.col("id") + 1_704_067_200).alias("earliest"),
+        F.timestamp_seconds(F.col("id") + 1_704_067_200).alias("latest"))
+    pairs = regions.directed_region_pairs_per_day(seen, privacy=None)
+    row = pairs.agg(F.count("*"), F.count_if(F.expr("region_from < region_to")), F.max("subscriber_count")).first()
+    assert tuple(row) == (n * (n - 1) // 2, n * (n - 1) // 2, 1)

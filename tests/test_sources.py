@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callgrain.sources import cdr as source
-from callgrain.sources.sinks import land_cdr, save_all, stage
+from callgrain.sources.sinks import land_cdr, land_with_quarantine, save_all, stage
 
 HEADER = "caller_id,recipient_id,timestamp,txn_type,duration,caller_antenna,recipient_antenna\n"
 
@@ -26,7 +26,7 @@ def csv(tmp_path):
 def test_read_and_clean(spark, csv):
     raw = source.read_cdr(spark, f"{csv}/*.csv")
     assert {f.dataType.simpleString() for f in raw.schema} == {"string"}
-    clean = source.clean_cdr(raw)
+    clean = source.source.clean_cdr(raw)
     rows = clean.orderBy("caller_id").collect()
     assert [(r.caller_id, r.recipient_id, r.duration, r.recipient_antenna) for r in rows] == [
         ("A", "B", 12.5, None), ("B", None, None, "1"),
@@ -100,3 +100,21 @@ def test_join_on(spark):
     rows = {tuple(r) for r in source.join_on([a, b, c], "caller_id", "full").collect()}
     assert rows == {("A", 1, None, 3), ("B", None, 2, None)}
     assert source.join_on([a, b], "caller_id", "inner").count() == 0
+
+
+def test_quarantine_keeps_every_row(spark, tmp_path):
+    raw = spark.createDataFrame([
+        ("a", "b", "2024-01-01 10:00:00", "call", "5", "1", None), ("a", "b", "bad", "call", "7.5", None, None),
+        ("a", None, "2024-01-02 10:00:00", "call", "x", "1", "2"), (None, "b", None, "text", "1e15", "1", "2"),
+        (None, "b", "2024-01-02 11:00:00", "text", None, "1", "2"), ("a", "b", "2024-01-01 10:00:00", "call", "5", "1", None),
+    ], "caller_id string, recipient_id string, timestamp string, txn_type string, duration string, caller_antenna string, recipient_antenna string")
+    landed, rejected = land_with_quarantine(raw, str(tmp_path / "landed"))
+    assert landed.count() + rejected.count() == raw.count() and landed.columns == source.clean_cdr(raw).columns
+    assert sorted((r.timestamp, r.duration, tuple(r.reasons)) for r in rejected.select(
+        F.coalesce("timestamp", F.lit("")).alias("timestamp"), "duration", "reasons").collect()) == [
+        ("", "1e15", ("timestamp", "duration")), ("2024-01-02 10:00:00", "x", ("duration",)), ("bad", "7.5", ("timestamp",))]
+    good = source.clean_cdr(raw).where("duration is not null OR txn_type = 'text'").drop("event_id")
+    assert sorted(map(str, landed.drop("event_id").collect())) == sorted(map(str, good.collect()))
+    plan = landed.where("day = timestamp'2024-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "status" in plan.split("PartitionFilters: [")[1].split("]")[0] and "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert land_with_quarantine(raw.where("false"), str(tmp_path / "none"))[1].count() == 0

@@ -17,7 +17,7 @@ from callgrain.params import FREQUENCIES, MORE_THAN_15, Calendar, FeatureParams,
 from callgrain.plans import indicators, jobs, regions
 from callgrain.plans.features import FEATURES
 from callgrain.sources import cdr as source
-from callgrain.sources.sinks import land_cdr, save, staging_folder
+from callgrain.sources.sinks import land_cdr, land_with_quarantine, save, staging_folder
 from verification import feature_sql, mobility_sql as m
 from verification.tables import (
     ANTENNAS_SQL, AS_OF, BURSTS_SQL, CDR_SQL, CELLS_SQL, PERIOD, antennas, bursts, cdr, cells, feature_inputs,
@@ -220,14 +220,30 @@ def _saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 11th record gets an unreadable time, every 13th duration is no number or too large, every 17th id is missing."""
-    raw = cdr(spark, sf_dir).withColumns({
+    return cdr(spark, sf_dir).withColumns({
         "timestamp": F.expr(f"if(event_id % 11 = 0, 'bad', date_format(timestamp, '{source.TIMESTAMP_FORMAT}'))"),
         "duration": F.expr("CASE event_id % 26 WHEN 0 THEN 'x' WHEN 13 THEN '1e15' ELSE CAST(duration AS string) END"),
         "caller_id": F.expr("if(event_id % 17 = 0, NULL, caller_id)"),
     })
-    return source.rejects(raw)
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source.rejects(_spoilt(spark, sf_dir))
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that cannot be landed, with the reasons."""
+    rejected = land_with_quarantine(_spoilt(spark, sf_dir), _fresh_folder(spark, "landed"))[1]
+    return rejected.select(
+        "event_id", "caller_id", "timestamp", "duration", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _landed_beside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records landed in the same pass as the others are kept apart."""
+    landed = land_with_quarantine(_spoilt(spark, sf_dir), _fresh_folder(spark, "landed"))[0]
+    return portable(landed.select(*cdr(spark, sf_dir).columns))
 
 
 RECORD = """event_id, caller_id, recipient_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, txn_type,
@@ -253,6 +269,8 @@ def queries() -> dict[str, Query]:
         "antennas_from_csv": _antennas_through_csv,
         "cells_from_csv": _cells_through_csv,
         "rejected_records": _rejects,
+        "quarantined_records": _quarantined,
+        "landed_beside_quarantine": _landed_beside,
         "filter_dates": _some_dates,
         "landed_cdr": _landed,
         "saved_home_locations": _saved,
@@ -341,6 +359,15 @@ FROM tagged"""
         "rejected_records": with_cdr + """
 SELECT count(*) AS records, count(*) FILTER (event_id % 17 = 0) AS without_ids,
   count(*) FILTER (event_id % 11 = 0) AS bad_timestamp, count(*) FILTER (event_id % 13 = 0) AS bad_duration FROM cdr""",
+        "quarantined_records": with_cdr + """
+SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN caller_id END AS caller_id,
+  CASE WHEN event_id % 11 = 0 THEN 'bad' ELSE strftime(timestamp, '%Y-%m-%d %H:%M:%S') END AS timestamp,
+  CASE event_id % 26 WHEN 0 THEN 'x' WHEN 13 THEN '1e15' ELSE CAST(duration AS VARCHAR) END AS duration,
+  concat_ws(',', CASE WHEN event_id % 11 = 0 THEN 'timestamp' END, CASE WHEN event_id % 13 = 0 THEN 'duration' END) AS reasons
+FROM cdr WHERE event_id % 11 = 0 OR event_id % 13 = 0""",
+        "landed_beside_quarantine": with_cdr + f"""
+SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN caller_id END AS caller_id, {RECORD.removeprefix('event_id, caller_id, ')}, {DAY}
+FROM cdr WHERE event_id % 11 <> 0 AND event_id % 13 <> 0""",
         "filter_dates": with_cdr + f"""
 SELECT {RECORD}, {DAY} FROM cdr WHERE timestamp >= DATE '2024-01-08' AND timestamp < DATE '2024-01-15'""",
         "landed_cdr": with_cdr + f"SELECT {RECORD}, {DAY} FROM cdr",

@@ -6,29 +6,13 @@ from pyspark.sql import Column, functions as F
 
 # Wide enough for any duration in seconds, with microseconds.
 EXACT = "decimal(20,6)"
+# Twelve places for sums of doubles below a million million.
+FIXED = "decimal(26,12)"
 
 
-def exact_mean(value: Column | str) -> Column:
-    """Mean from a decimal sum, so that it does not depend on the order in which doubles are added.
-
-    A value too large for the decimal counts as missing here; `sources.cdr.rejects` counts such durations.
-    """
-    value = F.col(value) if isinstance(value, str) else value
-    exact = value.try_cast(EXACT)
-    return F.sum(exact).cast("double") / F.count(exact)
-
-
-def summary_stats(value: Column | str, median_accuracy: int = 10_000, mean: Column | None = None) -> list[Column]:
-    """Mean, spread, median, shape and range; the median is a value that occurs."""
-    return [
-        (F.mean(value) if mean is None else mean).alias("mean"),
-        F.stddev_pop(value).alias("std"),
-        F.percentile_approx(value, 0.5, median_accuracy).alias("median"),
-        F.skewness(value).alias("skewness"),
-        F.kurtosis(value).alias("kurtosis"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    ]
+def steady_sum(value: Column) -> Column:
+    """Sum of doubles of ordinary size in fixed point, which does not depend on the order of rows."""
+    return F.sum(value.cast(FIXED)).cast("double")
 
 
 def shannon_entropy(n: Column | str, times: Column | str | None = None) -> Column:
@@ -39,7 +23,7 @@ def shannon_entropy(n: Column | str, times: Column | str | None = None) -> Colum
     n = F.col(n) if isinstance(n, str) else n
     times = F.lit(1) if times is None else F.col(times) if isinstance(times, str) else times
     total = F.sum(n * times)
-    return F.greatest(F.ln(total) - F.sum(n * times * F.ln(n)) / total, F.lit(0.0))
+    return F.greatest(F.ln(total) - steady_sum(n * times * F.ln(n)) / total, F.lit(0.0))
 
 
 def share(condition: Column) -> Column:

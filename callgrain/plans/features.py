@@ -10,10 +10,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callgrain.functions.geo import great_circle_km
-from callgrain.functions.stats import shannon_entropy
+from callgrain.functions.stats import FIXED, shannon_entropy, steady_sum
 from callgrain.operators.categories import FINE_CELLS, explode_cells, widen
 from callgrain.operators.conversations import conversation_openings, tag_pairs
 from callgrain.operators.gaps import gaps_between_interactions
@@ -182,14 +182,20 @@ def entropy_of_contacts(inputs: FeatureInputs) -> DataFrame:
     return inputs.weighted_contacts.groupBy(*TYPED_CELL).agg(entropy.alias("value"))
 
 
+def _contacts_with(inputs: FeatureInputs, value: Column, name: str) -> DataFrame:
+    """Per caller, type, cell and value: the number of `contacts` that have it."""
+    return inputs.by_caller(inputs.contact_counts).groupBy(*TYPED_CELL, value.alias(name)).agg(
+        F.sum("contacts").alias("contacts"))
+
+
 def balance_of_contacts(inputs: FeatureInputs) -> DataFrame:
     share = F.col("n_out") / (F.col("n_out") + F.col("n_in"))
-    counted = inputs.by_caller(inputs.contact_counts).withColumn("balance", share)
+    counted = _contacts_with(inputs, share, "balance")
     return counted_stats(counted, TYPED_CELL, "balance", "contacts", exact=False)
 
 
 def interactions_per_contact(inputs: FeatureInputs) -> DataFrame:
-    counted = inputs.by_caller(inputs.contact_counts).withColumn("n", F.col("n_out") + F.col("n_in"))
+    counted = _contacts_with(inputs, F.col("n_out") + F.col("n_in"), "n")
     return counted_stats(counted, TYPED_CELL, "n", "contacts")
 
 
@@ -254,13 +260,13 @@ def radius_of_gyration(inputs: FeatureInputs) -> DataFrame:
     n = F.col("n")
     total = F.sum(n).over(cell)
     centred = cells.withColumns({
-        "bar_lat": F.sum(F.col("latitude") * n).over(cell) / total,
-        "bar_lon": F.sum(F.col("longitude") * n).over(cell) / total,
+        "bar_lat": F.sum((F.col("latitude") * n).cast(FIXED)).over(cell).cast("double") / total,
+        "bar_lon": F.sum((F.col("longitude") * n).cast(FIXED)).over(cell).cast("double") / total,
     })
     km = great_circle_km(F.col("latitude"), F.col("longitude"), F.col("bar_lat"), F.col("bar_lon"))
     return (
         centred.withColumn("square", km * km).groupBy(*CALLER_CELL)
-        .agg(F.sqrt(F.sum(F.col("square") * n) / F.sum(n)).alias("value"))
+        .agg(F.sqrt(steady_sum(F.col("square") * n) / F.sum(n)).alias("value"))
     )
 
 

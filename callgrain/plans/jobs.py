@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame
 
@@ -74,23 +74,23 @@ def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period
         subscriber_homes_per)) as run:
         records = period.union(as_of).prune(cdr)
         located = regional_visits(visits(records, min_id_length), cells)
-        hours = run.shared("presence_per_hour", lambda: presence_per_hour(located))
-        days = run.shared("presence", lambda: presence_of_hours(hours))
+        hours = cache(lambda: run.shared("presence_per_hour", lambda: presence_per_hour(located)))
+        days = cache(lambda: run.shared("presence", lambda: presence_of_hours(hours())))
         homes_publish = publish
         if by_subscriber:
             publish, within = None, None
         tables = {
-            f"transactions_per_{visits_per}": lambda: transactions(hours, period, visits_per, publish, by_subscriber),
+            f"transactions_per_{visits_per}": lambda: transactions(hours(), period, visits_per, publish, by_subscriber),
             f"unique_subscribers_country_per_{country_per}":
-                lambda: unique_subscribers_country(hours, period, country_per, publish),
+                lambda: unique_subscribers_country(hours(), period, country_per, publish),
             "origin_destination_per_day": lambda: origin_destination(
-                days, period, "day", as_of, within, publish, cutoff_days, by_subscriber
+                days(), period, "day", as_of, within, publish, cutoff_days, by_subscriber
             ),
-            f"home_regions_per_{homes_per}": lambda: home_region_counts(hours, period, homes_per, homes_publish),
-            f"unique_subscribers_per_{visits_per}": lambda: unique_subscribers(hours, period, visits_per, publish),
+            f"home_regions_per_{homes_per}": lambda: home_region_counts(hours(), period, homes_per, homes_publish),
+            f"unique_subscribers_per_{visits_per}": lambda: unique_subscribers(hours(), period, visits_per, publish),
         }
         if by_subscriber:
-            tables[f"subscriber_home_regions_per_{subscriber_homes_per}"] = lambda: home_regions(hours, period, subscriber_homes_per)
+            tables[f"subscriber_home_regions_per_{subscriber_homes_per}"] = lambda: home_regions(hours(), period, subscriber_homes_per)
         return run.publish_all(tables)
 
 
@@ -102,21 +102,20 @@ def write_regions(cdr: DataFrame, cells: DataFrame, folder: str, period: Period,
     as_of, weeks = as_of or period, period.full_weeks()
     records = period.union(as_of).prune(cdr)
     with Run(folder, [cdr, cells], (period, as_of, min_id_length, privacy, threshold_inputs, iso_year)) as run:
-        seen = run.shared("presence", lambda: regions.with_homes(
-            presence(mapped_visits(visits(records, min_id_length), cells)), period))
-        homes = regions.homes_of(seen)
+        seen = cache(lambda: run.shared("presence", lambda: regions.with_homes(
+            presence(mapped_visits(visits(records, min_id_length), cells)), period)))
         tables = {
-            "subscribers_per_region_per_day": lambda: regions.subscribers_per_region_per_day(seen, as_of, privacy),
-            "subscribers_per_region_per_week": lambda: regions.subscribers_per_region_per_week(seen, weeks, privacy, iso_year),
-            "home_locations": lambda: homes,
-            "residents_per_region": lambda: regions.residents_per_region(homes, privacy),
-            "residents_per_region_per_day": lambda: regions.residents_per_region_per_day(seen, None, as_of, privacy),
-            "residents_per_region_per_week": lambda: regions.residents_per_region_per_week(seen, None, weeks, privacy, iso_year),
-            "visitors_per_region_per_day": lambda: regions.visitors_per_region_per_day(seen, None, as_of, privacy, threshold_inputs),
+            "subscribers_per_region_per_day": lambda: regions.subscribers_per_region_per_day(seen(), as_of, privacy),
+            "subscribers_per_region_per_week": lambda: regions.subscribers_per_region_per_week(seen(), weeks, privacy, iso_year),
+            "home_locations": lambda: regions.homes_of(seen()),
+            "residents_per_region": lambda: regions.residents_per_region(regions.homes_of(seen()), privacy),
+            "residents_per_region_per_day": lambda: regions.residents_per_region_per_day(seen(), None, as_of, privacy),
+            "residents_per_region_per_week": lambda: regions.residents_per_region_per_week(seen(), None, weeks, privacy, iso_year),
+            "visitors_per_region_per_day": lambda: regions.visitors_per_region_per_day(seen(), None, as_of, privacy, threshold_inputs),
             "visitors_per_region_per_week": lambda: regions.visitors_per_region_per_week(
-                seen, None, weeks, privacy, threshold_inputs, iso_year),
-            "region_pairs_per_day": lambda: regions.region_pairs_per_day(seen, as_of, privacy),
-            "directed_region_pairs_per_day": lambda: regions.directed_region_pairs_per_day(seen, as_of, privacy),
-            "calls_per_region_per_day": lambda: regions.calls_per_region_per_day(seen, as_of, privacy),
+                seen(), None, weeks, privacy, threshold_inputs, iso_year),
+            "region_pairs_per_day": lambda: regions.region_pairs_per_day(seen(), as_of, privacy),
+            "directed_region_pairs_per_day": lambda: regions.directed_region_pairs_per_day(seen(), as_of, privacy),
+            "calls_per_region_per_day": lambda: regions.calls_per_region_per_day(seen(), as_of, privacy),
         }
         return run.publish_all(tables)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -70,30 +71,28 @@ def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(table, tuple(c for c in table.columns if c != "caller_id"))
 
 
-_written: dict[tuple, dict[str, str]] = {}
+def _job_folder(spark: SparkSession, *arguments: object) -> str:
+    """One folder for all tables of a job in a session: called again, the job finds them there, unless its inputs have changed."""
+    name = hashlib.sha256(repr((spark.sparkContext.applicationId, *arguments)).encode()).hexdigest()[:16]
+    return f"{staging_folder(spark).rstrip('/')}/job-{name}"
 
 
 def _mobility_job(name: str, by_subscriber: bool, publish: Privacy = MORE_THAN_15) -> Query:
     """A table of the job, which runs once in a session for all its tables."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, "mobility", sf_dir, by_subscriber, publish)
-        if key not in _written:
-            _written[key] = jobs.write_mobility(
-                cdr(spark, sf_dir), cells(spark, sf_dir), _fresh_folder(spark, "mobility"), PERIOD, AS_OF, by_subscriber,
-                publish=publish,
-            )
-        return portable(spark.read.parquet(_written[key][name]))
+        folder = _job_folder(spark, "mobility", sf_dir, by_subscriber, publish)
+        paths = jobs.write_mobility(
+            cdr(spark, sf_dir), cells(spark, sf_dir), folder, PERIOD, AS_OF, by_subscriber, publish=publish)
+        return portable(spark.read.parquet(paths[name]))
 
     return query
 
 
 def _region_job(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, "regions", sf_dir)
-        if key not in _written:
-            _written[key] = jobs.write_regions(
-                cdr(spark, sf_dir), cells(spark, sf_dir), _fresh_folder(spark, "regions"), PERIOD, AS_OF)
-        return portable(spark.read.parquet(_written[key][name]))
+        paths = jobs.write_regions(
+            cdr(spark, sf_dir), cells(spark, sf_dir), _job_folder(spark, "regions", sf_dir), PERIOD, AS_OF)
+        return portable(spark.read.parquet(paths[name]))
 
     return query
 

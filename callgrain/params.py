@@ -90,6 +90,5 @@ class FeatureParams:
     calendar: Calendar = field(default_factory=Calendar)
     max_wait: int = 3600
     pareto_share: float = 0.8
-    median_accuracy: int = 10_000
     txn_types: tuple[str, ...] = TXN_TYPES
     split: GroupSplit = field(default_factory=GroupSplit)

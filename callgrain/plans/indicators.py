@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.functions.calendar import bucket
+from callgrain.operators.numbering import numbered
 from callgrain.operators.visits import presence_per_hour, with_buckets, with_neighbours
 from callgrain.params import AT_LEAST_15, MORE_THAN_15, UNMAPPED_REGION, GroupSplit, Period, Privacy
 from callgrain.plans.regions import _published
@@ -40,6 +41,28 @@ def unique_subscribers_country(visits: DataFrame, period: Period, frequency: str
     return _published(grouped.agg(F.countDistinct("msisdn").alias("count")), "count", privacy)
 
 
+def subscriber_bitmaps(hours: DataFrame) -> DataFrame:
+    """Who was where in each hour, as bitmaps: `hour`, `region`, `part`, `seen`, from `presence_per_hour`.
+
+    Subscribers get dense numbers, from 1 here; a bitmap holds 32,768 of them. Bitmaps of hours merge to those of any longer time and of
+    all regions, so distinct subscribers of all frequencies come from this table, in which no subscriber occurs any more.
+    """
+    numbers = numbered(hours, "msisdn")
+    # Presence has a subscriber once per hour and region; the tasks merge their bits before anything is exchanged.
+    placed = hours.select("msisdn", "hour", "region").join(numbers, "msisdn")
+    return placed.groupBy("hour", "region", F.expr("bitmap_bucket_number(number + 1)").alias("part")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(number + 1))").alias("seen"))
+
+
+def unique_from_bitmaps(bitmaps: DataFrame, period: Period, frequency: str, privacy: Privacy | None = MORE_THAN_15,
+                        by_region: bool = True) -> DataFrame:
+    """`unique_subscribers`, or `unique_subscribers_country` without `by_region`, from `subscriber_bitmaps`."""
+    keys = [frequency, *(["region"] if by_region else [])]
+    merged = _bucketed(bitmaps, period, frequency).groupBy(*keys, "part").agg(F.expr("bitmap_or_agg(seen)").alias("seen"))
+    counts = merged.groupBy(*keys).agg(F.sum(F.expr("bitmap_count(seen)")).alias("count"))
+    return _published(counts, "count", privacy)
+
+
 def moves_between_days(presence: DataFrame, period: Period, cutoff_days: int = 7) -> DataFrame:
     """Changes of region from one active day of a subscriber to the next, at most `cutoff_days` apart:
     `msisdn`, `connection_date` (of arrival), `region_from`, `region_to`.

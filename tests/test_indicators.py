@@ -1,10 +1,15 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from callgrain.operators.visits import presence, regional_visits, visits
+from callgrain.operators.numbering import numbered
+from callgrain.operators.visits import presence, presence_per_hour, regional_visits, visits
 from callgrain.params import FREQUENCIES, GroupSplit, Period, Privacy
 from callgrain.plans import indicators
+from callgrain.plans.indicators import (
+    subscriber_bitmaps, unique_from_bitmaps, unique_subscribers, unique_subscribers_country,
+)
 from conftest import as_set
 
 PERIOD = Period(date(2024, 1, 1), date(2024, 1, 30))
@@ -105,3 +110,25 @@ def test_enriched_visits(spark, located):
     assert (rows["A", "South"].hour_of_day, rows["A", "South"].constant) == (10, 1)
     assert dict(table.dtypes)["hour_of_day"] == "tinyint"
     assert set(FREQUENCIES) <= set(table.columns)
+
+
+def test_distinct_subscribers_from_bitmaps(spark, records):
+    """All frequencies from one table of bitmaps, also over more than one bitmap's worth of subscribers."""
+    cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
+    rows = [{"a": f"a{n % 37}", "b": f"b{n % 11}", "from": "123"[n % 3], "to": "2" if n % 5 else None, "at": 7000 * n} for n in range(300)]
+    located = regional_visits(visits(records(*rows), 1), cells)
+    period = Period(date(2024, 1, 2), date(2024, 1, 20))
+    maps = subscriber_bitmaps(presence_per_hour(located))
+    for frequency in ("hour", "day", "week", "month"):
+        for by_region, direct in ((True, unique_subscribers), (False, unique_subscribers_country)):
+            found = unique_from_bitmaps(maps, period, frequency, None, by_region)
+            assert as_set(found) == as_set(direct(located, period, frequency, None)), (frequency, by_region)
+    many = spark.range(100_000).select(
+        F.concat(F.lit("s"), "id").alias("msisdn"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 2 * 3600).alias("hour"),
+        F.when(F.col("id") % 3 == 0, "N").otherwise("S").alias("region"))
+    maps = subscriber_bitmaps(many)
+    assert maps.agg(F.countDistinct("part")).first()[0] == 4
+    assert {r["count"] for r in unique_from_bitmaps(maps, Period(date(2024, 1, 1), date(2024, 1, 1)), "day", None, False).collect()} == {100_000}
+    numbers = numbered(many, "msisdn").agg(F.min("number"), F.max("number"), F.countDistinct("number")).first()
+    assert tuple(numbers) == (0, 99_999, 100_000)
+    assert unique_from_bitmaps(subscriber_bitmaps(many.where("false")), period, "day", None).count() == 0

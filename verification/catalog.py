@@ -18,7 +18,7 @@ from callgrain.params import FREQUENCIES, MORE_THAN_15, Calendar, FeatureParams,
 from callgrain.plans import indicators, jobs, regions
 from callgrain.plans.features import FEATURES
 from callgrain.sources import cdr as source
-from callgrain.sources.sinks import land_cdr, land_with_quarantine, save, staging_folder
+from callgrain.sources.sinks import land_cdr, land_with_quarantine, save, stage, staging_folder
 from verification import feature_sql, mobility_sql as m
 from verification.tables import (
     ANTENNAS_SQL, AS_OF, BURSTS_SQL, CDR_SQL, CELLS_SQL, PERIOD, antennas, bursts, cdr, cells, feature_inputs,
@@ -117,6 +117,11 @@ def _regional_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.presence(_regional(spark, sf_dir))
 
 
+def _bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table that distinct subscribers of all frequencies come from."""
+    return stage(indicators.subscriber_bitmaps(v.presence_per_hour(_regional(spark, sf_dir))), "bitmaps")
+
+
 def _homes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.home_locations(_presence(spark, sf_dir), PERIOD)
 
@@ -314,6 +319,10 @@ def queries() -> dict[str, Query]:
             _regional, indicators.unique_subscribers_country, PERIOD, frequency
         )
         found[f"home_regions_per_{frequency}"] = _on(_regional, indicators.home_regions, PERIOD, frequency)
+        found[f"unique_subscribers_per_{frequency}_from_bitmaps"] = _on(
+            _bitmaps, indicators.unique_from_bitmaps, PERIOD, frequency, Privacy(5, strict=True) if frequency == "hour" else MORE_THAN_15)
+        found[f"unique_subscribers_country_per_{frequency}_from_bitmaps"] = _on(
+            _bitmaps, indicators.unique_from_bitmaps, PERIOD, frequency, by_region=False)
     for frequency in ("day", "week", "month"):
         found[f"home_region_counts_per_{frequency}"] = _on(_regional, indicators.home_region_counts, PERIOD, frequency)
     found.update({
@@ -394,6 +403,8 @@ SELECT {m.VISIT_COLUMNS} FROM (SELECT recipient_id AS msisdn, timestamp AS call_
         "all_features_wide": feature_sql.all_wide(list(FEATURES)),
         **m.REGIONS,
         **m.INDICATORS,
+        **{f"{name}_from_bitmaps": m.INDICATORS[f"{name}_more_than_5" if name == "unique_subscribers_per_hour" else name]
+           for f in FREQUENCIES for name in (f"unique_subscribers_per_{f}", f"unique_subscribers_country_per_{f}")},
         "enriched_visits_cut": m.ENRICHED,
         "enriched_visits_open_ends": m.ENRICHED_OPEN_ENDS,
         "enriched_visits_cut_sampled": m.ENRICHED.replace(CDR_SQL, BURSTS_SQL),

@@ -10,10 +10,12 @@
    local score over twice the item's words. From 0.5 on the document counts as contaminated; two random texts of the same
    language stay below 0.3. Pairs where the passage has too few of the item's words to reach the least score are not aligned.
 
-A run of F distinct passages and G items gives F x G pairs, so phrases that many items share cost most.
+A run of F distinct passages and G items gives F x G pairs, so phrases that many items share cost most. An edited copy without
+four unedited words on end, such as one with every fourth word changed, is not found.
 
 The hashes of the items' runs go to the tasks in slices of at most SLICE, one pass over the texts for each slice (a slice holds
-some 100,000 items); so nothing that is broadcast grows without bound.
+some 100,000 items). A slice is of limited size, but all are broadcast in one job, so their sum grows with the benchmark. The surroundings
+of all passages reach as far as the longest item.
 
 Words are lower-cased, split at ASCII bytes that are neither letters nor digits. Items of fewer than four words
 are one run. Cases: null and empty texts and items match nothing; rows without id are not reported; an id or item given more

@@ -46,7 +46,7 @@ def write_laid_out(df: DataFrame, path: str, column: str, buckets: int, is_place
 
 def register_laid_out(spark: SparkSession, path: str, column: str, buckets: int, ddl: str) -> str:
     """The same for a table that an earlier session has written with `write_laid_out`."""
-    name = f"laid_out_{uuid.uuid4().hex}"
+    name, path = f"laid_out_{uuid.uuid4().hex}", path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet CLUSTERED BY ({column}) SORTED BY ({column}) "
               f"INTO {buckets} BUCKETS LOCATION '{path}'")
     return name

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import cache, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from callgrain.operators.visits import (
     mapped_visits, presence, presence_of_hours, presence_per_hour, regional_visits, visits,
@@ -55,7 +55,9 @@ def feature_table(features: list[DataFrame]) -> DataFrame:
     All callers come first, and tables are joined to them from the left: that keeps the layout by caller, so each table
     is shuffled once, and not at all if it is laid out (then only the callers' ids are), and the growing row never is.
     """
-    callers = reduce(DataFrame.union, [df.select("caller_id") for df in features]).distinct()
+    # As new values: a union of laid-out tables counts as laid out itself, and would then keep an id once for each table.
+    ids = [df.select(F.concat("caller_id", F.lit("")).alias("caller_id")) for df in features]
+    callers = reduce(DataFrame.union, ids).distinct()
     return join_on([callers, *features], "caller_id", "left")
 
 

@@ -182,7 +182,9 @@ def test_stopped_job_goes_on_where_it_was(spark, records, antennas, rows, tmp_pa
     assert not made, "the shared tables were there"
     assert all(f.stat().st_mtime_ns == t for f, t in kept.items() if f.exists()) and (out / "active_days").exists()
     for name in paths:
-        assert as_set(spark.read.parquet(paths[name])) == as_set(spark.read.parquet(whole[name])), name
+        found = spark.read.parquet(paths[name])
+        assert as_set(found) == as_set(spark.read.parquet(whole[name])), name
+        assert found.count() == found.select("caller_id").distinct().count(), name
     assert not (out / "_shared").exists() and not (out / "_building").exists()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("laid_out")]
     again = {f: f.stat().st_mtime_ns for f in out.rglob("*.parquet")}

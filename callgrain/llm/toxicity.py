@@ -2,11 +2,14 @@
 
 score = sigmoid(w0 + sum of w_i + sum over pairs <v_i, v_j>), over the terms that a text has. The pair part gives weight to
 combinations, such as an insult with a group mention, that a sum of single weights cannot. Terms are words and word
-beginnings, hashed into 2**20 places; the places that tell labelled classes apart best take part.
+beginnings, hashed into 2**20 places. Places take part by evidence, not up to a number: first all whose presence tells the
+classes apart by `least_gain` (log-likelihood ratio in nats), then, after a first fit, all others whose pairs with the
+places of that fit would tell more by as much (a term that means something only beside others has no gain alone).
 
-Fitting is bounded: at most `max_rows` labelled texts (those of smallest hashed id), at most `terms` places, so the matrix
-that the machine is fitted to has max_rows x terms cells. The places are counted in Spark over the whole texts of that sample.
-Scoring reads every whole text once, without a shuffle; only the fitted arrays, of fixed size, go to the tasks.
+Fitting is bounded: labelled texts in the order of their hashed ids, at most `max_rows` ids and `max_terms` terms of texts in
+all (an id that would exceed the sum ends the sample). The driver holds this sample as two lists of places, and works on BLOCK
+of their entries at a time. Terms come from whole texts. Scoring reads every whole text once, without a shuffle; only the
+fitted arrays, of at most 2**20 places, go to the tasks.
 
 Cases: null and empty texts have no terms and get the score of the intercept. Rows with a null label or an id that no
 document has do not take part in fitting. Without labels of both classes all scores are equal: 0.75 if there is only label 1,
@@ -28,6 +31,8 @@ from callgrain.sources.sinks import stage
 PLACES = 1 << 20
 #: Bytes of word beginnings that are terms beside the words.
 BEGINNINGS = (4, 6)
+#: Entries of the sample that are worked on at a time.
+BLOCK = 1 << 17
 
 
 @dataclass
@@ -43,7 +48,7 @@ class Machine:
 def constant(positive: int, negative: int) -> Machine:
     """A machine without terms, for examples of one class or none."""
     bias = np.log(3.0) if positive and not negative else -np.log(3.0)
-    return Machine(np.full(PLACES, -1, np.int16), float(bias), np.zeros(0, np.float32), np.zeros((0, 1), np.float32))
+    return Machine(np.full(PLACES, -1, np.int32), float(bias), np.zeros(0, np.float32), np.zeros((0, 1), np.float32))
 
 
 def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,83 +70,142 @@ def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs = np.unique(text * PLACES + term)
             counts = np.bincount(pairs // PLACES, minlength=hi - lo)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), lists(pairs % PLACES, counts, pa.int32())], names=["label", "terms"])
+                [part.column(0), part.column(2), lists(pairs % PLACES, counts, pa.int32())], names=["label", "rank", "terms"])
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_rows: int = 20_000, terms: int = 512, least_texts: int = 5, factors: int = 8, rounds: int = 300,
+    max_rows: int = 20_000, max_terms: int = 1 << 22, least_gain: float = 5.0, factors: int = 8, rounds: int = 300,
 ) -> Machine:
     """Fit on documents whose labels are 0 or 1. An id with several labels counts as 1 if any of them is."""
     chosen = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-        .orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
+        .withColumn("rank", F.xxhash64("_id")).orderBy("rank", "_id").limit(max_rows)
     )
-    # At most max_rows rows of two numbers: broadcast, so that no text is shuffled.
+    # At most max_rows rows of three numbers: broadcast, so that no text is shuffled.
     texts = (
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(chosen), "_id").select("label", "text")
+        .join(F.broadcast(chosen), "_id").select("label", "text", "rank")
     )
-    sets = stage(texts.mapInArrow(_term_sets, "label int, terms array<int>"), "terms")
-    size = {row.label: row.n for row in sets.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(size) < 2:
-        return constant(size.get(1, 0), size.get(0, 0))
-    counts = sets.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("label").alias("ones"), F.count("*").alias("n")).where(F.col("n") >= least_texts)
-    best = sorted(
-        row.term for row in counts.withColumn("gain", _gain(size[1], size[0]))
-        .orderBy(F.desc("gain"), "term").limit(terms).collect()
-    )
-    if not best:
-        return constant(size[1], size[0])
-    place = np.full(PLACES, -1, np.int16)
-    place[best] = np.arange(len(best))
-    known = F.array(*[F.lit(t) for t in best])
-    rows = sets.select("label", F.array_intersect("terms", known).alias("terms")).groupBy("label", "terms").agg(
-        F.count("*").alias("n")).toArrow()
+    sets = stage(texts.mapInArrow(_term_sets, "label int, rank long, terms array<int>"), "terms")
+    sizes = sets.groupBy("rank").agg(F.sum(F.size("terms")).alias("n")).orderBy("rank").toArrow()
+    if not len(sizes):
+        return constant(0, 0)
+    within = np.flatnonzero(np.cumsum(sizes.column("n").to_numpy()) <= max_terms)
+    last = sizes.column("rank")[int(within[-1])].as_py() if len(within) else None
+    rows = sets.where(F.col("rank") <= F.lit(last)).orderBy(F.xxhash64("terms"), "label").select("label", "terms").toArrow()
     label = rows.column("label").to_numpy().astype(np.float32)
-    often = rows.column("n").to_numpy().astype(np.float32)
+    positive = int(label.sum())
+    if positive in (0, len(label)):
+        return constant(positive, len(label) - positive)
     term = rows.column("terms").combine_chunks()
-    x = np.zeros((len(label), len(best)), np.float32)
-    x[np.repeat(np.arange(len(label)), np.diff(term.offsets.to_numpy())), place[term.flatten().to_numpy()]] = 1
-    order = np.lexsort((often, *x.T[::-1], label))  # the same machine whatever the order of rows
-    return _descend(x[order], label[order], often[order], place, factors, rounds)
-
-
-def _gain(ones: int, zeros: int):
-    """Log-likelihood ratio of a term's presence and the label."""
-    n, total = F.col("n").cast("double"), float(ones + zeros)
+    found = term.flatten().to_numpy()
+    text = np.repeat(np.arange(len(label), dtype=np.int32), term.value_lengths().to_numpy())
+    chosen = _gain(found, label[text], label) >= least_gain
+    if not chosen.any():
+        return constant(positive, len(label) - positive)
+    machine = _fitted(text, found, label, chosen, factors, rounds)
+    more = ~chosen & (_pair_gain(text, found, label, machine) >= least_gain)
+    return _fitted(text, found, label, chosen | more, factors, rounds) if more.any() else machine
+
+
+def _gain(found: np.ndarray, of: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each place's presence and the label, rounded, so that order of addition does not show."""
+    n = np.bincount(found, minlength=PLACES).astype(np.float64)
+    both = np.bincount(found, of, PLACES)
+    total, ones = float(len(label)), float(label.sum())
 
     def part(seen, row, column):
-        return F.when(seen > 0, seen * F.log(seen * total / (row * column))).otherwise(0.0)
-
-    k = F.col("ones").cast("double")
-    return F.round(
-        part(k, n, F.lit(float(ones))) + part(n - k, n, F.lit(float(zeros)))
-        + part(ones - k, total - n, F.lit(float(ones))) + part(zeros - n + k, total - n, F.lit(float(zeros))), 6)
-
-
-def _descend(x, label, often, place, factors: int, rounds: int, decay: float = 2e-3, rate: float = 0.05) -> Machine:
-    """Full-batch Adam on the weighted logistic loss with L2 decay."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(seen > 0, seen * np.log(seen * total / (row * column)), 0.0)
+
+    return np.round(
+        part(both, n, ones) + part(n - both, n, total - ones) + part(ones - both, total - n, ones)
+        + part(total - ones - n + both, total - n, total - ones), 6)
+
+
+def _pair_gain(text: np.ndarray, found: np.ndarray, label: np.ndarray, machine: Machine) -> np.ndarray:
+    """What a factor for each place would add, to second order, at the factor column where it adds most (in nats)."""
+    known = machine.place[found] >= 0
+    x = _Groups(text[known], machine.place[found[known]], len(label))
+    square = (machine.factors ** 2).sum(axis=1, keepdims=True)
+    sums = x.sums(np.concatenate([machine.weights[:, None], machine.factors, square], axis=1)).astype(np.float64)
+    inner = sums[:, 1:-1]
+    z = machine.bias + sums[:, 0] + 0.5 * ((inner ** 2).sum(axis=1) - sums[:, -1])
+    chance = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    best = np.zeros(PLACES)
+    for k in range(inner.shape[1]):
+        pull = np.bincount(found, ((label - chance) * inner[:, k])[text], PLACES)
+        spread = np.bincount(found, (chance * (1 - chance) * inner[:, k] ** 2)[text], PLACES)
+        best = np.maximum(best, pull ** 2 / (2 * (spread + 1.0)))
+    return np.round(best, 6)
+
+
+def _fitted(text, found, label, chosen: np.ndarray, factors: int, rounds: int) -> Machine:
+    place = np.where(chosen, np.cumsum(chosen) - 1, -1).astype(np.int32)
+    has = chosen[found]
+    return _descend(_Entries(text[has], place[found[has]], len(label), int(chosen.sum())), label, place, factors, rounds)
+
+
+class _Entries:
+    """Which text has which place, in the order of texts and in that of places."""
+
+    def __init__(self, text: np.ndarray, at: np.ndarray, texts: int, places: int):
+        turned = np.argsort(at, kind="stable")
+        self.by_text = _Groups(text, at, texts)
+        self.by_place = _Groups(at[turned], text[turned], places)
+
+
+class _Groups:
+    """Ascending group numbers with a member each; sums over the members of each group, some whole groups at a time."""
+
+    def __init__(self, group: np.ndarray, member: np.ndarray, groups: int):
+        self.member, self.count = member, groups
+        self.first = np.flatnonzero(np.diff(group, prepend=-1))
+        self.group = group[self.first]
+        ends = np.append(self.first[1:], len(group))
+        self.cuts = [0]
+        while self.cuts[-1] < len(ends):
+            lo = self.cuts[-1]
+            self.cuts.append(max(lo + 1, int(np.searchsorted(ends, self.first[lo] + BLOCK, side="right"))))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        total = np.zeros((self.count, values.shape[1]), np.float32)
+        for lo, hi in zip(self.cuts, self.cuts[1:]):
+            begin = self.first[lo]
+            end = self.first[hi] if hi < len(self.first) else len(self.member)
+            total[self.group[lo:hi]] = np.add.reduceat(values[self.member[begin:end]], self.first[lo:hi] - begin, axis=0)
+        return total
+
+
+def _descend(x: _Entries, label, place, factors: int, rounds: int, decay: float = 2e-3, rate: float = 0.05) -> Machine:
+    """Full-batch Adam on the logistic loss with L2 decay. Weights and factors are columns of one table, weights first."""
     random = np.random.default_rng(7)
-    share = float((label * often).sum() / often.sum())
-    state = [np.array([np.log(share / (1 - share))], np.float32), np.zeros(x.shape[1], np.float32),
-             random.normal(0, 0.05, (x.shape[1], factors)).astype(np.float32)]
+    share = float(label.mean())
+    bias = np.array([np.log(share / (1 - share))], np.float32)
+    table = np.concatenate([
+        np.zeros((x.by_place.count, 1)), random.normal(0, 0.05, (x.by_place.count, factors))], axis=1).astype(np.float32)
+    shrink = np.full(1 + factors, decay, np.float32)
+    shrink[0] = decay * 0.1
+    state = [bias, table]
     first, second = [np.zeros_like(s) for s in state], [np.zeros_like(s) for s in state]
-    weight = often / often.sum()
     for t in range(1, rounds + 1):
-        bias, w, v = state
-        inner = x @ v
-        z = bias + x @ w + 0.5 * ((inner ** 2) - x @ (v ** 2)).sum(1)
-        pull = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) * weight
-        slope = [np.array([pull.sum()], np.float32), x.T @ pull + decay * 0.1 * w,
-                 x.T @ (pull[:, None] * inner) - v * (x.T @ pull)[:, None] + decay * v]
-        for k, s in enumerate(slope):
-            first[k] = 0.9 * first[k] + 0.1 * s
-            second[k] = 0.999 * second[k] + 0.001 * s ** 2
-            state[k] = state[k] - rate * (first[k] / (1 - 0.9 ** t)) / (np.sqrt(second[k] / (1 - 0.999 ** t)) + 1e-8)
-    return Machine(place, float(state[0][0]), state[1].astype(np.float32), state[2].astype(np.float32))
+        bias, table = state
+        square = (table[:, 1:] ** 2).sum(axis=1, keepdims=True)
+        sums = x.by_text.sums(np.concatenate([table, square], axis=1))
+        inner = sums[:, 1:-1]
+        z = bias + sums[:, 0] + 0.5 * ((inner ** 2).sum(axis=1) - sums[:, -1])
+        pull = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / np.float32(len(label))
+        slope = x.by_place.sums(np.concatenate([pull[:, None], pull[:, None] * inner], axis=1).astype(np.float32))
+        slope[:, 1:] -= table[:, 1:] * slope[:, :1]
+        slope += shrink * table
+        for k, s in enumerate([np.array([pull.sum()], np.float32), slope]):
+            first[k] += np.float32(0.1) * (s - first[k])
+            second[k] += np.float32(0.001) * (s * s - second[k])
+            step = rate / (1 - 0.9 ** t)
+            state[k] = state[k] - np.float32(step) * first[k] / (np.sqrt(second[k] / np.float32(1 - 0.999 ** t)) + np.float32(1e-8))
+    return Machine(place, float(state[0][0]), state[1][:, 0].copy(), state[1][:, 1:].copy())
 
 
 def text_scores(column: pa.Array, machine: Machine) -> np.ndarray:
@@ -153,12 +217,15 @@ def text_scores(column: pa.Array, machine: Machine) -> np.ndarray:
             at = machine.place[term]
             has = at >= 0
             pairs = np.unique(text[has] * len(machine.weights) + at[has])
+            if not len(pairs):
+                continue
             text, at = np.divmod(pairs, len(machine.weights))
-            inner = np.zeros((hi - lo, machine.factors.shape[1]))
-            square = np.zeros_like(inner)
-            np.add.at(inner, text, machine.factors[at])
-            np.add.at(square, text, machine.factors[at] ** 2)
-            z[lo:hi] += np.bincount(text, machine.weights[at], hi - lo) + 0.5 * (inner ** 2 - square).sum(1)
+            first = np.flatnonzero(np.diff(text, prepend=-1))
+            factors = machine.factors[at].astype(np.float64)
+            inner = np.add.reduceat(factors, first, axis=0)
+            square = np.add.reduceat((factors ** 2).sum(axis=1), first)
+            single = np.add.reduceat(machine.weights[at].astype(np.float64), first)
+            z[lo + text[first]] += single + 0.5 * ((inner ** 2).sum(axis=1) - square)
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 

@@ -59,3 +59,77 @@ def test_without_both_classes(spark, documents):
         model = t.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
         assert [round(r.score, 6) for r in t.score(docs, model).collect()] == [score, score]
     assert t.score(docs.limit(0), model).count() == 0 and t.without_toxic(docs.limit(0), model).count() == 0
+
+
+def test_rare_words_that_count_in_pairs_only(spark, documents):
+    """250 insults and 250 groups: no word tells much alone, and nearly no pair comes twice."""
+    pick, rows, labels = random.Random(5), [], []
+    for k in range(10_000):
+        words = [f"f{pick.randrange(2000)}" for _ in range(30)]
+        insult, group = pick.random() < 0.5, pick.random() < 0.5
+        if insult:
+            words[3] = f"ins{pick.randrange(250)}x"
+        if group:
+            words[17] = f"grp{pick.randrange(250)}y"
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(insult and group)))
+    docs = documents(rows)
+    model = t.fit(docs, spark.createDataFrame(labels[:8000], "doc_id long, toxic int"))
+    held_out = dict(labels[8000:])
+    found = {r.doc_id: r.score >= 0.5 for r in t.score(docs, model).collect() if r.doc_id in held_out}
+    assert np.mean([found[k] for k, y in held_out.items() if y]) >= 0.95
+    assert np.mean([found[k] for k, y in held_out.items() if not y]) <= 0.02
+
+
+def test_scores_against_a_plain_machine():
+    random_ = np.random.default_rng(3)
+    chosen = np.zeros(t.PLACES, bool)
+    texts = ["the oafs and THE bakers", "", None, "under the stone, under the house; plumbers", "é " * 40]
+    for text in texts[::3]:
+        chosen[t.text_terms(pa.array([text], pa.string()))[0]] = True
+    place = np.where(chosen, np.cumsum(chosen) - 1, -1).astype(np.int32)
+    size = int(chosen.sum())
+    model = t.Machine(place, -0.3, random_.normal(0, 0.4, size).astype(np.float32), random_.normal(0, 0.4, (size, 3)).astype(np.float32))
+
+    def plain(text):
+        has = sorted({int(place[h]) for h in t.text_terms(pa.array([text], pa.string()))[0]} - {-1})
+        z = model.bias + sum(float(model.weights[i]) for i in has)
+        for n, i in enumerate(has):
+            for j in has[:n]:
+                z += float(np.dot(model.factors[i].astype(float), model.factors[j].astype(float)))
+        return 1 / (1 + np.exp(-z))
+
+    assert np.allclose(t.text_scores(pa.array(texts), model), [plain(x) for x in texts], atol=1e-9)
+
+
+def test_slope_against_differences():
+    """The descent starts along the slope of the plain loss."""
+    random_ = np.random.default_rng(4)
+    text = np.repeat(np.arange(40, dtype=np.int32), 5)
+    at = np.concatenate([random_.choice(12, 5, replace=False) for _ in range(40)]).astype(np.int32)
+    label = (random_.random(40) < 0.4).astype(np.float32)
+    place = np.arange(12, dtype=np.int32)
+    before = t._descend(t._Entries(text, at, 40, 12), label, place, 2, 0)
+    after = t._descend(t._Entries(text, at, 40, 12), label, place, 2, 1)
+
+    def loss(weights, factors):
+        x = np.zeros((40, 12))
+        x[text, at] = 1
+        z = before.bias + x @ weights + 0.5 * ((x @ factors) ** 2 - x @ factors ** 2).sum(1)
+        return np.mean(np.log1p(np.exp(z)) - label * z) + 1e-4 * (weights ** 2).sum() + 1e-3 * (factors ** 2).sum()
+
+    w, v = before.weights.astype(float), before.factors.astype(float)
+    for i in range(12):
+        for k in range(2):
+            step = np.zeros_like(v)
+            step[i, k] = 1e-5
+            slope = (loss(w, v + step) - loss(w, v - step)) / 2e-5
+            if abs(slope) > 1e-6:
+                assert np.sign(after.factors[i, k] - v[i, k]) == -np.sign(slope)
+
+
+def test_a_bounded_sample(spark, documents):
+    rows, labels = corpus(400)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    small = t.fit(documents(rows), known, max_terms=2000)
+    assert len(small.weights) and not len(t.fit(documents(rows), known, max_terms=3).weights)

@@ -7,9 +7,11 @@ single characters, with a weight that follows how often the context was seen. A
 judged by (log-likelihood as accepted - as rejected) / characters; a URL is allowed from the threshold on. The threshold is calibrated
 on a fifth of the examples (by checksum of the URL) that train no model: the one with the best mean of both classes' hit rates.
 
-Counts cover all examples. Contexts are hashed into CELLS counters for each order and class, so the model has a fixed size
-(arrays of 2 x (order + 1) x CELLS numbers, twice), whatever the number of URLs; each task adds up its own rows before Spark adds these
-sums. Only the arrays go to the driver and to the tasks. Scoring is one pass without a shuffle.
+The model is a table: one row for each context, and each context with the next character, that an example has (64-bit hashes of
+them), with its counts by class. It grows with what the examples hold; nothing of it is collected, and Spark broadcasts it only if it
+finds it small. To score, URLs are cut into blocks of at most BLOCK bytes (or one longer URL). A block asks for each key that it
+holds once, so a key that is in every URL comes once for each block; the counts found join their block's URLs again by block. Counting adds
+up within runs of rows first.
 
 Cases: a null URL or one without `://` has an empty host and path, fits no rule, and is scored as it stands (null: score 0).
 Without examples of both classes the score is 0 and the threshold 0, so such URLs are allowed. Ties and repeated rows are
@@ -23,13 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from callgrain.llm.words import mix, runs, text_bytes
+from callgrain.sources.sinks import stage
 
 ORDER = 4
-CELLS = 1 << 18
-_SHIFT = np.uint64(64 - 18)
+#: Bytes of URLs that are scored together.
+BLOCK = 1 << 18
 #: Share of a shorter context's distribution, in characters seen.
 PRIOR = 4.0
 _U = np.uint64
@@ -46,18 +50,35 @@ class Rule:
         return self.host + self.path
 
 
+@dataclass
+class Counts:
+    """Keys in order, and how often rejected and accepted examples have each."""
+
+    keys: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Counts:
+        keys = table.column("key").to_numpy().view(np.uint64)
+        n = np.stack([table.column(c).to_numpy() for c in ("rejected", "accepted")], axis=1)
+        keys, at = np.unique(keys, return_index=True)
+        return cls(keys, n[at].astype(np.float64))
+
+    def __getitem__(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros((len(wanted), 2))
+        place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where((self.keys[place] == wanted)[:, None], self.n[place], 0.0)
+
+
 @dataclass
 class Ratio:
-    """Counts by class, order and cell of contexts and of contexts with the next character."""
+    """`counts` has (key, rejected, accepted); `fitted` if both classes have examples."""
 
-    contexts: np.ndarray
-    nexts: np.ndarray
+    counts: DataFrame
+    fitted: bool
     threshold: float = 0.0
 
-    @property
-    def fitted(self) -> bool:
-        return bool((self.contexts[:, 0, :].sum(axis=1) > 0).all())
-
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     place = F.instr(url, "://")
@@ -77,8 +98,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return text, allow
 
 
-def _cells(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order: cells of contexts, cells of contexts with the next character, and the text of each.
+def _keys(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order: keys of contexts, keys of contexts with the next character, and the text of each.
 
     A text begins after `order` marks, so its first characters have contexts too.
     """
@@ -93,40 +114,32 @@ def _cells(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
             char = np.where(place >= order, raw[np.maximum(back, 0)].astype(np.uint64) + _U(2), _U(1))
             context = mix(context * _U(0x100000001B3) + char)
         salted = mix(context + _U(order + 1))
-        following = mix(salted + raw.astype(np.uint64) + _U(1))
-        yield (salted >> _SHIFT).astype(np.int64), (following >> _SHIFT).astype(np.int64), text
+        yield salted, mix(salted + raw.astype(np.uint64) + _U(1)), text
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (url, label): one row for each of the task's cells that is not 0."""
-    shape = (2, 2, ORDER + 1, CELLS)
-    total = np.zeros(shape, np.int64)
+    """Of rows (url, label): keys of a run of rows with their counts."""
     for batch in batches:
         for lo, hi in runs(batch.column(0)):
             label = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int64)
-            for order, (context, following, text) in enumerate(_cells(batch.column(0).slice(lo, hi - lo))):
-                for kind, cell in enumerate((context, following)):
-                    for value in (0, 1):
-                        total[kind, value, order] += np.bincount(cell[label[text] == value], minlength=CELLS)
-    at = np.flatnonzero(total)
-    for lo in range(0, len(at), 1 << 16):
-        some = at[lo:lo + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total.ravel()[some])], names=["cell", "n"])
+            for context, following, text in _keys(batch.column(0).slice(lo, hi - lo)):
+                for found in (context, following):
+                    keys, at = np.unique(found, return_inverse=True)
+                    accepted = np.bincount(at, label[text], len(keys)).astype(np.int64)
+                    rejected = np.bincount(at, minlength=len(keys)) - accepted
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys.view(np.int64)), pa.array(rejected), pa.array(accepted)],
+                        names=["key", "rejected", "accepted"])
 
 
-def text_scores(column: pa.Array, model: Ratio) -> np.ndarray:
+def text_scores(column: pa.Array, counts: Counts) -> np.ndarray:
     """Log-likelihood as accepted less that as rejected, by character; 0 for empty texts."""
     out = np.zeros(len(column))
-    if not model.fitted:
-        return out
     for lo, hi in runs(column):
-        chance, text = [1 / 256, 1 / 256], None
-        for order, (context, following, text) in enumerate(_cells(column.slice(lo, hi - lo))):
-            for value in (0, 1):
-                seen, both = model.contexts[value, order][context], model.nexts[value, order][following]
-                # Two contexts may share a cell, so a count of pairs may exceed that of its context.
-                chance[value] = (np.minimum(both, seen) + PRIOR * chance[value]) / (seen + PRIOR)
-        ratio = np.bincount(text, np.log(chance[1]) - np.log(chance[0]), hi - lo) if len(text) else np.zeros(hi - lo)
+        chance, text = np.full((1, 2), 1 / 256), None
+        for context, following, text in _keys(column.slice(lo, hi - lo)):
+            chance = (counts[following] + PRIOR * chance) / (counts[context] + PRIOR)
+        ratio = np.bincount(text, np.log(chance[:, 1]) - np.log(chance[:, 0]), hi - lo) if len(text) else np.zeros(hi - lo)
         out[lo:hi] = ratio / np.maximum(1, np.bincount(text, minlength=hi - lo))
     return out
 
@@ -136,11 +149,12 @@ def fit(examples: DataFrame, url_col: str = "url", label_col: str = "accepted")
     rows = examples.where(F.col(url_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(url_col).cast("string").alias("url"), F.col(label_col).cast("int").alias("label"))
     calibrates = F.crc32(F.col("url").cast("binary")) % 5 == 0
-    # At most 4 x (ORDER + 1) x CELLS rows.
-    cells = rows.where(~calibrates).mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros((2, 2, ORDER + 1, CELLS), np.float32)
-    total.ravel()[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    model = Ratio(total[0], total[1])
+    counts = stage(
+        rows.where(~calibrates).mapInArrow(_counted, "key long, rejected long, accepted long")
+        .groupBy("key").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")), "url_counts")
+    # Every character has a context of order 0.
+    sums = counts.agg(F.max("rejected"), F.max("accepted")).first()
+    model = Ratio(counts, bool(sums[0] and sums[1]))
     if not model.fitted:
         return model
     # A histogram of fixed bins of each class.
@@ -158,17 +172,46 @@ def fit(examples: DataFrame, url_col: str = "url", label_col: str = "accepted")
     return model
 
 
-def score(urls: DataFrame, model: Ratio, url_col: str, *more: str) -> DataFrame:
-    """(more..., url, score)."""
-    shared = urls.sparkSession.sparkContext.broadcast(model)
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their block; the URL is the last column."""
+    number = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        for lo, hi in runs(batch.column(batch.num_columns - 1), BLOCK):
+            some = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(hi - lo, number)), *some.columns], names=["_block", *some.schema.names])
+            number += 1
+
+
+def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct keys of each block."""
+    for batch in batches:
+        block = batch.column(0).to_numpy()
+        cuts = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
+        for lo, hi in zip(cuts, cuts[1:]):
+            column = batch.column(1).slice(lo, hi - lo)
+            keys = np.unique(np.concatenate([np.unique(k) for found in _keys(column) for k in found[:2]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), block[lo])), pa.array(keys.view(np.int64))], names=["_block", "key"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = text_scores(batch.column(batch.num_columns - 1), shared.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
+def _scored(rows: pa.Table, found: pa.Table) -> pa.Table:
+    rows = rows.drop_columns(["_block"]).combine_chunks()
+    urls = rows.column(rows.num_columns - 1)
+    urls = urls.combine_chunks() if urls.num_chunks != 1 else urls.chunk(0)
+    return rows.append_column("score", pa.array(text_scores(urls, Counts.of(found))))
+
+
+def score(urls: DataFrame, model: Ratio, url_col: str, *more: str) -> DataFrame:
+    """(more..., url, score). Without examples of both classes the score is 0."""
     chosen = urls.select(*more, F.col(url_col).cast("string").alias(url_col))
-    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())]))
+    if not model.fitted:
+        return chosen.withColumn("score", F.lit(0.0))
+    blocked = T.StructType([T.StructField("_block", T.LongType()), *chosen.schema.fields])
+    rows = stage(chosen.mapInArrow(_in_blocks, blocked), "url_blocks")
+    found = rows.select("_block", url_col).mapInArrow(_block_keys, "_block long, key long").join(model.counts, "key")
+    return rows.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(
+        _scored, T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def judged(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -1,21 +1,21 @@
 """Benchmark decontamination: n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
-1. One pass over the texts looks up every run of four words among the runs of the test items, and keeps, where any occurs, the
-   surrounding words (as hashes, as far as the longest item reaches on either side). Overlapping surroundings are one
-   passage. Nothing else of a text is kept or shuffled.
-2. Passages of equal words are one, however many documents hold them. Every passage is paired with every item it shares a run
-   with, however frequent that run is: a frequency counts the contaminated documents too, so it would switch off the runs of
+1. One pass over the texts looks up every run of four words, and of three, among those of the test items. It keeps, where a run of four
+   occurs, or FEW runs of three no further apart than the longest item, the surrounding words (as hashes, as far as the longest
+   item reaches on either side). Overlapping surroundings are one passage. Nothing else of a text is kept or shuffled.
+2. Passages of equal words are one, however many documents hold them. Every passage is paired with every item it shares a run of four
+   with, or FEW runs of three (items from LONG words on: copies of which every fourth word is changed have no run of four), however frequent that run is: a frequency counts the contaminated documents too, so it would switch off the runs of
    what was copied most.
 3. Pairs are aligned word by word: 2 for an equal word, -1 for a changed, added or left out one. The similarity is the best
    local score over twice the item's words. From 0.5 on the document counts as contaminated; two random texts of the same
    language stay below 0.3. Pairs where the passage has too few of the item's words to reach the least score are not aligned.
 
-A run of F distinct passages and G items gives F x G pairs, so phrases that many items share cost most. An edited copy without
-four unedited words on end, such as one with every fourth word changed, is not found.
+A run of F distinct passages and G items gives F x G pairs, so phrases that many items share cost most. An edited copy of a short item
+without four unedited words on end, or of a long one without these and with fewer than FEW runs of three, is not found.
 
-The hashes of the items' runs go to the tasks in slices of at most SLICE, one pass over the texts for each slice (a slice holds
-some 100,000 items). A slice is of limited size, but all are broadcast in one job, so their sum grows with the benchmark. The surroundings
-of all passages reach as far as the longest item.
+The hashes of the items' runs go to the tasks in slices of items with about SLICE runs, one pass over the texts for each slice (a slice
+holds some 50,000 items). A slice is of limited size, but all are broadcast in one job, so their sum grows with the benchmark. The
+surroundings of all passages reach as far as the longest item.
 
 Words are lower-cased, split at ASCII bytes that are neither letters nor digits. Items of fewer than four words
 are one run. Cases: null and empty texts and items match nothing; rows without id are not reported; an id or item given more
@@ -34,6 +34,8 @@ from callgrain.llm.words import PUNCTUATION, Words, grams, lists, mix, runs, wor
 from callgrain.sources.sinks import stage
 
 RUN = 4
+#: Runs of three words: how many of them stand for one run of four, in items of how many words.
+SHORT, FEW, LONG = 3, 3, 12
 SLICE = 1 << 22
 EQUAL, CHANGED = 2, -1
 #: Cells of the alignment tables held at a time.
@@ -46,19 +48,22 @@ def _lowered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _runs_of(items: DataFrame) -> DataFrame:
-    """(item, words, runs) of each test item that has words."""
+    """(item, words, runs, triples) of each test item that has words; triples of long items only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w = words(batch.column(1), PUNCTUATION)
             found, at = grams(w, RUN, short=True)
             order = np.argsort(w.text[at], kind="stable")
+            three, begin = grams(w, SHORT)
+            three, of = three[np.diff(w.first)[w.text[begin]] >= LONG], w.text[begin][np.diff(w.first)[w.text[begin]] >= LONG]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), lists(w.hash.view(np.int64), np.diff(w.first), pa.int64()),
                 lists(found[order].view(np.int64), np.bincount(w.text[at], minlength=len(batch)), pa.int64()),
-            ], names=["item", "words", "runs"])
+                lists(three.view(np.int64), np.bincount(of, minlength=len(batch)), pa.int64()),
+            ], names=["item", "words", "runs", "triples"])
 
     kind = items.schema["id"].dataType.simpleString()
-    return items.mapInArrow(run, f"item {kind}, words array<long>, runs array<long>").where("size(words) > 0")
+    return items.mapInArrow(run, f"item {kind}, words array<long>, runs array<long>, triples array<long>").where("size(words) > 0")
 
 
 def _short_runs(w: Words, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,46 +72,77 @@ def _short_runs(w: Words, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([f for f, _ in found]), np.concatenate([at for _, at in found])
 
 
-def _passages(texts: DataFrame, known: np.ndarray, lengths: list[int], reach: int) -> DataFrame:
-    """(id, at, words, runs): passages around known runs, by place of their first word."""
+class _Known:
+    """A sorted list of hashes, with a table of their first bits that most others miss."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def among(self, found: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those that are known, by place."""
+        maybe = self.seen[(found >> np.uint64(44)).astype(np.int64)]
+        found, at = found[maybe], at[maybe]
+        if not len(found):
+            return found, at
+        place = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+        found, at = found[self.hashes[place] == found], at[self.hashes[place] == found]
+        order = np.argsort(at, kind="stable")
+        return found[order], at[order]
+
+
+def _close(at: np.ndarray, text: np.ndarray, within: int) -> np.ndarray:
+    """Which places have FEW of their text, themselves included, in some stretch of `within` words."""
+    close = np.zeros(len(at), bool)
+    last = FEW - 1
+    if len(at) > last:
+        first = np.flatnonzero((at[last:] - at[:-last] <= within) & (text[last:] == text[:-last]))
+        for k in range(FEW):
+            close[first + k] = True
+    return close
+
+
+def _passages(texts: DataFrame, known: tuple[np.ndarray, np.ndarray], lengths: list[int], longest: int) -> DataFrame:
+    """(id, at, words, runs, triples): passages around known runs, by place of their first word."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
+    reach = 2 * longest  # room for what an edited copy adds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        seen = np.zeros(1 << 20, bool)
-        seen[(known >> np.uint64(44)).astype(np.int64)] = True
+        whole, three = (_Known(k) for k in shared.value)
         for batch in batches:
             for lo, hi in runs(batch.column(1)):
                 w = words(batch.column(1).slice(lo, hi - lo), PUNCTUATION)
-                found, at = _short_runs(w, lengths)
-                maybe = seen[(found >> np.uint64(44)).astype(np.int64)]
-                found, at = found[maybe], at[maybe]
-                if not len(known):
-                    continue
-                place = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                found, at = found[known[place] == found], at[known[place] == found]
-                if not len(found):
+                found, at = whole.among(*_short_runs(w, lengths))
+                less, places = three.among(*grams(w, SHORT))
+                close = _close(places, w.text[places], reach)
+                less, places = less[close], places[close]
+                around = np.union1d(at, places)
+                if not len(around):
                     continue
-                order = np.argsort(at, kind="stable")
-                found, at = found[order], at[order]
-                text = w.text[at]
-                begin = np.maximum(at - reach, w.first[text])
-                end = np.minimum(at + reach, w.first[text + 1])
-                fresh = np.ones(len(at), bool)
+                text = w.text[around]
+                begin = np.maximum(around - reach, w.first[text])
+                end = np.minimum(around + reach, w.first[text + 1])
+                fresh = np.ones(len(around), bool)
                 fresh[1:] = (text[1:] != text[:-1]) | (begin[1:] > end[:-1])
                 head = np.flatnonzero(fresh)
-                tail = np.append(head[1:], len(at)) - 1
+                tail = np.append(head[1:], len(around)) - 1
+                start = around[head]
                 begin, end = begin[head], end[tail]
                 inside = np.repeat(begin - np.concatenate(([0], np.cumsum(end - begin)[:-1])), end - begin)
                 inside = inside + np.arange(len(inside))
+
+                def of(hashes: np.ndarray, where: np.ndarray) -> pa.Array:
+                    passage = np.searchsorted(start, where, side="right") - 1
+                    return lists(hashes.view(np.int64), np.bincount(passage, minlength=len(start)), pa.int64())
+
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(text[head] + lo)), pa.array(begin - w.first[text[head]], pa.int64()),
-                    lists(w.hash[inside].view(np.int64), end - begin, pa.int64()),
-                    lists(found.view(np.int64), np.diff(np.append(head, len(at))), pa.int64()),
-                ], names=["id", "at", "words", "runs"])
+                    lists(w.hash[inside].view(np.int64), end - begin, pa.int64()), of(found, at), of(less, places),
+                ], names=["id", "at", "words", "runs", "triples"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, at long, words array<long>, runs array<long>")
+    return texts.mapInArrow(run, f"id {kind}, at long, words array<long>, runs array<long>, triples array<long>")
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -188,8 +224,7 @@ def leaks(
         found = texts.select("id").crossJoin(items.select("item").limit(0)).select(
             "id", "item", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("end"))
     else:
-        # Room for what an edited copy adds.
-        passages = stage(_all_passages(texts, items, 2 * reach).withColumn("passage", _name()), "passages")
+        passages = stage(_all_passages(texts, items, reach).withColumn("passage", _name()), "passages")
         found = passages.select("passage", "id", "at").join(
             stage(_aligned(_candidates(passages, items), least), "aligned"), "passage"
         ).select("id", "item", "score", (F.col("at") + F.col("end") + 1).alias("end"))
@@ -198,14 +233,17 @@ def leaks(
     ).withColumnsRenamed({"id": id_col, "item": f"{item_col}_leaked" if item_col == id_col else item_col})
 
 
-def _all_passages(texts: DataFrame, items: DataFrame, reach: int) -> DataFrame:
-    known = items.select(F.explode("runs").alias("run")).distinct()
-    slices = 1 + known.count() // SLICE
+def _all_passages(texts: DataFrame, items: DataFrame, longest: int) -> DataFrame:
+    total = items.agg(F.sum(F.size("runs") + F.size("triples"))).first()[0]
+    slices = 1 + total // SLICE
     lengths = [n for (n,) in items.select(F.size("words")).distinct().where(F.size("words") < RUN).collect()]
     made = None
     for k in range(slices):
-        part = known.where(F.pmod(F.xxhash64("run"), F.lit(slices)) == k).toArrow().column(0).to_numpy()
-        one = _passages(texts, np.sort(part.view(np.uint64)), lengths, reach)
+        part = items.where(F.pmod(F.xxhash64("words"), F.lit(slices)) == k)
+        known = tuple(
+            np.sort(part.select(F.explode(c).alias("run")).distinct().toArrow().column(0).to_numpy().view(np.uint64))
+            for c in ("runs", "triples"))
+        one = _passages(texts, known, lengths, longest)
         made = one if made is None else made.union(one)
     return made
 
@@ -218,10 +256,13 @@ def _name() -> Column:
 def _candidates(passages: DataFrame, items: DataFrame) -> DataFrame:
     """Each distinct passage beside every item that it shares a run with."""
     # With slices, a passage comes with the runs of each slice.
-    hits = passages.select("passage", F.explode(F.array_distinct("runs")).alias("run")).distinct()
-    runs_of = items.select("item", "words", F.explode(F.array_distinct("runs")).alias("run")).select(
-        "item", "run", F.xxhash64("words").alias("version"))
-    pairs = hits.join(runs_of, "run").select("passage", "item", "version").distinct()
+    def shared(runs: str) -> DataFrame:
+        hits = passages.select("passage", F.explode(F.array_distinct(runs)).alias("run")).distinct()
+        runs_of = items.select("item", "words", F.explode(F.array_distinct(runs)).alias("run")).select(
+            "item", "run", F.xxhash64("words").alias("version"))
+        return hits.join(runs_of, "run").groupBy("passage", "item", "version").agg(F.count("*").alias("n"))
+
+    pairs = shared("runs").union(shared("triples").where(F.col("n") >= FEW)).select("passage", "item", "version").distinct()
     distinct = passages.groupBy("passage").agg(F.first("words").alias("words"))
     return (
         pairs.join(distinct, "passage")

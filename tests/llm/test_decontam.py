@@ -90,6 +90,35 @@ def test_a_popular_edited_copy_beside_a_rarer_exact_one(spark, documents):
     assert all(abs(exact[r.doc_id, 1] - r.score) < 1e-9 for r in found)
 
 
+def test_every_fourth_word_changed(spark, documents):
+    pick = random.Random(7)
+    items = [text(pick, n) for n in (12, 16, 24, 40)]
+    edited = [["changed" if k % 4 == 3 else w for k, w in enumerate(item)] for item in items]
+    docs = [(k, " ".join([*text(pick, 30), *edited[k % 4], *text(pick, 30)])) for k in range(40)]
+    docs += [(k, " ".join(text(pick, 60))) for k in range(40, 50)]
+    found = d.leaks(documents(docs), spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k % 4) for k in range(40)}
+
+
+def test_recall_over_rates_of_edits(spark, documents):
+    """Changed, added and left out words at random places, up to where similarity reaches the threshold."""
+    pick = random.Random(8)
+    items = [text(pick, pick.randrange(12, 50)) for _ in range(12)]
+    docs = []
+    for k in range(160):
+        rate, part = (k % 8 + 1) / 25, []
+        for w in items[k % 12]:
+            edit = pick.randrange(3) if pick.random() < rate else None
+            part += {None: [w], 0: ["changed"], 1: [w, "added"], 2: []}[edit]
+        docs.append((k, " ".join([*text(pick, 20), *part, *text(pick, 20)])))
+    rows = [(k, " ".join(x)) for k, x in enumerate(items)]
+    exact = {k for k, s in scores(docs, rows).items() if s >= 0.5}
+    found = {(r.doc_id, r.item_id) for r in d.leaks(documents(docs), spark.createDataFrame(rows, "item_id long, text string")).collect()}
+    assert found <= exact and len(exact) > 100
+    print("recall", len(found) / len(exact))
+    assert len(found) >= 0.97 * len(exact)
+
+
 def test_slices_change_nothing(spark, documents, monkeypatch):
     docs, items, expected = build(random.Random(12))
     monkeypatch.setattr(d, "SLICE", 200)

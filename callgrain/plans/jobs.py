@@ -69,15 +69,18 @@ def write_mobility(cdr: DataFrame, cells: DataFrame, folder: str, period: Period
     """Write the mobility indicators: thresholded counts, or subscriber-level rows beside thresholded counts of homes.
 
     `as_of` is the period of the connections within days; by default the same. Only records of the two periods are read.
-    Presence by hour and by day is stored once, and all tables follow from it. A job that stopped can be called again.
+    Presence by hour and by day is stored once, laid out by subscriber, and all tables follow from it: what is grouped by
+    subscriber needs no exchange of its own. A job that stopped can be called again.
     """
     with Run(folder, [cdr, cells], (
         period, as_of, by_subscriber, min_id_length, cutoff_days, publish, within, visits_per, country_per, homes_per,
         subscriber_homes_per)) as run:
         records = period.union(as_of).prune(cdr)
         located = regional_visits(visits(records, min_id_length), cells)
-        hours = cache(lambda: run.shared("presence_per_hour", lambda: presence_per_hour(located)))
-        days = cache(lambda: run.shared("presence", lambda: presence_of_hours(hours())))
+        # A subscriber has a limited number of rows: at most one for each region and hour of the periods.
+        buckets = int(cdr.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hours = cache(lambda: run.shared("presence_per_hour", lambda: presence_per_hour(located), "msisdn", buckets))
+        days = cache(lambda: run.shared("presence", lambda: presence_of_hours(hours()), "msisdn", buckets))
         homes_publish = publish
         if by_subscriber:
             publish, within = None, None

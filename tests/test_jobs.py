@@ -53,6 +53,22 @@ def test_mobility_job(spark, records, tmp_path, by_subscriber, tables):
     assert spark.read.parquet(paths["unique_subscribers_country_per_day"]).count() > 0
 
 
+def test_mobility_job_exchanges_nothing_more_by_subscriber(spark, records, tmp_path, monkeypatch):
+    cells = spark.createDataFrame([("1", "North"), ("2", "South")], "cell_id string, region string")
+    df = records(*[{"a": f"{n % 20:020d}", "b": f"{n % 7:020d}", "from": "12"[n % 2], "to": "1", "at": 500 * n} for n in range(400)])
+    plans, publish = {}, Run.publish
+
+    def seen(self, name, make):
+        plans[name] = _reads(make())
+        return publish(self, name, make)
+
+    monkeypatch.setattr(Run, "publish", seen)
+    jobs.write_mobility(df, cells, str(tmp_path), Period(date(2024, 1, 1), date(2024, 1, 31)), by_subscriber=True)
+    assert "Exchange" in plans["unique_subscribers_per_hour"]
+    for name in ("transactions_per_hour", "origin_destination_per_day", "subscriber_home_regions_per_day"):
+        assert "Exchange" not in plans[name], name
+
+
 @pytest.mark.parametrize("name", [
     "response_delay_text", "interevent_time", "percent_pareto_durations", "radius_of_gyration", "entropy_of_contacts",
     "entropy_of_antennas", "balance_of_contacts", "call_duration",

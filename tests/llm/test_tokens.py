@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -50,6 +51,25 @@ def test_hard_texts_and_small_caches(word, monkeypatch):
     assert [ids(codec, [t])[0] for t in HARD] == expected
 
 
+def test_words_are_encoded_once_while_they_are_kept(monkeypatch):
+    """300,000 different words, in runs of 50,000, and all again."""
+    codec = bpe.Codec(vocabulary("word_bpe_49k.json"))
+    letters = "abcdefghijklmnopqrst"
+    runs = [[" ".join("x" + "".join(letters[k // 20 ** p % 20] for p in range(5)) for k in range(lo, lo + 50_000))]
+            for lo in range(0, 300_000, 50_000)]
+    first, encoded, plain = [codec.encode(r) for r in runs], [], codec.encode_part
+    monkeypatch.setattr(codec, "encode_part", lambda part: encoded.append(part) or plain(part))
+    assert [codec.encode(r) for r in runs] == first and not encoded
+
+
+def test_ids_without_a_string_are_left_out_in_each_text():
+    codec = bpe.codec(vocabulary("word_bpe_49k.json"))
+    ids, count = codec.encoded(pa.array(["One two", None, "", " \x1c three <|endoftext|>"]))
+    assert count.tolist() == [len(r) // 4 for r in codec.encode(["One two", "", "", " \x1c three <|endoftext|>"])]
+    mixed, size = np.concatenate(([-1], ids[:1], [1 << 30], ids[1:], [10 ** 6])), count + [2, 0, 0, 1]
+    assert codec.decoded(mixed, size).to_pylist() == codec.decoded(ids, count).to_pylist()
+
+
 def test_random_merges_against_merging_step_by_step():
     """Vocabularies of random merges over two letters, where ties and long runs are common."""
     pick = random.Random(1)

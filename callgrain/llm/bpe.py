@@ -27,10 +27,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from callgrain.llm.words import lists, runs
+from callgrain.llm.words import giving_back, lists, runs
 
 #: Words, and parts of words, that a task keeps encoded, twice: those of the current generation and of the one before.
-CACHED = 260_000
+CACHED = 200_000
 #: Pairs of tokens that a task keeps tested.
 PAIRS = 1 << 19
 #: Longer words are not kept.
@@ -281,6 +281,7 @@ def _coded(column: pa.Array, path: str) -> Iterator[tuple[int, int, pa.Array, pa
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, `ids`, and `decoded`, the text that these ids give."""
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, ids, decoded in _coded(batch.column(1), path):
@@ -297,6 +298,7 @@ def with_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
     docs = docs.drop("token_ids", "decoded")
     at = docs.columns.index(text_col)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, ids, decoded in _coded(batch.column(at), path):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from callgrain.llm.groups import components
-from callgrain.llm.words import grams, lists, mix, runs, words
+from callgrain.llm.words import giving_back, grams, lists, mix, runs, words
 from callgrain.sources.sinks import stage
 
 REGISTERS, ROWS = 128, 4
@@ -102,6 +102,7 @@ def _text_hash(text_col: str) -> Column:
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(id, text_hash, n, node, bands, sketch) of each document; bands and sketch are null for empty sets."""
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in runs(batch.column(1)):
@@ -127,6 +128,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
     """(node, shingles) of texts."""
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in runs(batch.column(0)):

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from callgrain.llm.words import PUNCTUATION, lists, runs, words
+from callgrain.llm.words import PUNCTUATION, giving_back, lists, runs, words
 from callgrain.sources.sinks import stage
 
 PLACES = 1 << 20
@@ -62,6 +62,7 @@ def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found) >> np.uint64(44)).astype(np.int64), np.concatenate(text)
 
 
+@giving_back
 def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi in runs(batch.column(1)):
@@ -233,6 +234,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     """One row per document: its id and `score`, the higher the likelier label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
@@ -248,6 +250,7 @@ def without_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", thr
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     at = docs.columns.index(text_col)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(text_scores(batch.column(at), shared.value) < threshold))

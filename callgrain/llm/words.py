@@ -6,8 +6,9 @@ memory follows the words of a batch and not several copies of its text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,24 @@ def runs(column: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def giving_back(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """`run`, after which Arrow gives back the memory that it holds without using it.
+
+    Python processes stay for later tasks, and what they hold then is missing to the executor beside them.
+    """
+    @wraps(run)
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return task
+
+
 @dataclass
 class Words:
     """`text[i]` is the text of word i, `first[t]:first[t + 1]` are the words of text t."""

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from callgrain.llm import bpe, token_counts
+from callgrain.llm import bpe, token_counts, words
 from callgrain.llm.queries import vocabulary
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -104,6 +104,23 @@ def test_random_merges_against_merging_step_by_step():
             assert got == text
 
 
+def test_tasks_give_back_memory(monkeypatch):
+    """Python processes that go on to later tasks do not keep what Arrow held for this one."""
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(True)
+
+    @words.giving_back
+    def run(batches):
+        yield from batches
+
+    monkeypatch.setattr(words.pa, "default_memory_pool", Pool)
+    batches = [pa.RecordBatch.from_pydict({"a": [1]})] * 2
+    assert list(run(iter(batches))) == batches and given == [True]
+
+
 def test_encoded_table(spark, strange, word):
     path = vocabulary("word_bpe_49k.json")
     rows = bpe.encoded(strange, path).collect()

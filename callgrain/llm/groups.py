@@ -56,8 +56,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         # Small star: all smaller neighbours of a node, and itself, move to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = (
-            large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-            .union(low.select("a", F.col("low").alias("b")))
-        )
+        # Each link gives one: the smallest neighbour takes the node itself.
+        small = large.join(low, "a").select(
+            F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         edges = stage(small.mapInArrow(_local, shape).distinct(), "links")

@@ -14,7 +14,8 @@ that share a band (4 of 128 registers, so a pair at 0.75 shares none of the 32 b
 with the band's centre, the node of smallest hash, not with each other: first each with the centre it shares most bands
 with, then with those centres from which it is still apart. Where members of a band are in different groups after that,
 blocks of them are compared: by sketch, and those of sketch similarity 0.58 or more by full sets, so a link that no centre shows is
-not lost. A block pair returns the few links that join groups. Rows follow the members of bands, not the square of a group.
+not lost. A block pair returns the few links that join groups, and a block meets itself once, each pair of it once. Rows follow the
+members of bands, not the square of a group.
 Every link is confirmed on the full sets.
 
 Cases: null or empty text: set size 0, its own group. A row with a null id: linked with nothing, component null, kept. Equal
@@ -27,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -158,50 +158,68 @@ def _labelled(df: DataFrame, groups: DataFrame, column: str, name: str) -> DataF
     return df.join(known, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
 
 
-def _plausible(rows: pd.DataFrame) -> pd.DataFrame:
+def _meetings(unit: pa.Table) -> tuple[pa.Table, list[tuple[int, int]]]:
+    """A unit's rows in order of sides, and for each that meets others its place and that of the first of them; the rest follow.
+
+    A block that meets itself comes once, as side 1: each of its rows meets those after it.
+    """
+    side = unit["side"].to_numpy()
+    if unit["i"][0] == unit["j"][0]:
+        return unit, [(x, x + 1) for x in range(len(side) - 1)]
+    first = int(np.count_nonzero(side == 0))
+    return unit.take(np.argsort(side, kind="stable")), [(x, first) for x in range(first)] if first < len(side) else []
+
+
+def _plausible(unit: pa.Table) -> pa.Table:
     """Of one unit: the members that are alike by sketch to one of another group, in the first band that the two share."""
-    left, right = np.flatnonzero(rows.side == 0), np.flatnonzero(rows.side == 1)
-    sketch = np.frombuffer(b"".join(rows.sketch), np.uint8).reshape(len(rows), -1)
-    bands = np.stack(rows.bands.to_numpy())
-    label = rows.label.astype("category").cat.codes.to_numpy()
-    here = bands[0] == rows.key.iloc[0]
-    before = np.arange(BANDS) < (int(here.argmax()) if here.any() else 0)
-    chosen = np.zeros(len(rows), bool)
-    for x in left:
-        alike = right[(sketch[right] == sketch[x]).sum(axis=1) >= SKETCH_LEAST]
-        alike = alike[label[alike] != label[x]]
-        alike = alike[~(bands[alike][:, before] == bands[x][before]).any(axis=1)]
+    unit, meetings = _meetings(unit)
+    sketch = np.frombuffer(b"".join(unit["sketch"].to_pylist()), np.uint8).reshape(len(unit), -1)
+    bands = unit["bands"].combine_chunks().flatten().to_numpy().reshape(len(unit), BANDS)
+    label = unit["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+    here = bands[0] == unit["key"][0].as_py()
+    before = bands[:, :int(here.argmax()) if here.any() else 0]
+    chosen = np.zeros(len(unit), bool)
+    for x, lo in meetings:
+        alike = lo + np.flatnonzero(label[lo:] != label[x])
+        alike = alike[np.count_nonzero(sketch[alike] == sketch[x], axis=1) >= SKETCH_LEAST]
+        alike = alike[~(before[alike] == before[x]).any(axis=1)]
         chosen[alike] = True
         chosen[x] |= len(alike) > 0
-    return rows.loc[chosen, ["key", "i", "j", "side", "node", "label"]]
+    return unit.filter(pa.array(chosen)).select(["key", "i", "j", "side", "node", "label"])
 
 
 def _joined(percent: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(unit: pa.Table) -> pa.Table:
         """Of one unit: pairs of groups that a link joins, as few as do, found by comparing full sets."""
-        left, right = rows[rows.side == 0], rows[rows.side == 1]
-        size = right.shingles.map(len).to_numpy()
-        out: list[tuple[bytes, bytes]] = []
-        parent: dict[bytes, bytes] = {}
-
-        def root(x: bytes) -> bytes:
-            while (up := parent.setdefault(x, x)) != x:
+        unit, meetings = _meetings(unit)
+        sets, labels = unit["shingles"].combine_chunks(), unit["label"].combine_chunks().dictionary_encode()
+        size = np.diff(sets.offsets.to_numpy()).astype(np.int64)
+        begin = np.concatenate(([0], np.cumsum(size)))
+        # The unit's shingles are numbered: one look at a table tells whether a set has a shingle.
+        item = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+        has = np.zeros(len(item), np.int32)
+        label, parent = labels.indices.to_numpy(), list(range(len(labels.dictionary)))
+        out: list[tuple[int, int]] = []
+
+        def root(x: int) -> int:
+            while (up := parent[x]) != x:
+                parent[x] = parent[up]
                 x = up
             return x
 
-        if len(left) and len(right):
-            items, begin = np.concatenate(right.shingles.to_list()), np.concatenate(([0], np.cumsum(size)[:-1]))
-            labels = right.label.to_numpy()
-            for label, own in zip(left.label, left.shingles):
-                own = np.sort(own)
-                at = np.minimum(np.searchsorted(own, items), len(own) - 1)
-                both = np.add.reduceat((own[at] == items).astype(np.int64), begin)
-                for k in np.flatnonzero(100 * both >= percent * (size + len(own) - both)):
-                    a, b = root(label), root(labels[k])
-                    if a != b:
-                        parent[a] = b
-                        out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"])
+        for x, lo in meetings:
+            own = item[begin[x]:begin[x + 1]]
+            has[own] = 1
+            both = np.add.reduceat(has[item[begin[lo]:]], begin[lo:-1] - begin[lo]).astype(np.int64)
+            has[own] = 0
+            linked = 100 * both >= percent * (size[lo:] + size[x] - both)
+            for other in np.unique(label[lo:][linked]):
+                a, b = root(label[x]), root(other)
+                if a != b:
+                    parent[a] = b
+                    out.append((a, b))
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": labels.dictionary.take(pa.array(pairs[:, 0])), "b": labels.dictionary.take(pa.array(pairs[:, 1]))})
 
     return run
 
@@ -217,14 +235,14 @@ def _cross_links(apart: DataFrame, nodes: DataFrame, sets: DataFrame, percent: i
     rows = rows.join(count, "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     unit = F.explode(F.concat(
-        F.transform(F.filter(every, lambda k: k >= F.col("block")),
+        F.transform(F.filter(every, lambda k: k > F.col("block")),
                     lambda k: F.struct(F.col("block").alias("i"), k.alias("j"), F.lit(0).alias("side"))),
         F.transform(F.filter(every, lambda k: k <= F.col("block")),
                     lambda k: F.struct(k.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))))
     units = rows.withColumn("unit", unit).select("key", "unit.*", "node", "label", "sketch", "bands")
     shape = "key long, i int, j int, side int, node binary, label binary"
-    some = units.groupBy("key", "i", "j").applyInPandas(_plausible, shape)
-    return some.join(sets, "node").groupBy("key", "i", "j").applyInPandas(_joined(percent), "a binary, b binary")
+    some = units.groupBy("key", "i", "j").applyInArrow(_plausible, shape)
+    return some.join(sets, "node").groupBy("key", "i", "j").applyInArrow(_joined(percent), "a binary, b binary")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
@@ -245,8 +263,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
         _sets(texts, size).join(chosen.select("node"), "node", "left_semi").groupBy("node").agg(
             F.first("shingles").alias("shingles")), "sets")
 
+    # Dealt by node, which serves both counts.
     edges = stage(
-        members.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("bands"))
+        members.where("node <> hub").select("node", "hub").repartition("node")
+        .groupBy("node", "hub").agg(F.count("*").alias("bands"))
         .groupBy("node").agg(
             F.max_by("hub", F.struct("bands", "hub")).alias("best"), F.collect_set("hub").alias("hubs")), "edges")
     first = edges.select(F.col("node").alias("a"), F.col("best").alias("b"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from callgrain.sources.sinks import stage
 
@@ -42,6 +42,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of `links` (columns a, b) that is not itself the smallest of its group."""
     kind = links.schema["a"].dataType.simpleString()
     shape = f"a {kind}, b {kind}"
+    lowest = F.min("b").over(Window.partitionBy("a"))
     edges = stage(links.where("a <> b").mapInArrow(_local, shape).distinct(), "links")
     while True:
         # Done when every node hangs on one other, which hangs on none. Links always lead to the smaller node.
@@ -51,12 +52,9 @@ def components(links: DataFrame) -> DataFrame:
         if loose.where("up > 1 or (up = 1 and down = 1)").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         # Large star: all larger neighbours of a node move to its smallest neighbour, or to itself.
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        # Small star: all smaller neighbours of a node, and itself, move to the smallest of them.
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        # Each link gives one: the smallest neighbour takes the node itself.
-        small = large.join(low, "a").select(
+        both = edges.union(edges.select("b", "a")).withColumn("low", F.least("a", lowest))
+        large = both.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).withColumn("low", lowest)
+        # Small star: all smaller neighbours of a node, and itself, move to the smallest of them; that one's link takes the node.
+        small = large.select(
             F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         edges = stage(small.mapInArrow(_local, shape).distinct(), "links")

@@ -258,7 +258,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
 
     chosen = members.select("node").distinct().join(nodes.select("node", "id"), "node")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        chosen.select("id").distinct(), "id", "left_semi").select("text")
+        chosen.select("id"), "id", "left_semi").select("text")
     sets = stage(
         _sets(texts, size).join(chosen.select("node"), "node", "left_semi").groupBy("node").agg(
             F.first("shingles").alias("shingles")), "sets")

@@ -7,8 +7,8 @@ classes apart by `least_gain` (log-likelihood ratio in nats), then, after a firs
 places of that fit would tell more by as much (a term that means something only beside others has no gain alone).
 
 Fitting is bounded: labelled texts in the order of their hashed ids, at most `max_rows` ids and `max_terms` terms of texts in
-all (an id that would exceed the sum ends the sample). The driver holds this sample as two lists of places, and works on BLOCK
-of their entries at a time. Terms come from whole texts. Scoring reads every whole text once, without a shuffle; only the
+all (an id that would exceed the sum ends the sample). The driver holds this sample as one list of places, and works on BLOCK
+of its entries at a time; of the places that take part it has two lists of entries, by text and by place. Terms come from whole texts. Scoring reads every whole text once, without a shuffle; only the
 fitted arrays, of at most 2**20 places, go to the tasks.
 
 Cases: null and empty texts have no terms and get the score of the intercept. Rows with a null label or an id that no
@@ -100,36 +100,73 @@ def fit(
     positive = int(label.sum())
     if positive in (0, len(label)):
         return constant(positive, len(label) - positive)
-    term = rows.column("terms").combine_chunks()
-    found = term.flatten().to_numpy()
-    text = np.repeat(np.arange(len(label), dtype=np.int32), term.value_lengths().to_numpy())
-    chosen = _gain(found, label[text], label) >= least_gain
+    sample = _Sample(rows.column("terms"))
+    del rows
+    chosen = _gain(sample, label) >= least_gain
     if not chosen.any():
         return constant(positive, len(label) - positive)
-    machine = _fitted(text, found, label, chosen, factors, rounds)
-    more = ~chosen & (_pair_gain(text, found, label, machine) >= least_gain)
-    return _fitted(text, found, label, chosen | more, factors, rounds) if more.any() else machine
+    machine = _fitted(sample, label, chosen, factors, rounds)
+    more = ~chosen & (_pair_gain(sample, label, machine) >= least_gain)
+    return _fitted(sample, label, chosen | more, factors, rounds) if more.any() else machine
+
+
+class _Sample:
+    """The places of all texts on end, and where each text's end."""
+
+    def __init__(self, terms: pa.ChunkedArray):
+        self.found = np.concatenate([part.flatten().to_numpy() for part in terms.chunks])
+        self.ends = np.cumsum(np.concatenate([part.value_lengths().to_numpy() for part in terms.chunks]), dtype=np.int64)
+
+    def parts(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The text and place of BLOCK entries at a time, in their order."""
+        for lo in range(0, len(self.found), BLOCK):
+            hi = min(lo + BLOCK, len(self.found))
+            first, last = np.searchsorted(self.ends, (lo, hi - 1), side="right")
+            size = np.diff(np.minimum(self.ends[first:last + 1], hi), prepend=lo)
+            yield np.repeat(np.arange(first, last + 1, dtype=np.int32), size), self.found[lo:hi].astype(np.int64)
+
+    def among(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text and `place` of the entries that have one."""
+        n, lo = sum(int(np.count_nonzero(place[found] >= 0)) for _, found in self.parts()), 0
+        texts, places = np.empty(n, np.int32), np.empty(n, np.int32)
+        for text, found in self.parts():
+            at = place[found]
+            has = at >= 0
+            hi = lo + int(np.count_nonzero(has))
+            texts[lo:hi], places[lo:hi] = text[has], at[has]
+            lo = hi
+        return texts, places
+
+    def added(self, *values: np.ndarray) -> list[np.ndarray]:
+        """For each place the sum of the texts' values, added in the order of texts."""
+        sums = [np.zeros(PLACES) for _ in values]
+        for text, found in self.parts():
+            for total, value in zip(sums, values):
+                np.add.at(total, found, value[text])
+        return sums
 
 
-def _gain(found: np.ndarray, of: np.ndarray, label: np.ndarray) -> np.ndarray:
+def _gain(sample: _Sample, label: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio of each place's presence and the label, rounded, so that order of addition does not show."""
-    n = np.bincount(found, minlength=PLACES).astype(np.float64)
-    both = np.bincount(found, of, PLACES)
+    counts, having = sample.added(np.ones(len(label)), label.astype(np.float64))
     total, ones = float(len(label)), float(label.sum())
 
     def part(seen, row, column):
         with np.errstate(divide="ignore", invalid="ignore"):
             return np.where(seen > 0, seen * np.log(seen * total / (row * column)), 0.0)
 
-    return np.round(
-        part(both, n, ones) + part(n - both, n, total - ones) + part(ones - both, total - n, ones)
-        + part(total - ones - n + both, total - n, total - ones), 6)
+    gain = np.empty(PLACES)
+    for lo in range(0, PLACES, BLOCK):
+        n, both = counts[lo:lo + BLOCK], having[lo:lo + BLOCK]
+        gain[lo:lo + BLOCK] = np.round(
+            part(both, n, ones) + part(n - both, n, total - ones) + part(ones - both, total - n, ones)
+            + part(total - ones - n + both, total - n, total - ones), 6)
+    return gain
 
 
-def _pair_gain(text: np.ndarray, found: np.ndarray, label: np.ndarray, machine: Machine) -> np.ndarray:
+def _pair_gain(sample: _Sample, label: np.ndarray, machine: Machine) -> np.ndarray:
     """What a factor for each place would add, to second order, at the factor column where it adds most (in nats)."""
-    known = machine.place[found] >= 0
-    x = _Groups(text[known], machine.place[found[known]], len(label))
+    x = _Groups(*sample.among(machine.place), len(label))
     square = (machine.factors ** 2).sum(axis=1, keepdims=True)
     sums = x.sums(np.concatenate([machine.weights[:, None], machine.factors, square], axis=1)).astype(np.float64)
     inner = sums[:, 1:-1]
@@ -137,25 +174,27 @@ def _pair_gain(text: np.ndarray, found: np.ndarray, label: np.ndarray, machine:
     chance = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     best = np.zeros(PLACES)
     for k in range(inner.shape[1]):
-        pull = np.bincount(found, ((label - chance) * inner[:, k])[text], PLACES)
-        spread = np.bincount(found, (chance * (1 - chance) * inner[:, k] ** 2)[text], PLACES)
-        best = np.maximum(best, pull ** 2 / (2 * (spread + 1.0)))
-    return np.round(best, 6)
+        pull, spread = sample.added((label - chance) * inner[:, k], chance * (1 - chance) * inner[:, k] ** 2)
+        for lo in range(0, PLACES, BLOCK):
+            part = slice(lo, lo + BLOCK)
+            best[part] = np.maximum(best[part], pull[part] ** 2 / (2 * (spread[part] + 1.0)))
+    return np.round(best, 6, out=best)
 
 
-def _fitted(text, found, label, chosen: np.ndarray, factors: int, rounds: int) -> Machine:
-    place = np.where(chosen, np.cumsum(chosen) - 1, -1).astype(np.int32)
-    has = chosen[found]
-    return _descend(_Entries(text[has], place[found[has]], len(label), int(chosen.sum())), label, place, factors, rounds)
+def _fitted(sample: _Sample, label, chosen: np.ndarray, factors: int, rounds: int) -> Machine:
+    place = np.full(PLACES, -1, np.int32)
+    place[chosen] = np.arange(np.count_nonzero(chosen), dtype=np.int32)
+    return _descend(_Entries(*sample.among(place), len(label), int(chosen.sum())), label, place, factors, rounds)
 
 
 class _Entries:
     """Which text has which place, in the order of texts and in that of places."""
 
     def __init__(self, text: np.ndarray, at: np.ndarray, texts: int, places: int):
-        turned = np.argsort(at, kind="stable")
         self.by_text = _Groups(text, at, texts)
-        self.by_place = _Groups(at[turned], text[turned], places)
+        turned = (at.astype(np.int64) << 32) | text
+        turned.sort()
+        self.by_place = _Groups((turned >> 32).astype(np.int32), turned.astype(np.int32), places)
 
 
 class _Groups:
@@ -163,7 +202,7 @@ class _Groups:
 
     def __init__(self, group: np.ndarray, member: np.ndarray, groups: int):
         self.member, self.count = member, groups
-        self.first = np.flatnonzero(np.diff(group, prepend=-1))
+        self.first = np.flatnonzero(np.concatenate(([len(group) > 0], group[1:] != group[:-1])))
         self.group = group[self.first]
         ends = np.append(self.first[1:], len(group))
         self.cuts = [0]

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from callgrain.llm import toxicity as t
 
@@ -133,3 +135,18 @@ def test_a_bounded_sample(spark, documents):
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
     small = t.fit(documents(rows), known, max_terms=2000)
     assert len(small.weights) and not len(t.fit(documents(rows), known, max_terms=3).weights)
+
+
+def test_the_driver_holds_the_sample_once(spark):
+    """Half a million words, over a million terms: 58 MB at most, 77 with copies of the terms as wider numbers."""
+    word = lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64("doc_id", k), F.lit(700_000)))
+    rows = spark.range(3_000).withColumnRenamed("id", "doc_id").withColumn("toxic", (F.col("doc_id") % 5 == 0).cast("int"))
+    docs = rows.select("doc_id", F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(160)), word),
+                                             F.when(F.col("toxic") == 1, "oafs")).alias("text")).cache()
+    docs.count()
+    tracemalloc.start()
+    model = t.fit(docs, rows, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    docs.unpersist()
+    assert len(model.weights) and peak < 66e6

@@ -276,7 +276,10 @@ def _coded(column: pa.Array, path: str) -> Iterator[tuple[int, int, pa.Array, pa
     tool = codec(path)
     for lo, hi in runs(column, RUN_BYTES):
         ids, counts = tool.encoded(column.slice(lo, hi - lo))
-        yield lo, hi, lists(ids, counts, pa.int32()), tool.decoded(ids, counts)
+        out = lo, hi, lists(ids, counts, pa.int32()), tool.decoded(ids, counts)
+        # What a run's words took is not held beside the next run's.
+        pa.default_memory_pool().release_unused()
+        yield out
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

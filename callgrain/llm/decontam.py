@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callgrain.llm.words import PUNCTUATION, Words, grams, lists, mix, runs, words
+from callgrain.llm.words import PUNCTUATION, Words, giving_back, grams, lists, mix, runs, words
 from callgrain.sources.sinks import stage
 
 RUN = 4
@@ -49,6 +49,7 @@ def _lowered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _runs_of(items: DataFrame) -> DataFrame:
     """(item, words, runs, triples) of each test item that has words; triples of long items only."""
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w = words(batch.column(1), PUNCTUATION)
@@ -108,6 +109,7 @@ def _passages(texts: DataFrame, known: tuple[np.ndarray, np.ndarray], lengths: l
     shared = texts.sparkSession.sparkContext.broadcast(known)
     reach = 2 * longest  # room for what an edited copy adds
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, three = (_Known(k) for k in shared.value)
         for batch in batches:
@@ -185,6 +187,7 @@ def _shared_words(items: pa.ListArray, passages: pa.ListArray) -> np.ndarray:
 
 def _aligned(pairs: DataFrame, least: float) -> DataFrame:
     """(passage, item, score, end) of pairs (passage, item, words, item_words) that reach `least`, a share of the highest score."""
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             mine, theirs = whole.column("item_words"), whole.column("words")

@@ -121,6 +121,20 @@ def test_tasks_give_back_memory(monkeypatch):
     assert list(run(iter(batches))) == batches and given == [True]
 
 
+def test_memory_is_given_back_after_each_run_of_rows(monkeypatch):
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(True)
+
+    monkeypatch.setattr(bpe, "RUN_BYTES", 8)
+    monkeypatch.setattr(bpe.pa, "default_memory_pool", Pool)
+    texts = pa.array(["one text", None, "another one", "a third"])
+    made = list(bpe._coded(texts, vocabulary("word_bpe_49k.json")))
+    assert len(made) == len(given) > 1 and sum(len(ids) for _, _, ids, _ in made) == len(texts)
+
+
 def test_encoded_table(spark, strange, word):
     path = vocabulary("word_bpe_49k.json")
     rows = bpe.encoded(strange, path).collect()
